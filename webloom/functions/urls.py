@@ -1,298 +1,348 @@
-"""URL Column functions (native Spark expressions, no Python UDFs).
-
-They follow the component rules of the standard ``urlsplit``/``urlunsplit``
-pair that the crawl contract is written against: the scheme is the
-``[A-Za-z][A-Za-z0-9+.-]*`` prefix before the first ``:``; ``//`` starts a
-netloc that runs to the first ``/ ? #``; the fragment follows the first
-``#`` and the query the first ``?`` before it; ``;params`` start at the
-first ``;`` of the last path segment; empty query and fragment are dropped
-when a URL is put back together.
-
-Each component is one regular expression over the (cleaned) input, and a
-value used several times is bound once with :func:`let`, so expression
-trees stay small however the functions are nested.
+"""URL functions: native Spark SQL functions, no Python UDFs.
+
+Each function is defined once as a Spark SQL function
+(``CREATE TEMPORARY FUNCTION webloom_<name> ... RETURN <expr>``), registered
+the first time a session uses it.  The Python wrappers below are single
+``call_function`` calls, so building a query costs one JVM round trip per
+use, and SQL users can call ``webloom_normalize_url(url)`` and friends
+directly.  Catalyst inlines the bodies, so they are optimised and
+code-generated like any built-in expression.
+
+The bodies follow the component rules of the standard ``urlsplit`` /
+``urlunsplit`` pair the crawl contract is written against: the scheme is
+the ``[A-Za-z][A-Za-z0-9+.-]*`` prefix before the first ``:``; ``//``
+starts a netloc that runs to the first ``/ ? #``; the fragment follows the
+first ``#`` and the query the first ``?`` before it; ``;params`` start at
+the first ``;`` of the last path segment; empty query and fragment are
+dropped when a URL is put back together.  Values used several times are
+bound once with a one-element ``transform`` (a lambda binding), which keeps
+expression trees small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .text import py_strip
-
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _lit(s: str) -> Column:
-    return F.lit(s)
-
-
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+# --------------------------------------------------------------------------
+# Fixed values
+# --------------------------------------------------------------------------
 
+# Schemes that allow relative references / carry a netloc.
+USES_RELATIVE = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https",
+                 "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn",
+                 "svn+ssh", "ws", "wss"]
+USES_NETLOC = ["", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file",
+               "mms", "https", "shttp", "snews", "prospero", "rtsp", "rtsps", "rtspu",
+               "rsync", "svn", "svn+ssh", "sftp", "nfs", "git", "git+ssh", "ws", "wss",
+               "itms-services"]
+# Rejected file extensions (last suffix of the path, lower case).
+SKIP_EXTENSIONS = [
+    ".pdf", ".jpg", ".jpeg", ".png", ".gif", ".svg", ".ico", ".css",
+    ".js", ".mp3", ".mp4", ".mov", ".avi", ".zip", ".rar", ".tar",
+    ".gz", ".7z", ".xml", ".json", ".rss", ".atom", ".doc", ".docx",
+    ".xls", ".xlsx", ".ppt", ".pptx",
+]
+# Rejected substrings anywhere in the lower-cased URL.
+SKIP_SUBSTRINGS = [
+    "format=xml", "format=json", "feed=", "rss", "atom", "print=",
+    "download=", "attachment", "calendar", ".ashx", ".axd",
+    "/wp-admin/", "/wp-login", "/wp-content/uploads/",
+    "/admin/", "/login", "/logout", "/signin", "/signout",
+    "share=", "comment", "/search/",
+]
 
 # --------------------------------------------------------------------------
-# Components
+# SQL text builders (pure string composition, no JVM calls)
 # --------------------------------------------------------------------------
 
 _S = r"[A-Za-z][A-Za-z0-9+.\-]*"
-_SCHEME_RE = rf"^({_S}):"
+SCHEME_RE = rf"^({_S}):"
+PY_SPACE = r"(?U)[\s\x1c-\x1f]"
+
 
-# Schemes that allow relative references / carry a netloc.
-_USES_RELATIVE = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https",
-                  "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn",
-                  "svn+ssh", "ws", "wss"]
-_USES_NETLOC = ["", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file",
-                "mms", "https", "shttp", "snews", "prospero", "rtsp", "rtsps", "rtspu",
-                "rsync", "svn", "svn+ssh", "sftp", "nfs", "git", "git+ssh", "ws", "wss",
-                "itms-services"]
+def L(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def clean_url(c) -> Column:
-    """Drop tab/CR/LF anywhere and leading C0 controls or spaces."""
-    return F.regexp_replace(F.regexp_replace(_c(c), r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+def _in(e: str, values) -> str:
+    return f"{e} IN ({', '.join(L(v) for v in values)})"
 
 
-def _scheme(u: Column) -> Column:
-    return F.lower(F.regexp_extract(u, _SCHEME_RE, 1))
+def ex(e: str, pat: str, g: int = 1) -> str:
+    return f"regexp_extract({e}, {L(pat)}, {g})"
 
 
-def _rest(u: Column) -> Column:
-    """Everything after the scheme (the whole URL when it has none)."""
-    return F.regexp_replace(u, _SCHEME_RE, "")
+def rp(e: str, pat: str, rep: str = "") -> str:
+    return f"regexp_replace({e}, {L(pat)}, {L(rep)})"
 
 
-def _net(r: Column) -> Column:
-    return F.regexp_extract(r, r"^//([^/?#]*)", 1)
+def let(e: str, var: str, body: str) -> str:
+    return f"element_at(transform(array({e}), {var} -> {body}), 1)"
 
 
-def _path(r: Column) -> Column:
-    return F.regexp_extract(r, r"^(?://[^/?#]*)?([^?#]*)", 1)
+def py_strip_sql(e: str) -> str:
+    return rp(e, rf"^{PY_SPACE}+|{PY_SPACE}+$")
 
 
-def _query(r: Column) -> Column:
-    return F.regexp_extract(r, r"(?s)^[^?#]*\?([^#]*)", 1)
+def clean(e: str) -> str:
+    return rp(rp(e, r"[\t\r\n]"), r"^[\x00-\x20]+")
 
 
-def _frag(r: Column) -> Column:
-    return F.regexp_extract(r, r"(?s)^[^#]*#(.*)$", 1)
+def scheme(e: str) -> str:
+    return f"lower({ex(e, SCHEME_RE)})"
 
 
-def _drop_params(path: Column) -> Column:
-    return F.regexp_replace(path, r";[^/]*$", "")
+def rest(e: str) -> str:
+    return rp(e, SCHEME_RE)
 
 
-def split_url(c) -> dict:
-    """Components of a URL as Columns: scheme (lower case), netloc, path,
-    query, fragment."""
-    u = clean_url(c)
-    r = _rest(u)
-    return dict(scheme=_scheme(u), netloc=_net(r), path=_path(r), query=_query(r), fragment=_frag(r))
+def parts(r: str) -> str:
+    return (f"named_struct('net', {ex(r, r'^//([^/?#]*)')}, "
+            f"'path', {ex(r, r'^(?://[^/?#]*)?([^?#]*)')}, "
+            f"'query', {ex(r, r'(?s)^[^?#]*[?]([^#]*)')}, "
+            f"'frag', {ex(r, r'(?s)^[^#]*#(.*)$')}, "
+            f"'has_net', startswith({r}, '//'))")
 
 
-def unsplit_url(scheme: Column, netloc: Column, path: Column, query: Column,
-                fragment: Column) -> Column:
-    """Reassemble components; empty query / fragment are dropped."""
-    authority = (F.when(netloc != "", F.concat(_lit("//"), netloc))
-                 .when(path.startswith("//"), _lit("//"))
-                 .when(scheme.isin(*_USES_NETLOC) & ((path == "") | path.startswith("/")), _lit("//"))
-                 .otherwise(_lit("")))
-    p = F.when((netloc != "") & (path != "") & ~path.startswith("/"), F.concat(_lit("/"), path)).otherwise(path)
-    return F.concat(
-        F.when(scheme != "", F.concat(scheme, _lit(":"))).otherwise(_lit("")),
-        authority, p,
-        F.when(query != "", F.concat(_lit("?"), query)).otherwise(_lit("")),
-        F.when(fragment != "", F.concat(_lit("#"), fragment)).otherwise(_lit("")))
+def unsplit(s: str, n: str, p: str, q: str, f: str) -> str:
+    return (f"concat(CASE WHEN {s} <> '' THEN concat({s}, ':') ELSE '' END, "
+            f"CASE WHEN {n} <> '' THEN concat('//', {n}) WHEN startswith({p}, '//') THEN '//' "
+            f"WHEN {_in(s, USES_NETLOC)} AND ({p} = '' OR startswith({p}, '/')) THEN '//' ELSE '' END, "
+            f"CASE WHEN {n} <> '' AND {p} <> '' AND NOT startswith({p}, '/') THEN concat('/', {p}) ELSE {p} END, "
+            f"CASE WHEN {q} <> '' THEN concat('?', {q}) ELSE '' END, "
+            f"CASE WHEN {f} <> '' THEN concat('#', {f}) ELSE '' END)")
+
+
+def split_struct(u: str) -> str:
+    """``struct(s, p)``: scheme and remainder parts of a cleaned URL."""
+    return f"named_struct('s', {scheme(u)}, 'p', {parts(rest(u))})"
 
 
 # --------------------------------------------------------------------------
-# #9 normalize_urls
+# Function bodies
 # --------------------------------------------------------------------------
 
-_ROOT_ONLY = r"(?s)^[a-z]+://[^/?#]*/(;[^/?#]*)?([?#].*)?$"
-_TRAILING = r"(?s)^([a-z]+://[^/?#]*)((?:/[^?#]*?[^/?#])?)/+(;[^/?#]*)?([?#].*)?$"
+# A URL that normalisation leaves unchanged: http(s), a port-free netloc, a
+# path that is "/" or does not end in "/", no ;params, no empty query or
+# fragment, no control characters or spaces, no trailing Unicode space.
+CANONICAL = (r"^https?://[^/?#:@\[\]\x00-\x20]+(?:/|/[^?#;\x00-\x20]*[^/?#;\x00-\x20])"
+             r"(?:[?][^#\x00-\x20]+)?(?:#[^\x00-\x20]+)?(?<=[\x21-\x7e])$")
+ROOT_ONLY = r"(?s)^[a-z]+://[^/?#]*/(;[^/?#]*)?([?#].*)?$"
+TRAILING = r"(?s)^([a-z]+://[^/?#]*)((?:/[^?#]*?[^/?#])?)/+(;[^/?#]*)?([?#].*)?$"
+
+
+def _bad_port(net: str) -> str:
+    port = (f"CASE WHEN contains(hi, '[') THEN {ex('hi', r'^[^\[]*\[[^\]]*\][^:]*:(.*)$')} "
+            f"ELSE {ex('hi', r'^[^:]*:(.*)$')} END")
+    digits = rp("pt", r"^0+(?=.)")
+    check = (f"pt <> '' AND NOT coalesce(pt RLIKE '^[0-9]+$' AND length({digits}) <= 5 "
+             f"AND CAST(CASE WHEN pt RLIKE '^[0-9]+$' AND length({digits}) <= 5 THEN {digits} END AS INT) "
+             f"<= 65535, false)")
+    return let(ex(net, r"^(?:.*@)?(.*)$"), "hi", let(port, "pt", check))
+
+
+def _normalize(u: str) -> str:
+    s = rp("s", r"[\t\r\n]")
+    s = rp(s, r"^(http://[^/?#]*?):0*80(?=[/?#]|$)", "$1")
+    s = rp(s, r"^(https://[^/?#]*?):0*443(?=[/?#]|$)", "$1")
+    s = rp(s, r"^([a-z]+://[^/?#]*)(?=[?#]|$)", "$1/")
+    s = rp(s, r"^([^?#]*)[?](?=#|$)", "$1")
+    s = rp(s, r"(?s)^([^#]*)#$", "$1")
+    body = let(s, "t", f"CASE WHEN t RLIKE {L(ROOT_ONLY)} THEN t ELSE {rp('t', TRAILING, '$1$2$3$4')} END")
+    net = ex(rest(rp("s", r"[\t\r\n]")), r"^//([^/?#]*)")
+    checked = f"CASE WHEN {_bad_port(net)} THEN CAST(NULL AS STRING) ELSE {body} END"
+    prefixed = let(py_strip_sql(u), "s0", "CASE WHEN startswith(s0, 'http://') OR startswith(s0, 'https://') "
+                                          "THEN s0 ELSE concat('https://', s0) END")
+    return f"CASE WHEN {u} RLIKE {L(CANONICAL)} THEN {u} ELSE {let(prefixed, 's', checked)} END"
+
+
+def _merge_paths(bpath: str, hpath: str) -> str:
+    bdir = let(f"split({bpath}, '/', -1)", "bq",
+               "CASE WHEN element_at(bq, -1) <> '' THEN slice(bq, 1, size(bq) - 1) ELSE bq END")
+    tidy = let(f"concat({bdir}, split({hpath}, '/', -1))", "m",
+               "concat(slice(m, 1, 1), filter(slice(m, 2, greatest(size(m) - 2, 0)), z -> z <> ''), "
+               "slice(m, -1, 1))")
+    segs = f"CASE WHEN startswith({hpath}, '/') THEN split({hpath}, '/', -1) ELSE {tidy} END"
+    walk = ("aggregate(sg, CAST(array() AS ARRAY<STRING>), (acc, e) -> CASE WHEN e = '..' THEN "
+            "CASE WHEN size(acc) > 0 THEN slice(acc, 1, size(acc) - 1) ELSE acc END "
+            "WHEN e = '.' THEN acc ELSE array_append(acc, e) END)")
+    fixed = f"CASE WHEN element_at(sg, -1) IN ('.', '..') THEN array_append({walk}, '') ELSE {walk} END"
+    joined = let(f"array_join({fixed}, '/')", "jp", "CASE WHEN jp = '' THEN '/' ELSE jp END")
+    return let(segs, "sg", joined)
+
+
+def _resolve(b: str, h: str) -> str:
+    keep_query = "CASE WHEN hp.query <> '' THEN hp.query ELSE y.bp.query END"
+    inner = (f"CASE WHEN hp.has_net AND hp.net <> '' THEN {unsplit('y.sc', 'hp.net', 'hp.path', 'hp.query', 'hp.frag')} "
+             f"WHEN hp.path = '' THEN {unsplit('y.sc', 'y.bp.net', 'y.bp.path', keep_query, 'hp.frag')} "
+             f"ELSE {let(_merge_paths('y.bp.path', 'hp.path'), 'mp', unsplit('y.sc', 'y.bp.net', 'mp', 'hp.query', 'hp.frag'))} END")
+    joined = let(parts(f"CASE WHEN y.hs <> '' THEN {rest('x.h')} ELSE x.h END"), "hp", inner)
+    with_scheme = f"CASE WHEN y.sc <> y.bs OR NOT {_in('y.sc', USES_RELATIVE)} THEN x.raw ELSE {joined} END"
+    ys = (f"named_struct('bs', {scheme('x.b')}, 'hs', {ex('x.h', SCHEME_RE)}, "
+          f"'sc', CASE WHEN {ex('x.h', SCHEME_RE)} <> '' THEN lower({ex('x.h', SCHEME_RE)}) ELSE {scheme('x.b')} END, "
+          f"'bp', {parts(rest('x.b'))})")
+    general = let(f"named_struct('b', {clean(b)}, 'h', {clean(h)}, 'raw', {h})", "x", let(ys, "y", with_scheme))
+    # fast paths, exact for the shapes they accept (tested against urljoin)
+    hs = ex(h, SCHEME_RE)
+    bs = f"lower({ex(b, SCHEME_RE)})"
+    plain = f"NOT {h} RLIKE {L(r'[\x00-\x20]')} AND NOT {h} RLIKE {L(r'[?](#|$)|#$')}"
+    no_dots = f"NOT {ex(h, r'^([^?#]*)')} RLIKE {L(r'(^|/)[.][.]?(/|$)')}"
+    simple_base = f"{b} RLIKE {L(rf'^{_S}://')} AND NOT {b} RLIKE {L(r'^[^#]*[\x00-\x20]')}"
+    rooted = (f"{plain} AND {no_dots} AND ({h} RLIKE {L(r'^/[^/]')} OR {h} = '/') AND {simple_base} "
+              f"AND {bs} IN ('http', 'https')")
+    absolute = f"{plain} AND {h} RLIKE {L(r'^(http|https)://[^/?#]')} AND {hs} = {bs}"
+    foreign = (f"{hs} <> '' AND lower({hs}) <> {bs} AND {bs} IN ('http', 'https') "
+               f"AND NOT {b} RLIKE {L(r'^[\x00-\x20]')}")
+    root = ex(b, rf"^{_S}(://[^/?#]*)")
+    return (f"CASE WHEN {b} IS NULL OR {b} = '' THEN {h} WHEN {h} IS NULL OR {h} = '' THEN {b} "
+            f"WHEN {foreign} THEN {h} WHEN {absolute} THEN {h} "
+            f"WHEN {rooted} THEN concat({bs}, {root}, {h}) ELSE {general} END")
+
+
+def _variants(u: str) -> str:
+    s, n, p, q, f = "v.s", "v.p.net", "v.p.path", "v.p.query", "v.p.frag"
+    www = f"CASE WHEN startswith({n}, 'www.') THEN substring({n}, 5) ELSE concat('www.', {n}) END"
+    slash = (f"CASE WHEN {p} = '' THEN {unsplit(s, n, L('/'), q, f)} "
+             f"WHEN {p} = '/' THEN {unsplit(s, n, L(''), q, f)} END")
+    other = f"CASE WHEN {s} = 'https' THEN 'http' ELSE 'https' END"
+    body = (f"filter(array({unsplit(s, www, p, q, f)}, {slash}, {unsplit(other, n, p, q, f)}), "
+            f"w -> w IS NOT NULL)")
+    return let(split_struct(clean(u)), "v", body)
+
+
+def _url_path(u: str) -> str:
+    return rp(ex(rest(clean(u)), r"^(?://[^/?#]*)?([^?#]*)"), r";[^/]*$")
+
+
+def _file_name(u: str) -> str:
+    name = "CASE WHEN endswith(lf, '.html') THEN lf ELSE concat(lf, '.html') END"
+    body = (f"CASE WHEN fp = '' OR fp = '/' THEN 'index.html' "
+            f"WHEN contains(lower(fc), 'about') THEN 'aboutus.html' "
+            f"ELSE {rp(name, r'[^a-zA-Z0-9_\-.]', '_')} END")
+    last = f"CASE WHEN {ex('fc', r'([^/]*)$')} = '' THEN 'page' ELSE {ex('fc', r'([^/]*)$')} END"
+    return let(_url_path(u), "fp", let(rp("fp", r"^/+|/+$"), "fc", let(last, "lf", body)))
+
+
+def _md_name(u: str) -> str:
+    stem = ex("mf", r"(?s)^(\.*[^.].*)\.[^.]*$")
+    return let(_file_name(u), "mf", f"concat(CASE WHEN {stem} <> '' THEN {stem} ELSE mf END, '.md')")
+
+
+def _extension(path: str) -> str:
+    return ex(ex(path, r"([^/]*)$"), r"(?s)^\.*[^.].*(\.[^.]*)$")
+
+
+def _is_page(u: str) -> str:
+    subs = " OR ".join(f"contains(lw, {L(s)})" for s in SKIP_SUBSTRINGS)
+    return (f"NOT {_in(f'lower({_extension(_url_path(u))})', SKIP_EXTENSIONS)} "
+            f"AND NOT {let(f'lower({u})', 'lw', f'({subs})')}")
+
+
+def _strip_www(u: str) -> str:
+    return let(split_struct(clean(u)), "v",
+               unsplit("v.s", rp("v.p.net", r"^www(\.|$)"), "v.p.path", "v.p.query", "v.p.frag"))
+
+
+# name -> (argument list, return type, body)
+DEFINITIONS = {
+    "normalize_url": ("u STRING", "STRING", _normalize("u")),
+    "resolve_url": ("b STRING, h STRING", "STRING", _resolve("b", "h")),
+    "host_of": ("u STRING", "STRING", ex(clean("u"), rf"^(?:{_S}:)?//([^/?#]*)")),
+    "site_root": ("u STRING", "STRING",
+                  let(clean("u"), "c", f"concat({scheme('c')}, '://', {ex(rest('c'), r'^//([^/?#]*)')})")),
+    "strip_www": ("u STRING", "STRING", _strip_www("u")),
+    "url_path": ("u STRING", "STRING", _url_path("u")),
+    "is_page_url": ("u STRING", "BOOLEAN", _is_page("u")),
+    "url_variants": ("u STRING", "ARRAY<STRING>", _variants("u")),
+    "page_file_name": ("u STRING", "STRING", _file_name("u")),
+    "markdown_file_name": ("u STRING", "STRING", _md_name("u")),
+}
+
+_REGISTERED: set = set()
+
+
+def register_functions(spark: SparkSession, names=None) -> None:
+    """Define the ``webloom_*`` SQL functions in this session (each once)."""
+    key = spark._jsparkSession.hashCode()
+    for name in names or DEFINITIONS:
+        if (key, name) in _REGISTERED:
+            continue
+        args, ret, body = DEFINITIONS[name]
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION webloom_{name}({args}) RETURNS {ret} RETURN {body}")
+        _REGISTERED.add((key, name))
 
 
-def _bad_port(netloc: Column) -> Column:
-    hostinfo = F.regexp_extract(netloc, r"^(?:.*@)?(.*)$", 1)
-    port = F.when(hostinfo.contains("["),
-                  F.regexp_extract(hostinfo, r"^[^\[]*\[[^\]]*\][^:]*:(.*)$", 1)).otherwise(
-        F.regexp_extract(hostinfo, r"^[^:]*:(.*)$", 1))
-    digits = F.regexp_replace(port, r"^0+(?=.)", "")
-    ok = port.rlike(r"^[0-9]+$") & (F.length(digits) <= 5)
-    return (port != "") & ~(ok & (F.when(ok, digits.cast("int")) <= 65535))
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def normalize_url(c) -> Column:
-    """Canonical form of a page URL.
-
-    strip; prefix ``https://`` unless it already starts with ``http://`` or
-    ``https://``; drop ``:80`` on http and ``:443`` on https; empty path
-    becomes ``/``; trailing slashes go when the path is longer than one
-    character; query and fragment are kept, host case is kept.  A
-    non-numeric or out-of-range port gives null.
-    """
-    def body(s: Column) -> Column:
-        s = F.regexp_replace(s, r"[\t\r\n]", "")
-        s = F.regexp_replace(s, r"^(http://[^/?#]*?):0*80(?=[/?#]|$)", "$1")
-        s = F.regexp_replace(s, r"^(https://[^/?#]*?):0*443(?=[/?#]|$)", "$1")
-        s = F.regexp_replace(s, r"^([a-z]+://[^/?#]*)(?=[?#]|$)", "$1/")
-        s = F.regexp_replace(s, r"^([^?#]*)\?(?=#|$)", "$1")
-        s = F.regexp_replace(s, r"(?s)^([^#]*)#$", "$1")
-        return let(s, lambda t: F.when(t.rlike(_ROOT_ONLY), t).otherwise(
-            F.regexp_replace(t, _TRAILING, "$1$2$3$4")))
-
-    def checked(s: Column) -> Column:
-        net = _net(_rest(F.regexp_replace(s, r"[\t\r\n]", "")))
-        return F.when(_bad_port(net), F.lit(None).cast("string")).otherwise(body(s))
-
-    prefixed = let(py_strip(_c(c)), lambda s: F.when(s.startswith("http://") | s.startswith("https://"), s)
-                   .otherwise(F.concat(_lit("https://"), s)))
-    return let(prefixed, checked)
+def _call(name: str, *cols) -> Column:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        raise RuntimeError("URL functions need an active SparkSession")
+    register_functions(spark, [name])
+    return F.call_function(f"webloom_{name}", *[_c(c) for c in cols])
 
 
 # --------------------------------------------------------------------------
-# #10-#13 hosts
+# Column functions
 # --------------------------------------------------------------------------
 
+def normalize_url(c) -> Column:
+    """#9 Canonical form of a page URL: strip; prefix ``https://`` unless it
+    starts with ``http://``/``https://``; drop ``:80`` on http and ``:443`` on
+    https; empty path becomes ``/``; trailing slashes go when the path is
+    longer than one character; query, fragment and host case are kept.  A
+    non-numeric or out-of-range port gives null."""
+    return _call("normalize_url", c)
+
+
 def host_of(c) -> Column:
-    """Network location (user info and port included, case kept)."""
-    return F.regexp_extract(clean_url(c), rf"^(?:{_S}:)?//([^/?#]*)", 1)
+    """#11 Network location (user info and port included, case kept)."""
+    return _call("host_of", c)
 
 
 def site_root(c) -> Column:
-    """``scheme://netloc``."""
-    return let(clean_url(c), lambda u: F.concat(_scheme(u), _lit("://"), _net(_rest(u))))
+    """#12 ``scheme://netloc``."""
+    return _call("site_root", c)
 
 
-def drop_www(host: Column) -> Column:
-    """Remove one leading ``www`` label."""
-    return F.regexp_replace(host, r"^www(\.|$)", "")
+def drop_www(host) -> Column:
+    """Remove one leading ``www`` label of a host."""
+    return F.regexp_replace(_c(host), r"^www(\.|$)", "")
 
 
 def strip_www(c) -> Column:
-    """URL with one leading ``www`` label removed from its host."""
-    def body(u):
-        r = _rest(u)
-        return unsplit_url(_scheme(u), drop_www(_net(r)), _path(r), _query(r), _frag(r))
-    return let(clean_url(c), body)
+    """#10 URL with one leading ``www`` label removed from its host."""
+    return _call("strip_www", c)
 
 
 def is_internal(link, base_host) -> Column:
-    """Same host once a leading ``www`` label is removed from each side;
+    """#13 Same host once a leading ``www`` label is removed from each side;
     other subdomains and ports make a link external."""
     return drop_www(host_of(link)) == drop_www(_c(base_host))
 
 
 def url_path(c) -> Column:
     """Path component (without ``;params``)."""
-    return _drop_params(_path(_rest(clean_url(c))))
-
-
-# --------------------------------------------------------------------------
-# #14 is_page_url
-# --------------------------------------------------------------------------
-
-# Rejected file extensions (last suffix of the path, lower case).
-SKIP_EXTENSIONS = [
-    ".pdf", ".jpg", ".jpeg", ".png", ".gif", ".svg", ".ico", ".css",
-    ".js", ".mp3", ".mp4", ".mov", ".avi", ".zip", ".rar", ".tar",
-    ".gz", ".7z", ".xml", ".json", ".rss", ".atom", ".doc", ".docx",
-    ".xls", ".xlsx", ".ppt", ".pptx",
-]
-# Rejected substrings anywhere in the lower-cased URL.
-SKIP_SUBSTRINGS = [
-    "format=xml", "format=json", "feed=", "rss", "atom", "print=",
-    "download=", "attachment", "calendar", ".ashx", ".axd",
-    "/wp-admin/", "/wp-login", "/wp-content/uploads/",
-    "/admin/", "/login", "/logout", "/signin", "/signout",
-    "share=", "comment", "/search/",
-]
-
-
-def path_extension(path: Column) -> Column:
-    """Extension of the last path segment, as ``os.path.splitext`` sees it."""
-    base = F.regexp_extract(path, r"([^/]*)$", 1)
-    return F.regexp_extract(base, r"(?s)^\.*[^.].*(\.[^.]*)$", 1)
+    return _call("url_path", c)
 
 
 def is_page_url(c) -> Column:
-    u = _c(c)
-    ext = F.lower(path_extension(url_path(u)))
-    low = F.lower(u)
-    hit = F.lit(False)
-    for s in SKIP_SUBSTRINGS:
-        hit = hit | low.contains(s)
-    return ~ext.isin(*SKIP_EXTENSIONS) & ~hit
-
-
-# --------------------------------------------------------------------------
-# #15-#17 links
-# --------------------------------------------------------------------------
-
-def _merge_paths(bpath: Column, hpath: Column) -> Column:
-    """Relative path resolution with dot-segment removal."""
-    bparts = F.split(bpath, "/", -1)
-    bdir = F.when(F.element_at(bparts, -1) != "", F.slice(bparts, 1, F.size(bparts) - 1)).otherwise(bparts)
-    hparts = F.split(hpath, "/", -1)
-
-    def tidy(m):
-        n = F.size(m)
-        return F.concat(F.slice(m, 1, 1),
-                        F.filter(F.slice(m, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != ""),
-                        F.slice(m, -1, 1))
-
-    def resolve(segs):
-        out = F.aggregate(
-            segs, F.array().cast("array<string>"),
-            lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
-                                  .otherwise(acc))
-            .when(s == ".", acc)
-            .otherwise(F.array_append(acc, s)))
-        out = F.when(F.element_at(segs, -1).isin(".", ".."), F.array_append(out, F.lit(""))).otherwise(out)
-        return let(F.array_join(out, "/"), lambda p: F.when(p == "", _lit("/")).otherwise(p))
-
-    segs = F.when(hpath.startswith("/"), hparts).otherwise(let(F.concat(bdir, hparts), tidy))
-    return let(segs, resolve)
+    """#14 Not a file download or an admin / feed / search style URL."""
+    return _call("is_page_url", c)
 
 
 def resolve_url(base, href) -> Column:
-    """Resolve ``href`` against ``base`` (RFC 3986 style, dot segments
+    """#15 Resolve ``href`` against ``base`` (RFC 3986 style, dot segments
     removed, ``<base href>`` not considered)."""
-    def body(x):
-        b, h = x["b"], x["h"]
-        bscheme = _scheme(b)
-        hs = F.regexp_extract(h, _SCHEME_RE, 1)
-        scheme = F.when(hs != "", F.lower(hs)).otherwise(bscheme)
-        foreign = (scheme != bscheme) | ~scheme.isin(*_USES_RELATIVE)
-
-        def inner(r):
-            br = _rest(b)
-            net, path, query, frag = _net(r), _path(r), _query(r), _frag(r)
-            given = r.startswith("//") & (net != "")
-            keep_path = unsplit_url(scheme, _net(br), _path(br),
-                                    F.when(query != "", query).otherwise(_query(br)), frag)
-            merged = let(_merge_paths(_path(br), path),
-                         lambda p: unsplit_url(scheme, _net(br), p, query, frag))
-            return (F.when(given, unsplit_url(scheme, net, path, query, frag))
-                    .when(path == "", keep_path)
-                    .otherwise(merged))
-
-        joined = let(F.when(hs != "", _rest(h)).otherwise(h), inner)
-        return F.when(foreign, x["raw"]).otherwise(joined)
-
-    bc, hc = _c(base), _c(href)
-    bound = F.struct(clean_url(bc).alias("b"), clean_url(hc).alias("h"), hc.alias("raw"))
-    return (F.when(bc.isNull() | (bc == ""), hc)
-            .when(hc.isNull() | (hc == ""), bc)
-            .otherwise(let(bound, body)))
+    return _call("resolve_url", base, href)
 
 
 def is_followable_href(href) -> Column:
-    """False for empty hrefs and ``javascript:`` / ``mailto:`` / ``tel:``
+    """#16 False for empty hrefs and ``javascript:`` / ``mailto:`` / ``tel:``
     ones (case-sensitive, no trimming)."""
     h = _c(href)
     return (h.isNotNull() & (h != "") & ~h.startswith("javascript:")
@@ -300,56 +350,26 @@ def is_followable_href(href) -> Column:
 
 
 def same_page(link, page_url) -> Column:
-    """Link and page are equal once everything from the first ``#`` goes."""
+    """#17 Link and page are equal once everything from the first ``#`` goes."""
     return F.substring_index(_c(link), "#", 1) == F.substring_index(_c(page_url), "#", 1)
 
 
-# --------------------------------------------------------------------------
-# #18-#21 variants, file names, keys
-# --------------------------------------------------------------------------
-
 def url_variants(c) -> Column:
-    """Ordered alternatives tried when a URL cannot be captured:
-    toggle ``www.``, then toggle an empty/``/`` path, then swap http/https."""
-    def body(u):
-        r = _rest(u)
-        scheme, netloc, path, query, frag = _scheme(u), _net(r), _path(r), _query(r), _frag(r)
-        www = F.when(netloc.startswith("www."), F.substring(netloc, 5, 1 << 30)).otherwise(
-            F.concat(_lit("www."), netloc))
-        v_www = unsplit_url(scheme, www, path, query, frag)
-        v_slash = (F.when(path == "", unsplit_url(scheme, netloc, _lit("/"), query, frag))
-                   .when(path == "/", unsplit_url(scheme, netloc, _lit(""), query, frag)))
-        other = F.when(scheme == "https", _lit("http")).otherwise(_lit("https"))
-        v_scheme = unsplit_url(other, netloc, path, query, frag)
-        return F.filter(F.array(v_www, v_slash, v_scheme), lambda x: x.isNotNull())
-    return let(clean_url(c), body)
-
-
-def sanitize_name(c) -> Column:
-    return F.regexp_replace(_c(c), r"[^a-zA-Z0-9_\-.]", "_")
+    """#18 Ordered alternatives tried when a URL cannot be captured: toggle
+    ``www.``, then toggle an empty/``/`` path, then swap http/https."""
+    return _call("url_variants", c)
 
 
 def page_file_name(c) -> Column:
-    """File name a page is stored under inside its host directory."""
-    def body(path):
-        core = F.regexp_replace(path, r"^/+|/+$", "")
-        last = F.regexp_extract(core, r"([^/]*)$", 1)
-        last = F.when(last == "", _lit("page")).otherwise(last)
-        name = F.when(last.endswith(".html"), last).otherwise(F.concat(last, _lit(".html")))
-        return (F.when((path == "") | (path == "/"), _lit("index.html"))
-                .when(F.lower(core).contains("about"), _lit("aboutus.html"))
-                .otherwise(sanitize_name(name)))
-    return let(url_path(c), body)
+    """#19/#20 File name a page is stored under inside its host directory."""
+    return _call("page_file_name", c)
 
 
 def markdown_file_name(c) -> Column:
-    """The page file name with its extension replaced by ``.md``."""
-    def body(f):
-        stem = F.regexp_extract(f, r"(?s)^(\.*[^.].*)\.[^.]*$", 1)
-        return F.concat(F.when(stem != "", stem).otherwise(f), _lit(".md"))
-    return let(page_file_name(c), body)
+    """#5 The page file name with its extension replaced by ``.md``."""
+    return _call("markdown_file_name", c)
 
 
 def capture_key(c) -> Column:
-    """Hex MD5 of the UTF-8 URL."""
+    """#21 Hex MD5 of the UTF-8 URL."""
     return F.md5(_c(c))

@@ -45,7 +45,10 @@ def _parse_batch(html: pd.Series) -> pd.DataFrame:
                          "hrefs": hrefs, "error": errors})
 
 
-parse_html = F.pandas_udf(_parse_batch, PARSED)
+# Declared non-deterministic on purpose: Catalyst then never copies the call
+# into a pushed-down filter (e.g. the non-empty-array filter it infers for
+# ``posexplode``), so every page is parsed exactly once.
+parse_html = F.pandas_udf(_parse_batch, PARSED).asNondeterministic()
 """Column function: ``parse_html(html) -> STRUCT<title, description, text,
 hrefs ARRAY<STRING>, error>``."""
 

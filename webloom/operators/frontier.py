@@ -10,6 +10,7 @@ driver only loops over depth levels and never sees URLs.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,40 +48,49 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
 
     Returns ``(seed, url, depth, fetched)``; every URL keeps its smallest
     depth and pages are expanded only while ``depth < max_depth``.
+
+    Plan shape: the edge table is restricted to captured sources once,
+    hash-partitioned on ``src`` and kept, so each level shuffles only the
+    (small) frontier to meet it.  Each level is checkpointed to the reliable
+    checkpoint directory, which keeps lineage and plans flat and lets a lost
+    executor be recovered from the last level instead of from the seeds.
     """
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
     e = edges.select("src", "dst")
-    cap = captured.select(F.col(url).alias("url")).distinct() if captured is not None else None
-
-    def mark(df):
-        if cap is None:
-            return df.withColumn("fetched", F.lit(True))
-        hit = cap.withColumn("fetched", F.lit(True))
-        return df.join(hit, "url", "left").withColumn("fetched", F.coalesce("fetched", F.lit(False)))
+    cap = None
+    if captured is not None:
+        cap = captured.select(F.col(url).alias("url")).distinct()
+        e = e.join(cap.select(F.col("url").alias("src")), "src", "left_semi")
+    e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
 
     level = (seeds.select(F.col(seed).alias("seed"), F.col(url).alias("url"))
              .filter(F.col("url").isNotNull()).dropDuplicates(["seed", "url"])
-             .withColumn("depth", F.lit(0)))
-    level = mark(level).checkpoint(eager=True)
+             .withColumn("depth", F.lit(0))).checkpoint(eager=True)
     levels = [level]
     visited = level.select("seed", "url")
-    for d in range(max_depth):
-        grow = level.filter("fetched").select("seed", F.col("url").alias("src"))
-        nxt = (grow.join(e, "src").select("seed", F.col("dst").alias("url"))
-               .dropDuplicates(["seed", "url"])
-               .join(visited, ["seed", "url"], "left_anti")
-               .withColumn("depth", F.lit(d + 1)))
-        nxt = mark(nxt).checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
-        visited = visited.unionByName(nxt.select("seed", "url"))
-        level = nxt
+    try:
+        for d in range(max_depth):
+            nxt = (level.select("seed", F.col("url").alias("src")).join(e, "src")
+                   .select("seed", F.col("dst").alias("url"))
+                   .dropDuplicates(["seed", "url"])
+                   .join(visited, ["seed", "url"], "left_anti")
+                   .withColumn("depth", F.lit(d + 1))).checkpoint(eager=True)
+            if nxt.isEmpty():
+                break
+            levels.append(nxt)
+            visited = visited.unionByName(nxt.select("seed", "url"))
+            level = nxt
+    finally:
+        e.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    return out
+    if cap is None:
+        return out.withColumn("fetched", F.lit(True))
+    hit = cap.withColumn("fetched", F.lit(True))
+    return out.join(hit, "url", "left").select(
+        "seed", "url", "depth", F.coalesce("fetched", F.lit(False)).alias("fetched"))
 
 
 def limit_total(visited: DataFrame, max_urls: int) -> DataFrame:

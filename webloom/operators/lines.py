@@ -33,12 +33,14 @@ def word_count(stripped: Column) -> Column:
     return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, PY_SPACE + "+", -1)))
 
 
-def explode_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+def explode_lines(docs: DataFrame, key: str, text: str, carry=()) -> DataFrame:
     """``(key, text)`` -> one row per line: ``(key, pos, line, norm)`` where
     ``line`` is stripped and ``norm`` its lower-case form.  The input is
-    hash-partitioned on ``key`` so later windows need no further shuffle."""
-    d = docs.select(key, text).repartition(key)
-    return (d.select(key, F.posexplode(split_lines(F.col(text))).alias("pos", "raw"))
+    hash-partitioned on ``key`` so later windows need no further shuffle.
+    A document without lines keeps one row with a null ``pos``.  ``carry``
+    columns (constant per document) ride along."""
+    d = docs.select(key, *carry, text).repartition(key)
+    return (d.select(key, *carry, F.posexplode_outer(split_lines(F.col(text))).alias("pos", "raw"))
             .withColumn("line", py_strip(F.col("raw")))
             .withColumn("norm", F.lower(F.col("line")))
             .drop("raw"))
@@ -48,7 +50,7 @@ def annotate_lines(lines: DataFrame, key: str) -> DataFrame:
     """Adds ``freq`` (occurrences of ``norm`` in the document, blank lines
     not counted), ``words`` and the three drop reasons."""
     by_norm = Window.partitionBy(key, "norm")
-    a = (lines.withColumn("blank", F.col("line") == "")
+    a = (lines.withColumn("blank", F.coalesce(F.col("line") == "", F.lit(True)))
          .withColumn("freq", F.when(~F.col("blank"), F.count(F.lit(1)).over(by_norm)).otherwise(0))
          .withColumn("words", word_count(F.col("line")))
          .withColumn("short", ~F.col("blank") & (F.col("words") < MIN_WORDS))
@@ -70,20 +72,21 @@ def mark_kept(annotated: DataFrame, key: str) -> DataFrame:
             .withColumn("kept", surv & ~F.col("consecutive")))
 
 
-def join_kept(marked: DataFrame, key: str, out: str = "text") -> DataFrame:
-    """Re-assemble each document from its kept lines, in order."""
+def join_kept(marked: DataFrame, key: str, out: str = "text", carry=()) -> DataFrame:
+    """Re-assemble each document from its kept lines, in order.  Grouping by
+    ``key`` plus per-document ``carry`` columns reuses the partitioning."""
     kept = F.collect_list(F.when(F.col("kept"), F.struct("pos", "line")))
-    return marked.groupBy(key).agg(
+    return marked.groupBy(key, *carry).agg(
         F.array_join(F.transform(F.array_sort(kept), lambda s: s["line"]), "\n").alias(out))
 
 
 def trim_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                        out: str = "text") -> DataFrame:
+                        out: str = "text", carry=()) -> DataFrame:
     """Per document: strip lines; drop blank ones, ones under three words,
     ones whose lower-case form occurs more than three times, and ones equal
     to the previous kept line; join the rest with newlines."""
-    lines = explode_lines(docs, key, text)
-    return join_kept(mark_kept(annotate_lines(lines, key), key), key, out)
+    lines = explode_lines(docs, key, text, carry)
+    return join_kept(mark_kept(annotate_lines(lines, key), key), key, out, carry)
 
 
 def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,7 +100,7 @@ def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 # ---------------------------------------------------------------------------
 
 def _field(lines: Column, prefix: str) -> Column:
-    hit = F.element_at(F.filter(lines, lambda l: F.lower(py_strip(l)).startswith(prefix)), 1)
+    hit = F.try_element_at(F.filter(lines, lambda l: F.lower(py_strip(l)).startswith(prefix)), F.lit(1))
     val = F.regexp_extract(hit, r"(?s)^[^:]*:(.*)$", 1)
     return F.coalesce(py_strip(val), F.lit(""))
 
@@ -125,5 +128,4 @@ def parse_markdown(docs: DataFrame, key: str = "doc_id", text: str = "markdown")
         _field(lines, "page title:").alias("title"),
         _field(lines, "meta description:").alias("description"),
         body.alias("body"))
-    trimmed = trim_repeated_lines(head.select(key, "body"), key, "body", "content")
-    return head.drop("body").join(trimmed, key, "left")
+    return trim_repeated_lines(head, key, "body", "content", carry=("url", "title", "description"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import urls as U
 from ..functions.text import py_strip
@@ -62,6 +63,14 @@ def limit_per_host(df: DataFrame, n: int, url: str = "url", order=None) -> DataF
 
 # -- politeness -------------------------------------------------------------------
 
+def epoch_micros(df: DataFrame, ts: str) -> F.Column:
+    """Microseconds since the epoch; a zone-less timestamp is read as UTC
+    whatever the session time zone is."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    return F.unix_micros(F.col(ts))
+
+
 def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
                         ts: str = "ts", tie: str = "event_id",
                         partitions: int | None = None) -> DataFrame:
@@ -87,7 +96,7 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = F.lit(int(delay_us))
     a = arrivals.select(F.col(tie), F.col(host).alias("host"),
-                        F.unix_micros(F.col(ts)).alias("arrival_us"))
+                        epoch_micros(arrivals, ts).alias("arrival_us"))
     ranged = a.repartitionByRange(p, "host", "arrival_us", tie).withColumn(
         "chunk", F.spark_partition_id())
     w_local = Window.partitionBy("chunk", "host").orderBy("arrival_us", tie)
@@ -115,7 +124,7 @@ def politeness_schedule_windowed(arrivals: DataFrame, delay_us: int, host: str =
     kept as the reference formulation for tests."""
     d = F.lit(int(delay_us))
     a = arrivals.select(F.col(tie), F.col(host).alias("host"), F.col(ts),
-                        F.unix_micros(F.col(ts)).alias("arrival_us"))
+                        epoch_micros(arrivals, ts).alias("arrival_us"))
     a = a.withColumn("rn", F.row_number().over(Window.partitionBy("host").orderBy(ts, tie)))
     m = F.max(F.col("arrival_us") - F.col("rn") * d).over(
         Window.partitionBy("host").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0))

@@ -191,7 +191,7 @@ def _drop_consecutive_duplicates(spark, sf):
 
 
 @register("markdown_records", O.with_(O.PAGES_X, O.CONTENT_TEXT_F2)
-          + f" select p.page_id, p.url, {O.TITLE} as title, {_DESC_SQL} as description, "
+          + f" select p.page_id, p.url, {O.TITLE} as title, {_DESC_SQL.replace('page_id', 'p.page_id')} as description, "
             f"case when {O.words('ct.text')} >= 3 then ct.text else '' end as content "
             f"from pages_x p join ct on p.page_id = ct.page_id")
 def _markdown_records(spark, sf):
@@ -289,7 +289,8 @@ _VARIANT_SQL = (
 @register("url_variants", _VARIANT_SQL)
 def _url_variants(spark, sf):
     p = FX.pages(spark, sf)
-    return p.select("page_id", F.posexplode(U.url_variants(F.col("url"))).alias("rank", "variant")) \
+    v = p.select("page_id", U.url_variants(F.col("url")).alias("variants"))
+    return v.select("page_id", F.posexplode("variants").alias("rank", "variant")) \
         .select("page_id", _long(F.col("rank") + 1).alias("rank"), "variant")
 
 
@@ -645,7 +646,8 @@ def _match_variants(spark, sf):
     p = FX.pages(spark, sf).select("page_id", "url")
     store = p.select(U.strip_www(F.col("url")).alias("key")).distinct()
     miss = p.join(store, p["url"] == store["key"], "left_anti")
-    v = miss.select("page_id", "url", F.posexplode(U.url_variants(F.col("url"))).alias("rank", "variant"))
+    v = miss.withColumn("variants", U.url_variants(F.col("url")))
+    v = v.select("page_id", "url", F.posexplode("variants").alias("rank", "variant"))
     hits = v.join(store, v["variant"] == store["key"], "left_semi")
     best = hits.groupBy("page_id", "url").agg(F.min_by(F.struct("rank", "variant"), F.col("rank")).alias("b"))
     return best.select("page_id", "url", _long(F.col("b.rank") + 1).alias("rank"), F.col("b.variant").alias("variant"))

@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         # pages reach tens of KB; keep one Arrow batch well under a few MB
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("WEBLOOM_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
