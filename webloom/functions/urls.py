@@ -82,8 +82,11 @@ def let(e: str, var: str, body: str) -> str:
     return f"element_at(transform(array({e}), {var} -> {body}), 1)"
 
 
+_WS_LITERAL = "'" + "".join(f"\\u{c:04x}" for c in range(0x3001) if chr(c).isspace()) + "'"
+
+
 def py_strip_sql(e: str) -> str:
-    return rp(e, rf"^{PY_SPACE}+|{PY_SPACE}+$")
+    return f"btrim({e}, {_WS_LITERAL})"
 
 
 def clean(e: str) -> str:

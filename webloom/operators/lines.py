@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import PY_SPACE, py_strip
+from ..functions.text import has_words, py_lstrip, py_strip
 
 # Python's str.splitlines() boundaries.
 LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -29,10 +29,6 @@ def split_lines(c: Column) -> Column:
         F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, n - 1)).otherwise(parts))
 
 
-def word_count(stripped: Column) -> Column:
-    return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, PY_SPACE + "+", -1)))
-
-
 def explode_lines(docs: DataFrame, key: str, text: str, carry=()) -> DataFrame:
     """``(key, text)`` -> one row per line: ``(key, pos, line, norm)`` where
     ``line`` is stripped and ``norm`` its lower-case form.  The input is
@@ -48,12 +44,11 @@ def explode_lines(docs: DataFrame, key: str, text: str, carry=()) -> DataFrame:
 
 def annotate_lines(lines: DataFrame, key: str) -> DataFrame:
     """Adds ``freq`` (occurrences of ``norm`` in the document, blank lines
-    not counted), ``words`` and the three drop reasons."""
+    not counted) and the three drop reasons."""
     by_norm = Window.partitionBy(key, "norm")
     a = (lines.withColumn("blank", F.coalesce(F.col("line") == "", F.lit(True)))
          .withColumn("freq", F.when(~F.col("blank"), F.count(F.lit(1)).over(by_norm)).otherwise(0))
-         .withColumn("words", word_count(F.col("line")))
-         .withColumn("short", ~F.col("blank") & (F.col("words") < MIN_WORDS))
+         .withColumn("short", ~F.col("blank") & ~has_words(F.col("line"), MIN_WORDS))
          .withColumn("frequent", ~F.col("blank") & ~F.col("short") & (F.col("freq") > MAX_REPEATS)))
     return a
 
@@ -100,7 +95,10 @@ def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 # ---------------------------------------------------------------------------
 
 def _field(lines: Column, prefix: str) -> Column:
-    hit = F.try_element_at(F.filter(lines, lambda l: F.lower(py_strip(l)).startswith(prefix)), F.lit(1))
+    # only the head of each line is lower-cased: the prefix is ASCII and ends
+    # in ':' so stripping the right end cannot change the test
+    hit = F.try_element_at(F.filter(lines, lambda l: F.lower(F.substring(py_lstrip(l), 1, len(prefix))) == prefix),
+                           F.lit(1))
     val = F.regexp_extract(hit, r"(?s)^[^:]*:(.*)$", 1)
     return F.coalesce(py_strip(val), F.lit(""))
 
@@ -117,12 +115,13 @@ def parse_markdown(docs: DataFrame, key: str = "doc_id", text: str = "markdown")
     ``url:`` / ``page title:`` / ``meta description:`` after stripping and
     lower-casing; the content is every line after the first ``---`` line,
     trimmed with :func:`trim_repeated_lines`."""
-    lines = split_lines(F.col(text))
-    at = F.array_position(F.transform(lines, lambda l: py_strip(l)), "---")
+    d = docs.withColumn("_lines", split_lines(F.col(text)))
+    d = d.withColumn("_at", F.array_position(F.transform("_lines", lambda l: py_strip(l)), "---"))
+    lines, at = F.col("_lines"), F.col("_at")
     body = F.when(at > 0, F.concat(F.array_join(
         F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")),
         "\n"), F.when(F.size(lines) > at, F.lit("\n")).otherwise(F.lit("")))).otherwise(F.lit(""))
-    head = docs.select(
+    head = d.select(
         key,
         _field(lines, "url:").alias("url"),
         _field(lines, "page title:").alias("title"),

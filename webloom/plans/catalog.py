@@ -651,3 +651,39 @@ def _match_variants(spark, sf):
     hits = v.join(store, v["variant"] == store["key"], "left_semi")
     best = hits.groupBy("page_id", "url").agg(F.min_by(F.struct("rank", "variant"), F.col("rank")).alias("b"))
     return best.select("page_id", "url", _long(F.col("b.rank") + 1).alias("rank"), F.col("b.variant").alias("variant"))
+
+
+# =============================================================================
+# Streaming (#60-#62): run to completion, result read back as a table
+# =============================================================================
+
+def _pages_stream(spark, sf):
+    from ..streaming.jobs import read_stream
+    schema = FX.pages(spark, sf).schema
+    return read_stream(spark, sf, "pages.parquet", schema)
+
+
+@register("stream_captures", _MD_SQL.replace("select page_id, url, title, '' as description, text, ",
+                                             "select page_id, url, "))
+def _stream_captures(spark, sf):
+    from ..streaming.jobs import run_to_table, stream_markdown
+    md = stream_markdown(_pages_stream(spark, sf)).select(_long("page_id").alias("page_id"), "url", "markdown")
+    return run_to_table(md, "stream-captures")
+
+
+@register("stream_unseen_urls", "with " + _LINKS_F1
+          + f" select distinct dst as url from t where {_valid_sql('dst')}")
+def _stream_unseen_urls(spark, sf):
+    """Each valid internal link target once.  Which page is recorded as the
+    first to link it depends on arrival order, so only the URL set is
+    compared."""
+    from ..streaming.jobs import run_to_table, stream_unseen_urls
+    return run_to_table(stream_unseen_urls(_pages_stream(spark, sf)), "stream-unseen").select("url")
+
+
+@register("stream_politeness", _POLITE_SQL)
+def _stream_politeness(spark, sf):
+    from ..streaming.jobs import read_stream, run_to_table, stream_politeness
+    events = read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+    arr = events.select("event_id", F.col("user_id").alias("host"), "ts")
+    return run_to_table(stream_politeness(arr, FX.POLITENESS_DELAY_US), "stream-politeness")

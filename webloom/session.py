@@ -69,12 +69,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "reliable checkpoint location on a cluster")
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh directory under the reliable checkpoint location (shared on a
+    cluster) for intermediate tables and stream state."""
+    import uuid
+    root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/webloom-{name}-{uuid.uuid4().hex[:12]}"
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a small input over the cores before CPU-heavy Python work.
 
     A large input already arrives in many scan splits and is left alone, so
     no shuffle of the raw data happens at scale.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
