@@ -94,13 +94,13 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     spark = arrivals.sparkSession
     p = partitions or max(spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
-    d = F.lit(int(delay_us))
+    d = F.lit(int(delay_us)).cast("long")
     a = arrivals.select(F.col(tie), F.col(host).alias("host"),
                         epoch_micros(arrivals, ts).alias("arrival_us"))
     ranged = a.repartitionByRange(p, "host", "arrival_us", tie).withColumn(
         "chunk", F.spark_partition_id())
     w_local = Window.partitionBy("chunk", "host").orderBy("arrival_us", tie)
-    local = (ranged.withColumn("lrn", F.row_number().over(w_local))
+    local = (ranged.withColumn("lrn", F.row_number().over(w_local).cast("long"))
              .withColumn("lv", F.col("arrival_us") - F.col("lrn") * d)
              .withColumn("lmax", F.max("lv").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
     summary = local.groupBy("chunk", "host").agg(
@@ -122,10 +122,10 @@ def politeness_schedule_windowed(arrivals: DataFrame, delay_us: int, host: str =
                                  ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """Single-window form of :func:`politeness_schedule` (one task per host);
     kept as the reference formulation for tests."""
-    d = F.lit(int(delay_us))
+    d = F.lit(int(delay_us)).cast("long")
     a = arrivals.select(F.col(tie), F.col(host).alias("host"), F.col(ts),
                         epoch_micros(arrivals, ts).alias("arrival_us"))
-    a = a.withColumn("rn", F.row_number().over(Window.partitionBy("host").orderBy(ts, tie)))
+    a = a.withColumn("rn", F.row_number().over(Window.partitionBy("host").orderBy(ts, tie)).cast("long"))
     m = F.max(F.col("arrival_us") - F.col("rn") * d).over(
         Window.partitionBy("host").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0))
     return a.select(tie, "host", "arrival_us", "rn", (m + F.col("rn") * d).alias("start_us"))
