@@ -268,7 +268,10 @@ _REGISTERED: set = set()
 
 def register_functions(spark: SparkSession, names=None) -> None:
     """Define the ``webloom_*`` SQL functions in this session (each once)."""
-    key = spark._jsparkSession.hashCode()
+    try:
+        key = spark._jsparkSession.hashCode()
+    except AttributeError:  # a remote (Connect) session has no JVM handle
+        key = id(spark)
     for name in names or DEFINITIONS:
         if (key, name) in _REGISTERED:
             continue

@@ -18,14 +18,14 @@ EDGES = (f"edges as (select {FX.EDGE_SRC} as src, {FX.EDGE_DST} as dst from "
 GRAPH_CAPTURES = f"graph_captures as (select {FX.EDGE_SRC} as url, html from pages)"
 ROBOTS = (f"robots as (select host, {FX.ROBOTS_BODY} as body from "
           f"(select distinct {FX.ROBOTS_HOST} as host from pages))")
-_METHODS = ", ".join(f"({o}, '{m}')" for o, m in FX.ATTEMPT_METHODS)
-ATTEMPTS = ("attempts as (select page_id, url, ord, method, "
+_METHOD_OF = "case ord " + " ".join(f"when {o} then '{m}'" for o, m in FX.ATTEMPT_METHODS) + " end"
+ATTEMPTS = ("attempts as (select page_id, url, ord, " + _METHOD_OF + " as method, "
             + ", ".join(f"{v} as {k}" for k, v in FX.ATTEMPT_COLS.items())
-            + f" from pages cross join (values {_METHODS}) m(ord, method))")
+            + f" from (select page_id, url, html, unnest(range({len(FX.ATTEMPT_METHODS)})) as ord from pages))")
 REPEATS = f"repeats as (select doc_id, {FX.REPEATS_TEXT} as text from documents)"
-SEEDS = ("seeds as (select page_id, v.variant, case v.variant "
+SEEDS = ("seeds as (select page_id, variant, case variant "
          + " ".join(f"when {i} then {e}" for i, e in enumerate(FX.SEED_VARIANTS))
-         + " end as website from pages cross join (values (0),(1),(2),(3)) v(variant))")
+         + f" end as website from (select page_id, url, unnest(range({len(FX.SEED_VARIANTS)})) as variant from pages))")
 
 
 def with_(*ctes: str) -> str:
