@@ -11,11 +11,11 @@ driver only loops over depth levels and never sees URLs.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_dir
 
 # Crawl defaults.
 DEFAULT_MAX_DEPTH = 5
@@ -37,8 +37,18 @@ def unseen(candidates: DataFrame, seen: DataFrame, keys=("seed", "url")) -> Data
     return candidates.dropDuplicates(list(keys)).join(seen.select(*keys), list(keys), "left_anti")
 
 
+def _write_level(df: DataFrame, path: str, name: str):
+    """Write one BFS level as a table in the shared checkpoint folder and read
+    it back: the lineage is cut and a lost executor recovers from here.  The
+    row count is observed during the same write (no extra job)."""
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("urls")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), obs.get["urls"]
+
+
 def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
-          max_depth: int = DEFAULT_MAX_DEPTH, seed: str = "seed", url: str = "url") -> DataFrame:
+          max_depth: int = DEFAULT_MAX_DEPTH, seed: str = "seed", url: str = "url",
+          stats: list | None = None) -> DataFrame:
     """Breadth-first traversal from every seed.
 
     ``seeds``: ``(seed, url)`` with ``url`` already normalised; ``edges``:
@@ -47,16 +57,18 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
     expanded (``None`` means every page is captured).
 
     Returns ``(seed, url, depth, fetched)``; every URL keeps its smallest
-    depth and pages are expanded only while ``depth < max_depth``.
+    depth and pages are expanded only while ``depth < max_depth``.  When a
+    list is passed as ``stats``, ``(depth, new_urls)`` is appended per level.
 
     Plan shape: the edge table is restricted to captured sources once,
     hash-partitioned on ``src`` and kept, so each level shuffles only the
-    (small) frontier to meet it.  Each level is checkpointed to the reliable
-    checkpoint directory, which keeps lineage and plans flat and lets a lost
-    executor be recovered from the last level instead of from the seeds.
+    (small) frontier to meet it.  Each level is written as a table under the
+    reliable checkpoint directory, which keeps lineage and plans flat and
+    lets a lost executor be recovered from the last level instead of from
+    the seeds.  The driver loops over depth levels only.
     """
     spark = seeds.sparkSession
-    ensure_checkpoint_dir(spark)
+    base = scratch_dir(spark, "crawl")
     e = edges.select("src", "dst")
     cap = None
     if captured is not None:
@@ -64,19 +76,25 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
         e = e.join(cap.select(F.col("url").alias("src")), "src", "left_semi")
     e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
 
-    level = (seeds.select(F.col(seed).alias("seed"), F.col(url).alias("url"))
-             .filter(F.col("url").isNotNull()).dropDuplicates(["seed", "url"])
-             .withColumn("depth", F.lit(0))).checkpoint(eager=True)
+    level, n = _write_level(
+        seeds.select(F.col(seed).alias("seed"), F.col(url).alias("url"))
+        .filter(F.col("url").isNotNull()).dropDuplicates(["seed", "url"])
+        .withColumn("depth", F.lit(0)), f"{base}/level=0", "crawl_level_0")
+    if stats is not None:
+        stats.append((0, n))
     levels = [level]
     visited = level.select("seed", "url")
     try:
         for d in range(max_depth):
-            nxt = (level.select("seed", F.col("url").alias("src")).join(e, "src")
-                   .select("seed", F.col("dst").alias("url"))
-                   .dropDuplicates(["seed", "url"])
-                   .join(visited, ["seed", "url"], "left_anti")
-                   .withColumn("depth", F.lit(d + 1))).checkpoint(eager=True)
-            if nxt.isEmpty():
+            nxt, n = _write_level(
+                level.select("seed", F.col("url").alias("src")).join(e, "src")
+                .select("seed", F.col("dst").alias("url"))
+                .dropDuplicates(["seed", "url"])
+                .join(visited, ["seed", "url"], "left_anti")
+                .withColumn("depth", F.lit(d + 1)), f"{base}/level={d + 1}", f"crawl_level_{d + 1}")
+            if stats is not None:
+                stats.append((d + 1, n))
+            if n == 0:
                 break
             levels.append(nxt)
             visited = visited.unionByName(nxt.select("seed", "url"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import urls as U
 from ..functions.text import py_strip
+from ..session import ensure_checkpoint_dir
 from .lines import split_lines
 
 
@@ -89,6 +90,9 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
        best value of earlier chunks of the same host;
     4. join the summary back on (partition, host) and finish per row.
 
+    The per-chunk scan (steps 1-2) is checkpointed once and read by both
+    step 3 and step 4, so the large shuffles run a single time.
+
     Returns ``(tie, host, arrival_us, rn, start_us)``.
     """
     spark = arrivals.sparkSession
@@ -103,6 +107,12 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     local = (ranged.withColumn("lrn", F.row_number().over(w_local).cast("long"))
              .withColumn("lv", F.col("arrival_us") - F.col("lrn") * d)
              .withColumn("lmax", F.max("lv").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
+    # Both the per-chunk summary and the final join read this scan.  The
+    # chunk id is non-deterministic to Catalyst, so the two branches would
+    # not share an exchange: materialise it once in the reliable checkpoint
+    # directory (this also cuts lineage before the small second phase).
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)
     summary = local.groupBy("chunk", "host").agg(
         F.count(F.lit(1)).alias("cnt"), F.max("lv").alias("cmax"))
     w_host = Window.partitionBy("host").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
