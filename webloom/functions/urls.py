@@ -153,6 +153,9 @@ def _normalize(u: str) -> str:
     s = rp(s, r"^([a-z]+://[^/?#]*)(?=[?#]|$)", "$1/")
     s = rp(s, r"^([^?#]*)[?](?=#|$)", "$1")
     s = rp(s, r"(?s)^([^#]*)#$", "$1")
+    # empty netloc, all-slash path and ;params: the path empties and the
+    # URL is put back together without "//"
+    s = rp(s, r"(?s)^([a-z]+:)///+(;[^/?#]*)([?#].*)?$", "$1$2$3")
     body = let(s, "t", f"CASE WHEN t RLIKE {L(ROOT_ONLY)} THEN t ELSE {rp('t', TRAILING, '$1$2$3$4')} END")
     net = ex(rest(rp("s", r"[\t\r\n]")), r"^//([^/?#]*)")
     checked = f"CASE WHEN {_bad_port(net)} THEN CAST(NULL AS STRING) ELSE {body} END"
