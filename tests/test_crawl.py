@@ -2,7 +2,6 @@
 
 from collections import deque
 
-from pyspark.sql import functions as F
 
 from webloom.operators import frontier as FR
 

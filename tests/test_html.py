@@ -1,6 +1,5 @@
 """HTML reader and Markdown layout: tree rules, entities, content areas."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from webloom.functions.htmlkernel import read_page

@@ -4,7 +4,6 @@ import datetime as dt
 import os
 import tempfile
 
-from webloom.plans import fixtures as FX
 from webloom.streaming.jobs import read_stream, run_to_table, stream_markdown, stream_politeness
 from webloom.operators.extract import html_to_markdown
 

@@ -69,6 +69,11 @@ class _PageReader(HTMLParser):
         self.closed_voids = []
         self.run = []
 
+    def updatepos(self, i, j):
+        # line/column tracking is never read here; skipping it saves the
+        # newline counting the tokenizer does between every two tokens
+        return j
+
     # -- tree building -------------------------------------------------
     def _flush(self):
         if self.run:
