@@ -105,3 +105,23 @@ def test_python_whitespace_collapse(spark):
     df = spark.createDataFrame([("a" + s + "b",)], "t string")
     got = df.select(collapse_whitespace(F.col("t"))).first()[0]
     assert got == re.sub(r"\s+", " ", "a" + s + "b")
+
+
+def test_text_after_body_end_is_not_body_text():
+    assert text_of("<html><body>a</body>b</html>c") == "a"
+
+
+def test_content_area_inside_unwanted_subtree_is_ignored():
+    h = '<body><svg><div id="content">hidden</div></svg><p>shown</p></body>'
+    assert text_of(h) == "shown"
+
+
+def test_script_string_with_end_tag_does_not_close_early():
+    h = '<body><script>var t="</p>";</script><p>x</p></body>'
+    assert text_of(h) == "x"
+
+
+def test_first_body_wins_and_nested_areas_repeat():
+    h = '<body><main class="main"><div id="post">in</div></main></body>'
+    # id match first (div), then class match (main, which contains the div)
+    assert text_of(h) == "in in"
