@@ -43,7 +43,8 @@ def _write_level(df: DataFrame, path: str, name: str):
     row count is observed during the same write (no extra job)."""
     obs = Observation(name)
     df.observe(obs, F.count(F.lit(1)).alias("urls")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), obs.get["urls"]
+    # the schema is known: no footer reads to infer it again
+    return df.sparkSession.read.schema(df.schema).parquet(path), obs.get["urls"]
 
 
 def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
