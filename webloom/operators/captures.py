@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..functions.text import py_strip
 
-# Capture acceptance thresholds.
+# Capture acceptance thresholds (a rendered page may be
+# shorter than a static one).
 MIN_STATIC_CHARS = 200
 MIN_RENDERED_CHARS = 100
+RENDERED_METHOD = "rendered"
 MAX_REDIRECTS = 5
 MAX_HOST_FAILURES = 3
 # Challenge-page detection.
@@ -32,14 +34,26 @@ def _c(c) -> Column:
 
 # -- predicates ---------------------------------------------------------------
 
-def big_enough(html, min_chars: int = MIN_STATIC_CHARS) -> Column:
-    """Stripped content has at least ``min_chars`` characters."""
+def big_enough(html, min_chars=MIN_STATIC_CHARS) -> Column:
+    """Stripped content has at least ``min_chars`` characters (an int or a
+    Column)."""
     h = _c(html)
     return h.isNotNull() & (F.length(py_strip(h)) >= min_chars)
 
 
-def drop_small_pages(df: DataFrame, html: str = "html", min_chars: int = MIN_STATIC_CHARS) -> DataFrame:
-    return df.filter(big_enough(html, min_chars))
+def min_chars_for(method: str | None = "method") -> Column:
+    """Per-attempt size threshold: 100 characters for rendered captures,
+    200 otherwise (a plain literal when there is no method column)."""
+    if method is None:
+        return F.lit(MIN_STATIC_CHARS)
+    return F.when(F.col(method) == RENDERED_METHOD, F.lit(MIN_RENDERED_CHARS)).otherwise(
+        F.lit(MIN_STATIC_CHARS))
+
+
+def drop_small_pages(df: DataFrame, html: str = "html", method: str | None = "method") -> DataFrame:
+    if method is not None and method not in df.columns:
+        method = None
+    return df.filter(big_enough(html, min_chars_for(method)))
 
 
 def drop_http_errors(df: DataFrame, status: str = "status") -> DataFrame:
@@ -52,10 +66,11 @@ def drop_redirect_loops(df: DataFrame, redirects: str = "redirects",
 
 
 def acceptable(status: str = "status", redirects: str = "redirects", html: str = "html",
-               min_chars: int = MIN_STATIC_CHARS, max_redirects: int = MAX_REDIRECTS) -> Column:
-    """An attempt that yields a usable capture."""
+               method: str | None = "method", max_redirects: int = MAX_REDIRECTS) -> Column:
+    """An attempt that yields a usable capture: status below 400, fewer
+    redirects than the limit, and enough content for its method."""
     return ((F.col(status) < 400) & (F.col(redirects) < max_redirects)
-            & big_enough(html, min_chars))
+            & big_enough(html, min_chars_for(method)))
 
 
 def is_challenge(url, html) -> Column:
@@ -82,7 +97,8 @@ def first_successful_attempt(attempts: DataFrame, key: str = "url", order: str =
     """Per ``key``, the lowest-``order`` acceptable attempt.  ``carry`` lists
     columns of the winning attempt to keep (keep ``html`` out unless
     needed: it would travel through the shuffle)."""
-    ok = acceptable() if ok is None else ok
+    if ok is None:
+        ok = acceptable(method="method" if "method" in attempts.columns else None)
     cols = [order, *carry]
     win = F.min_by(F.struct(*cols), F.col(order))
     return (attempts.filter(ok).groupBy(key).agg(win.alias("w"))

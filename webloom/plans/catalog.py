@@ -383,11 +383,14 @@ def _links_per_page(spark, sf):
 # Captures (#2, #3, #34-#36, #39, #40, #44, #48, #50, #51) on F5
 # =============================================================================
 
-_OK_SQL = "status < 400 and redirects < 5 and length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) >= 200"
+_MIN_SQL = "case when method = 'rendered' then 100 else 200 end"
+_OK_SQL = ("status < 400 and redirects < 5 and length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) >= "
+           + _MIN_SQL)
 
 
 @register("drop_small_pages", "with " + O.ATTEMPTS
-          + " select page_id, ord::bigint as ord from attempts where length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) >= 200")
+          + " select page_id, ord::bigint as ord from attempts where length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) >= "
+          + _MIN_SQL)
 def _drop_small_pages(spark, sf):
     return C.drop_small_pages(FX.attempts(spark, sf)).select("page_id", _long("ord").alias("ord"))
 
