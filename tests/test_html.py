@@ -125,3 +125,9 @@ def test_first_body_wins_and_nested_areas_repeat():
     h = '<body><main class="main"><div id="post">in</div></main></body>'
     # id match first (div), then class match (main, which contains the div)
     assert text_of(h) == "in in"
+
+
+def test_dedupe_areas_option_emits_each_text_once():
+    h = '<body><main class="main"><div id="post">in</div>out</main><article id="content" class="post">x</article></body>'
+    assert text_of(h) == "in x in out x"
+    assert read_page(h, dedupe_areas=True)[2] == "in out x"

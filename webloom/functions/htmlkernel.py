@@ -197,12 +197,15 @@ def _first(r: _PageReader, name: str, alive=None):
     return -1
 
 
-def read_page(html: str):
+def read_page(html: str, dedupe_areas: bool = False):
     """Parse one page; returns (title, description, text, hrefs).
 
     ``title`` is None when the page has no usable title; ``text`` is the
     stripped non-blank text pieces joined by one space (whitespace inside the
-    pieces is collapsed later, in Spark).
+    pieces is collapsed later, in Spark).  By default an element matching
+    both the id and the class rule, and areas nested in other areas, repeat
+    their text (the contract's behaviour); ``dedupe_areas`` emits each text
+    node at most once, which bounds the output at the page's own size.
     """
     r = _PageReader()
     r.feed(html)
@@ -237,10 +240,10 @@ def read_page(html: str):
         else:
             i += 1
 
-    def texts(lo, hi):
+    def texts(lo, hi, only=None):
         out = []
         for j in range(lo, hi):
-            if kind[j] == 1 and alive[j]:
+            if kind[j] == 1 and alive[j] and (only is None or only[j]):
                 p = parent[j]
                 if p >= 0 and value[p] in SKIPPED_PARENTS:
                     continue
@@ -257,7 +260,14 @@ def read_page(html: str):
                 if v is not None and CONTENT_PATTERN.search(v):
                     areas.append(i)
     pieces = []
-    if areas:
+    if areas and dedupe_areas:
+        covered = [False] * n
+        for i in areas:
+            for j in range(i + 1, end[i]):
+                if not covered[j]:
+                    covered[j] = True
+        pieces = texts(0, n, covered)
+    elif areas:
         for i in areas:
             pieces.extend(texts(i + 1, end[i]))
     else:

@@ -75,7 +75,9 @@ def acceptable(status: str = "status", redirects: str = "redirects", html: str =
 
 def is_challenge(url, html) -> Column:
     """Interstitial / bot-challenge page: a challenge host, or a marker in
-    the first 10,000 characters (case-insensitive)."""
+    the first 10,000 characters (case-insensitive).  The 10,000-character
+    window is part of the detection rule itself (markers sit in the page
+    head), not a sampling shortcut."""
     host = F.lower(U.host_of(url))
     head = F.lower(F.substring(_c(html), 1, CHALLENGE_SCAN_CHARS))
     hit = F.lit(False)

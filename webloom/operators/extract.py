@@ -28,11 +28,11 @@ PARSED = T.StructType([
 ])
 
 
-def _parse_batch(html: pd.Series) -> pd.DataFrame:
+def _parse_all(html, dedupe_areas):
     titles, descs, texts, hrefs, errors = [], [], [], [], []
     for h in html:
         try:
-            t, d, x, a = read_page(h if isinstance(h, str) else "")
+            t, d, x, a = read_page(h if isinstance(h, str) else "", dedupe_areas)
             err = None
         except Exception as e:  # a bad page becomes an error row, never a failed job
             t, d, x, a, err = None, "", "", [], f"{type(e).__name__}: {e}"
@@ -45,6 +45,10 @@ def _parse_batch(html: pd.Series) -> pd.DataFrame:
                          "hrefs": hrefs, "error": errors})
 
 
+def _parse_batch(html: pd.Series) -> pd.DataFrame:
+    return _parse_all(html, False)
+
+
 # Declared non-deterministic on purpose: Catalyst then never copies the call
 # into a pushed-down filter (e.g. the non-empty-array filter it infers for
 # ``posexplode``), so every page is parsed exactly once.
@@ -53,12 +57,21 @@ parse_html = F.pandas_udf(_parse_batch, PARSED).asNondeterministic()
 hrefs ARRAY<STRING>, error>``."""
 
 
+def _parse_batch_deduped(html: pd.Series) -> pd.DataFrame:
+    return _parse_all(html, True)
+
+
+parse_html_deduped = F.pandas_udf(_parse_batch_deduped, PARSED).asNondeterministic()
+"""As :data:`parse_html`, emitting each content-area text node once."""
+
+
 def parse_pages(pages: DataFrame, keys=("page_id",), url: str = "url",
-                html: str = "html") -> DataFrame:
+                html: str = "html", dedupe_areas: bool = False) -> DataFrame:
     """``(keys..., url, html)`` -> ``(keys..., url, p STRUCT)``: the single
     parse of every page.  ``html`` is not carried past this point."""
     src = spread(pages.select(*keys, url, html))
-    return src.select(*keys, url, parse_html(F.col(html)).alias("p"))
+    fn = parse_html_deduped if dedupe_areas else parse_html
+    return src.select(*keys, url, fn(F.col(html)).alias("p"))
 
 
 def render_markdown(url: Column, title: Column, description: Column, text: Column,
@@ -77,10 +90,11 @@ def render_markdown(url: Column, title: Column, description: Column, text: Colum
 
 
 def html_to_markdown(pages: DataFrame, keys=("page_id",), url: str = "url",
-                     html: str = "html") -> DataFrame:
+                     html: str = "html", dedupe_areas: bool = False) -> DataFrame:
     """Flagship operator: pages -> ``(keys..., url, title, description, text,
-    markdown, error)``."""
-    parsed = parse_pages(pages, keys, url, html)
+    markdown, error)``.  ``dedupe_areas`` bounds the text of pages whose
+    content areas nest or match twice (off by default, as in the contract)."""
+    parsed = parse_pages(pages, keys, url, html, dedupe_areas)
     out = parsed.select(
         *keys, F.col(url).alias("url"),
         F.coalesce(F.col("p.title"), F.lit(NO_TITLE)).alias("title"),
