@@ -64,3 +64,17 @@ def test_budget_is_first_n_in_depth_url_order(spark):
     assert got == [(0, "u1"), (0, "u2"), (1, "z")]
     plan = FR.limit_total(v, 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_unseen_dedups_and_excludes_seen(spark):
+    cand = spark.createDataFrame([(0, "a"), (0, "a"), (0, "b"), (1, "a")], "seed long, url string")
+    seen = spark.createDataFrame([(0, "b")], "seed long, url string")
+    assert sorted(tuple(r) for r in FR.unseen(cand, seen).collect()) == [(0, "a"), (1, "a")]
+
+
+def test_limit_per_seed_host_keeps_failures(spark):
+    v = spark.createDataFrame([(0, "https://a.com/1", 0, True), (0, "https://a.com/2", 1, True),
+                               (0, "https://a.com/3", 1, False), (0, "https://b.com/1", 1, True)],
+                              "seed long, url string, depth int, fetched boolean")
+    got = sorted(r.url for r in FR.limit_per_seed_host(v, 1).collect())
+    assert got == ["https://a.com/1", "https://a.com/3", "https://b.com/1"]
