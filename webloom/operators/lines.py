@@ -1,10 +1,10 @@
 """Boilerplate-line trimming (#33) and Markdown record parsing (#32).
 
-Line trimming is a per-document job expressed with windows.  The input is
-hash-partitioned on the document key once; the frequency window on
-``(doc, lower(line))``, the ``lag`` window on ``doc`` and the final
-``groupBy(doc)`` all reuse that partitioning, so the whole operator costs a
-single shuffle and no document is ever pulled into the driver.
+Line trimming is a per-document job.  The input is hash-partitioned on the
+document key once; the frequency window on ``(doc, lower(line))`` and the
+final ``groupBy(doc)`` reuse that partitioning, so the whole operator costs a
+single shuffle and no document is ever pulled into the driver.  The
+row-level forms (``mark_kept``) serve the per-line queries.
 """
 
 from __future__ import annotations
@@ -79,9 +79,19 @@ def trim_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
                         out: str = "text", carry=()) -> DataFrame:
     """Per document: strip lines; drop blank ones, ones under three words,
     ones whose lower-case form occurs more than three times, and ones equal
-    to the previous kept line; join the rest with newlines."""
-    lines = explode_lines(docs, key, text, carry)
-    return join_kept(mark_kept(annotate_lines(lines, key), key), key, out, carry)
+    to the previous kept line; join the rest with newlines.
+
+    Plan: one shuffle by document, one window sort for the frequencies,
+    then each document's surviving lines are collected in order and the
+    consecutive-duplicate rule runs inside that array (the previous kept
+    line is the previous survivor, since equal survivors form runs)."""
+    a = annotate_lines(explode_lines(docs, key, text, carry), key)
+    surv = ~F.col("blank") & ~F.col("short") & ~F.col("frequent")
+    ordered = F.transform(F.array_sort(F.collect_list(F.when(surv, F.struct("pos", "line")))),
+                          lambda s: s["line"])
+    kept = F.element_at(F.transform(F.array(ordered), lambda arr: F.filter(
+        arr, lambda x, i: (i == 0) | (x != F.element_at(arr, i)))), 1)
+    return a.groupBy(key, *carry).agg(F.array_join(kept, "\n").alias(out))
 
 
 def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
