@@ -78,3 +78,12 @@ def test_limit_per_seed_host_keeps_failures(spark):
                               "seed long, url string, depth int, fetched boolean")
     got = sorted(r.url for r in FR.limit_per_seed_host(v, 1).collect())
     assert got == ["https://a.com/1", "https://a.com/3", "https://b.com/1"]
+
+
+def test_blocked_pages_are_visited_not_expanded(spark):
+    edges = [("https://s.com/a", "https://s.com/b"), ("https://s.com/b", "https://s.com/c")]
+    e = spark.createDataFrame(edges, "src string, dst string")
+    seeds = spark.createDataFrame([(0, "https://s.com/a")], "seed long, url string")
+    blocked = spark.createDataFrame([("https://s.com/b",)], "url string")
+    got = {r.url: (r.depth, r.fetched) for r in FR.crawl(seeds, e, None, blocked=blocked).collect()}
+    assert got == {"https://s.com/a": (0, True), "https://s.com/b": (1, False)}

@@ -49,7 +49,7 @@ def _write_level(df: DataFrame, path: str, name: str):
 
 def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
           max_depth: int = DEFAULT_MAX_DEPTH, seed: str = "seed", url: str = "url",
-          stats: list | None = None) -> DataFrame:
+          stats: list | None = None, blocked: DataFrame | None = None) -> DataFrame:
     """Breadth-first traversal from every seed.
 
     ``seeds``: ``(seed, url)`` with ``url`` already normalised; ``edges``:
@@ -60,6 +60,8 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
     Returns ``(seed, url, depth, fetched)``; every URL keeps its smallest
     depth and pages are expanded only while ``depth < max_depth``.  When a
     list is passed as ``stats``, ``(depth, new_urls)`` is appended per level.
+    ``blocked`` URLs (robots rules, the failed list) are visited but never
+    fetched, as at the fetch gate.
 
     Plan shape: the edge table is restricted to captured sources once,
     hash-partitioned on ``src`` and kept, so each level shuffles only the
@@ -71,10 +73,12 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
     spark = seeds.sparkSession
     base = scratch_dir(spark, "crawl")
     e = edges.select("src", "dst")
-    cap = None
-    if captured is not None:
-        cap = captured.select(F.col(url).alias("url")).distinct()
+    cap = captured.select(F.col(url).alias("url")).distinct() if captured is not None else None
+    blk = blocked.select(F.col(url).alias("url")).distinct() if blocked is not None else None
+    if cap is not None:
         e = e.join(cap.select(F.col("url").alias("src")), "src", "left_semi")
+    if blk is not None:
+        e = e.join(blk.select(F.col("url").alias("src")), "src", "left_anti")
     e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
 
     level, n = _write_level(
@@ -105,11 +109,14 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    if cap is None:
-        return out.withColumn("fetched", F.lit(True))
-    hit = cap.withColumn("fetched", F.lit(True))
-    return out.join(hit, "url", "left").select(
-        "seed", "url", "depth", F.coalesce("fetched", F.lit(False)).alias("fetched"))
+    fetched = F.lit(True)
+    if cap is not None:
+        out = out.join(cap.withColumn("_cap", F.lit(True)), "url", "left")
+        fetched = fetched & F.coalesce(F.col("_cap"), F.lit(False))
+    if blk is not None:
+        out = out.join(blk.withColumn("_blk", F.lit(True)), "url", "left")
+        fetched = fetched & ~F.coalesce(F.col("_blk"), F.lit(False))
+    return out.select("seed", "url", "depth", fetched.alias("fetched"))
 
 
 def limit_total(visited: DataFrame, max_urls: int) -> DataFrame:
