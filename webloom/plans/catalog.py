@@ -690,3 +690,40 @@ def _stream_politeness(spark, sf):
     events = read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
     arr = events.select("event_id", F.col("user_id").alias("host"), "ts")
     return run_to_table(stream_politeness(arr, FX.POLITENESS_DELAY_US), "stream-politeness")
+
+
+# =============================================================================
+# The fetch gate inside a crawl (reference Entry B): robots, failed captures
+# =============================================================================
+
+# robots file of the F3 site: a prefix rule that blocks /p/1, /p/10-19, ...
+GRAPH_ROBOTS = "User-agent: *\nDisallow: /p/1\nAllow: /\n"
+
+
+def _graph_policy(spark, sf):
+    att = FX.attempts(spark, sf).withColumn("url", F.concat(F.lit("https://site.example.com/p/"), F.col("page_id")))
+    captured = C.first_successful_attempt(att).select("url")
+    nodes = FX.edges(spark, sf).select(F.col("src").alias("url")).distinct()
+    robots = spark.createDataFrame([("site.example.com", GRAPH_ROBOTS)], "host string, body string")
+    blocked = P.blocked_by_robots(nodes, P.parse_robots(robots))
+    return captured, blocked
+
+
+_POLICY_SQL = (O.ATTEMPTS + f", ok as (select distinct 'https://site.example.com/p/' || page_id as url from attempts where {_OK_SQL})"
+               ", gate as (select url from ok where not starts_with(regexp_extract(url, '^https?://[^/]*([^?#]*)', 1), '/p/1'))")
+
+
+@register("crawl_policy", ("with recursive " + _FOLLOW_SQL + ", " + _POLICY_SQL
+                           + ", s(seed, url) as (values (0, 'https://site.example.com/p/0')), "
+                             "walk(seed, url, depth) as (select seed, url, 0 from s union "
+                             "select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url "
+                             f"join gate g on g.url = w.url where w.depth < {CRAWL_DEPTH}), "
+                             "v as (select seed, url, min(depth) as depth from walk group by seed, url) "
+                             "select v.seed::bigint as seed, v.url, v.depth::bigint as depth, "
+                             "exists (select 1 from gate g where g.url = v.url) as fetched from v"))
+def _crawl_policy(spark, sf):
+    """BFS where a page is fetched (and expanded) only if it has an
+    acceptable capture attempt and no robots rule blocks it."""
+    captured, blocked = _graph_policy(spark, sf)
+    seeds = spark.range(1).select(F.col("id").alias("seed"), F.lit(FX.CRAWL_SEEDS[0][1]).alias("url"))
+    return _crawl_out(FR.crawl(seeds, follow_x(spark, sf), captured, max_depth=CRAWL_DEPTH, blocked=blocked))
