@@ -727,3 +727,34 @@ def _crawl_policy(spark, sf):
     captured, blocked = _graph_policy(spark, sf)
     seeds = spark.range(1).select(F.col("id").alias("seed"), F.lit(FX.CRAWL_SEEDS[0][1]).alias("url"))
     return _crawl_out(FR.crawl(seeds, follow_x(spark, sf), captured, max_depth=CRAWL_DEPTH, blocked=blocked))
+
+
+# =============================================================================
+# End-to-end crawl job (reference main loop): every page URL is a seed
+# =============================================================================
+
+_SITE_SQL = (
+    "with recursive a2 as (select " + O.normalize("url") + " as src, u.href from pages, "
+    "lateral (select unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) href) u), "
+    f"t2 as (select src, {O.normalize(O.resolve('src', 'href'))} as dst from a2 where {_FOLLOW}), "
+    f"cap as (select distinct {O.normalize('url')} as url from pages), "
+    f"fe as (select distinct src, dst from t2 where {_valid_sql('dst')} "
+      f"and {O.drop_www(O.host('dst'))} = {O.drop_www(O.host('src'))}), "
+      f"s(seed, url) as (select page_id, {O.normalize('url')} from pages), "
+      "walk(seed, url, depth) as (select seed, url, 0 from s union "
+      "select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url "
+      f"join cap c on c.url = w.url where w.depth < {CRAWL_DEPTH}), "
+      "v as (select seed, url, min(depth) as depth from walk group by seed, url), "
+      "r as (select *, row_number() over (partition by seed order by depth, url) rn from v) "
+      "select r.seed::bigint as seed, r.url, r.depth::bigint as depth, "
+      f"exists (select 1 from cap c where c.url = r.url) as fetched from r where rn <= {FR.DEFAULT_MAX_URLS}")
+
+
+@register("site_crawl", _SITE_SQL)
+def _site_crawl(spark, sf):
+    """Every page URL seeds its own crawl over the links found in the
+    captures (parsed once), within the default budget."""
+    from .crawl_job import crawl_site, normalized_captures
+    pages = FX.pages(spark, sf)
+    seeds = pages.select(F.col("page_id").alias("seed"), U.normalize_url(F.col("url")).alias("url"))
+    return _crawl_out(crawl_site(seeds, normalized_captures(pages)))
