@@ -37,6 +37,7 @@ HEADLINE = [
     "crawl_many",             # level-synchronous BFS with checkpoints
     "name_collisions",
     "match_variants",
+    "site_crawl",             # end to end: 2,500 seeds, parse once, link graph, BFS, budget
 ]
 
 
