@@ -534,24 +534,34 @@ def _names_sql() -> str:
             "from pages p join n on p.page_id = n.page_id)")
 
 
-def _named(spark, sf, markdown=False) -> DataFrame:
-    return IO.name_files(FX.pages(spark, sf).select("page_id", "url"), markdown=markdown)
-
-
 @register("name_collisions", _names_sql() + " select page_id, url, host, file_name from k where page_id <> last_id")
 def _name_collisions(spark, sf):
     return IO.name_collisions(FX.pages(spark, sf)).select("page_id", "url", "host", "file_name")
 
 
+def _written_manifest(spark, sf, path) -> DataFrame:
+    """What a sink actually wrote, read back and tied to page ids."""
+    written = spark.read.parquet(path).select("host", "file_name", "url")
+    return FX.pages(spark, sf).select("page_id", "url").join(written, "url").select("page_id", "host", "file_name")
+
+
 @register("html_sink_manifest", _names_sql() + " select page_id, host, file_name from k where page_id = last_id")
 def _html_sink_manifest(spark, sf):
-    return _named(spark, sf).filter("winner").select("page_id", "host", "file_name")
+    """#4: write the host-partitioned HTML tree, then read it back."""
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "html-tree")
+    IO.write_html_tree(FX.pages(spark, sf), path)
+    return _written_manifest(spark, sf, path)
 
 
 @register("markdown_sink_manifest", _names_sql().replace("n.file_name) as last_id", "n.md_name) as last_id")
           + " select page_id, host, md_name as file_name from k where page_id = last_id")
 def _markdown_sink_manifest(spark, sf):
-    return _named(spark, sf, markdown=True).filter("winner").select("page_id", "host", "file_name")
+    """#5: write the host-partitioned Markdown tree, then read it back."""
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "markdown-tree")
+    IO.write_markdown_tree(markdown_pages(spark, sf).select("page_id", "url", "markdown"), path)
+    return _written_manifest(spark, sf, path)
 
 
 # =============================================================================
