@@ -71,3 +71,11 @@ def test_read_markdown_files(spark):
         f.write("URL: https://a.com/\n\n---\n\nsome text here\n")
     r = IO.read_markdown(spark, d).first()
     assert r.markdown.startswith("URL: https://a.com/")
+
+
+def test_decode_matches_python_replacement_per_bad_run(spark):
+    cases = [b"a\xffb", b"\xe2\x82", b"\xe2\x82a", b"\xed\xa0\x80x", b"\xf0\x9f\x98", b"\xc0\xafz",
+             b"\xf4\x90\x80\x80", b"\x80\x80\x80", b"ok\xe2\x82\xacok", b"\xf8\x88\x80\x80\x80", b"\xe0\x80\xaf", b"\xc3"]
+    df = spark.createDataFrame([(bytearray(c),) for c in cases], "b binary")
+    got = [r[0] for r in df.select(IO.decode_content(F.col("b"))).collect()]
+    assert got == [c.decode("utf-8", errors="replace") for c in cases]
