@@ -131,3 +131,12 @@ def test_dedupe_areas_option_emits_each_text_once():
     h = '<body><main class="main"><div id="post">in</div>out</main><article id="content" class="post">x</article></body>'
     assert text_of(h) == "in x in out x"
     assert read_page(h, dedupe_areas=True)[2] == "in out x"
+
+
+def test_keep_paragraphs_option(spark):
+    h = "<body><h1>Title  here</h1><p>one\n two</p><span>inline</span> <p>three</p></body>"
+    assert read_page(h)[2] == "Title  here one\n two inline three"
+    assert read_page(h, keep_paragraphs=True)[2] == "Title here\n\none two\n\ninline three"
+    pages = spark.createDataFrame([(1, "https://a.com/", h)], "page_id long, url string, html string")
+    md = html_to_markdown(pages, keep_paragraphs=True).first().markdown
+    assert md.endswith("---\n\nTitle here\n\none two\n\ninline three")

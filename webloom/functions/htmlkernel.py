@@ -44,6 +44,9 @@ SKIPPED_PARENTS = frozenset(["script", "style", "meta", "link"])
 # searched (case-insensitively) in their id, then in their class.
 CONTENT_ELEMENTS = frozenset(["main", "article", "div", "section"])
 CONTENT_PATTERN = re.compile("(content|main|article|post)", re.I)
+# Parents whose text ends a paragraph (paragraph mode only).
+BLOCK_PARENTS = frozenset("p div li h1 h2 h3 h4 h5 h6 header footer blockquote pre br hr "
+                          "table tr section article".split())
 # Meta ``name`` values accepted as the page description.
 DESCRIPTION_NAMES = ("description", "Description")
 
@@ -197,7 +200,23 @@ def _first(r: _PageReader, name: str, alive=None):
     return -1
 
 
-def read_page(html: str, dedupe_areas: bool = False):
+_BLANK_LINE = re.compile(r"\n\s*\n")
+_SPACES = re.compile(r"[^\S\n]+")
+
+
+def paragraphs_of(marked: str) -> str:
+    """Paragraph mode: blank lines separate paragraphs; inside one, lines
+    and whitespace runs become single spaces; paragraphs are joined by one
+    blank line."""
+    out = []
+    for block in _BLANK_LINE.split(_SPACES.sub(" ", marked)):
+        para = " ".join(part.strip() for part in block.split("\n") if part.strip())
+        if para:
+            out.append(para)
+    return "\n\n".join(out)
+
+
+def read_page(html: str, dedupe_areas: bool = False, keep_paragraphs: bool = False):
     """Parse one page; returns (title, description, text, hrefs).
 
     ``title`` is None when the page has no usable title; ``text`` is the
@@ -206,6 +225,9 @@ def read_page(html: str, dedupe_areas: bool = False):
     both the id and the class rule, and areas nested in other areas, repeat
     their text (the contract's behaviour); ``dedupe_areas`` emits each text
     node at most once, which bounds the output at the page's own size.
+    ``keep_paragraphs`` returns body text already cleaned into paragraphs:
+    text under block elements ends a paragraph (the contract collapses all
+    whitespace instead, so its output is a single line).
     """
     r = _PageReader()
     r.feed(html)
@@ -240,7 +262,7 @@ def read_page(html: str, dedupe_areas: bool = False):
         else:
             i += 1
 
-    def texts(lo, hi, only=None):
+    def texts(lo, hi, only=None, blocks=False):
         out = []
         for j in range(lo, hi):
             if kind[j] == 1 and alive[j] and (only is None or only[j]):
@@ -249,7 +271,7 @@ def read_page(html: str, dedupe_areas: bool = False):
                     continue
                 s = value[j].strip()
                 if s:
-                    out.append(s)
+                    out.append(s + "\n\n" if blocks and p >= 0 and value[p] in BLOCK_PARENTS else s)
         return out
 
     areas = []
@@ -273,7 +295,10 @@ def read_page(html: str, dedupe_areas: bool = False):
     else:
         b = _first(r, "body", alive)
         if b >= 0:
-            pieces = texts(b + 1, end[b])
+            pieces = texts(b + 1, end[b], blocks=keep_paragraphs)
         else:
             pieces = texts(0, n)
-    return title, description, " ".join(pieces), hrefs
+    text = " ".join(pieces)
+    if keep_paragraphs:
+        text = paragraphs_of(text)
+    return title, description, text, hrefs

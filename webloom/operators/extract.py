@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import urls as U
 from ..functions.htmlkernel import read_page
-from ..functions.text import NO_TITLE, clean_text
+from ..functions.text import NO_CONTENT, NO_TITLE, clean_text
 from ..session import spread
 
 PARSED = T.StructType([
@@ -28,11 +28,11 @@ PARSED = T.StructType([
 ])
 
 
-def _parse_all(html, dedupe_areas):
+def _parse_all(html, dedupe_areas=False, keep_paragraphs=False):
     titles, descs, texts, hrefs, errors = [], [], [], [], []
     for h in html:
         try:
-            t, d, x, a = read_page(h if isinstance(h, str) else "", dedupe_areas)
+            t, d, x, a = read_page(h if isinstance(h, str) else "", dedupe_areas, keep_paragraphs)
             err = None
         except Exception as e:  # a bad page becomes an error row, never a failed job
             t, d, x, a, err = None, "", "", [], f"{type(e).__name__}: {e}"
@@ -46,7 +46,7 @@ def _parse_all(html, dedupe_areas):
 
 
 def _parse_batch(html: pd.Series) -> pd.DataFrame:
-    return _parse_all(html, False)
+    return _parse_all(html)
 
 
 # Declared non-deterministic on purpose: Catalyst then never copies the call
@@ -56,21 +56,27 @@ parse_html = F.pandas_udf(_parse_batch, PARSED).asNondeterministic()
 """Column function: ``parse_html(html) -> STRUCT<title, description, text,
 hrefs ARRAY<STRING>, error>``."""
 
+_VARIANTS = {}
 
-def _parse_batch_deduped(html: pd.Series) -> pd.DataFrame:
-    return _parse_all(html, True)
 
+def parse_udf(dedupe_areas: bool = False, keep_paragraphs: bool = False):
+    """The parse UDF for the given options (the default one is ``parse_html``)."""
+    if not dedupe_areas and not keep_paragraphs:
+        return parse_html
+    key = (dedupe_areas, keep_paragraphs)
+    if key not in _VARIANTS:
+        def batch(html: pd.Series) -> pd.DataFrame:
+            return _parse_all(html, dedupe_areas, keep_paragraphs)
+        _VARIANTS[key] = F.pandas_udf(batch, PARSED).asNondeterministic()
+    return _VARIANTS[key]
 
-parse_html_deduped = F.pandas_udf(_parse_batch_deduped, PARSED).asNondeterministic()
-"""As :data:`parse_html`, emitting each content-area text node once."""
 
-
-def parse_pages(pages: DataFrame, keys=("page_id",), url: str = "url",
-                html: str = "html", dedupe_areas: bool = False) -> DataFrame:
+def parse_pages(pages: DataFrame, keys=("page_id",), url: str = "url", html: str = "html",
+                dedupe_areas: bool = False, keep_paragraphs: bool = False) -> DataFrame:
     """``(keys..., url, html)`` -> ``(keys..., url, p STRUCT)``: the single
     parse of every page.  ``html`` is not carried past this point."""
     src = spread(pages.select(*keys, url, html))
-    fn = parse_html_deduped if dedupe_areas else parse_html
+    fn = parse_udf(dedupe_areas, keep_paragraphs)
     return src.select(*keys, url, fn(F.col(html)).alias("p"))
 
 
@@ -89,17 +95,20 @@ def render_markdown(url: Column, title: Column, description: Column, text: Colum
     return F.when(error.isNull(), md).otherwise(failed)
 
 
-def html_to_markdown(pages: DataFrame, keys=("page_id",), url: str = "url",
-                     html: str = "html", dedupe_areas: bool = False) -> DataFrame:
+def html_to_markdown(pages: DataFrame, keys=("page_id",), url: str = "url", html: str = "html",
+                     dedupe_areas: bool = False, keep_paragraphs: bool = False) -> DataFrame:
     """Flagship operator: pages -> ``(keys..., url, title, description, text,
     markdown, error)``.  ``dedupe_areas`` bounds the text of pages whose
-    content areas nest or match twice (off by default, as in the contract)."""
-    parsed = parse_pages(pages, keys, url, html, dedupe_areas)
+    content areas nest or match twice; ``keep_paragraphs`` keeps body text
+    in paragraphs (both off by default, as in the contract)."""
+    parsed = parse_pages(pages, keys, url, html, dedupe_areas, keep_paragraphs)
+    text = (F.when(F.col("p.text") == "", F.lit(NO_CONTENT)).otherwise(F.col("p.text"))
+            if keep_paragraphs else clean_text(F.col("p.text")))
     out = parsed.select(
         *keys, F.col(url).alias("url"),
         F.coalesce(F.col("p.title"), F.lit(NO_TITLE)).alias("title"),
         F.col("p.description").alias("description"),
-        clean_text(F.col("p.text")).alias("text"),
+        text.alias("text"),
         F.col("p.error").alias("error"))
     return out.select(
         *keys, "url", "title", "description", "text",
