@@ -112,6 +112,12 @@ def html_to_markdown(pages: DataFrame, keys=("page_id",), url: str = "url", html
     content areas nest or match twice; ``keep_paragraphs`` keeps body text
     in paragraphs (both off by default, as in the contract)."""
     parsed = parse_pages(pages, keys, url, html, dedupe_areas, keep_paragraphs)
+    return markdown_from_parsed(parsed, keys, url, keep_paragraphs)
+
+
+def markdown_from_parsed(parsed: DataFrame, keys=("page_id",), url: str = "url",
+                         keep_paragraphs: bool = False) -> DataFrame:
+    """Markdown documents from an existing parse (``parse_pages`` output)."""
     text = (F.when(F.col("p.text") == "", F.lit(NO_CONTENT)).otherwise(F.col("p.text"))
             if keep_paragraphs else clean_text(F.col("p.text")))
     out = parsed.select(

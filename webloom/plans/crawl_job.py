@@ -42,7 +42,8 @@ def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None
         fetched = visited.filter("fetched").select("url").distinct()
         pages = captures.join(fetched, "url", "left_semi").withColumn("seq", F.xxhash64("url"))
         IO.write_html_tree(pages, f"{out_dir}/html", seq="seq")
-        docs = X.html_to_markdown(pages.select("seq", "url", "html"), keys=("seq",))
+        docs = X.markdown_from_parsed(parsed.join(fetched, "url", "left_semi"), keys=()) \
+            .withColumn("seq", F.xxhash64("url"))
         IO.write_markdown_tree(docs, f"{out_dir}/markdown", seq="seq")
         ext = X.external_links(links, keys=()).join(fetched.withColumnRenamed("url", "src"), "src", "left_semi")
         IO.write_external_links(ext, f"{out_dir}/external_links")
