@@ -22,3 +22,15 @@ def test_crawl_site_writes_outputs(spark):
     assert sorted(r.file_name for r in md.collect()) == ["index.md", "x.md"]
     ext = spark.read.option("header", True).csv(f"{out}/external_links")
     assert [tuple(r)[:2] for r in ext.collect()] == [("https://a.com/", "https://b.org/")]
+
+
+def test_crawl_site_respects_robots(spark):
+    pages = spark.createDataFrame([
+        (0, "https://a.com/", '<body><a href="/private/x">x</a><a href="/open">o</a>home page text</body>'),
+        (1, "https://a.com/private/x", '<body><a href="/deep">d</a>secret page text</body>'),
+        (2, "https://a.com/open", '<body>open page text</body>'),
+    ], "page_id long, url string, html string")
+    seeds = spark.createDataFrame([(0, "https://a.com/")], "seed long, url string")
+    robots = spark.createDataFrame([("a.com", "User-agent: *\nDisallow: /private")], "host string, body string")
+    got = {r.url: r.fetched for r in crawl_site(seeds, normalized_captures(pages), robots=robots).collect()}
+    assert got == {"https://a.com/": True, "https://a.com/private/x": False, "https://a.com/open": True}

@@ -15,19 +15,25 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..operators import extract as X
 from ..operators import frontier as FR
+from ..operators import policy as P
 from ..session import scratch_dir
 from ..sources import io as IO
 
 
 def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None,
                max_depth: int = FR.DEFAULT_MAX_DEPTH, max_urls: int = FR.DEFAULT_MAX_URLS,
-               blocked: DataFrame | None = None) -> DataFrame:
+               blocked: DataFrame | None = None, robots: DataFrame | None = None) -> DataFrame:
     """``seeds``: ``(seed, url)`` (normalised); ``captures``: ``(url, html)``
     keyed by the URL a crawl would request.  Returns the visited pages
     ``(seed, url, depth, fetched)`` within the budget; with ``out_dir``, also
     writes ``html/``, ``markdown/`` (host-partitioned, with manifests) and
-    ``external_links/`` (per-host CSV)."""
+    ``external_links/`` (per-host CSV).  ``robots`` (``host, body``) turns
+    on robots rules: a blocked page is visited but not fetched; ``blocked``
+    adds URLs to skip outright (the failed list)."""
     spark = seeds.sparkSession
+    if robots is not None:
+        ruled = P.blocked_by_robots(captures.select("url"), P.parse_robots(robots)).select("url")
+        blocked = ruled if blocked is None else blocked.select("url").unionByName(ruled)
     base = scratch_dir(spark, "site")
     parsed = X.parse_pages(captures.select("url", "html"), keys=())
     parsed.write.mode("overwrite").parquet(f"{base}/parsed")
