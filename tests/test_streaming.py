@@ -37,3 +37,21 @@ def test_politeness_state_carries_across_batches(spark):
         s = us if h not in last else max(us, last[h] + delay)
         last[h], want[e] = s, s
     assert got == want
+
+
+def test_unseen_urls_with_watermark_bounded_state(spark):
+    from webloom.streaming.jobs import stream_unseen_urls
+    d = tempfile.mkdtemp(prefix="webloom-captures-")
+    base = dt.datetime(2024, 1, 1)
+    batches = [
+        [(0, "https://a.com/", '<a href="/x">x</a><a href="/y">y</a>', base)],
+        [(1, "https://a.com/z", '<a href="/x">x</a><a href="/w">w</a>', base + dt.timedelta(minutes=5))],
+    ]
+    schema = "page_id long, url string, html string, ts timestamp"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(d, f"b{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(d)
+    out = run_to_table(stream_unseen_urls(stream, event_time="ts", delay="1 hour"), "t-unseen")
+    got = sorted(r.url for r in out.collect())
+    assert got == ["https://a.com/w", "https://a.com/x", "https://a.com/y"]

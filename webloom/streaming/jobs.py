@@ -43,17 +43,23 @@ def stream_markdown(pages: DataFrame) -> DataFrame:
     return X.html_to_markdown(pages)
 
 
-def stream_unseen_urls(pages: DataFrame) -> DataFrame:
+def stream_unseen_urls(pages: DataFrame, event_time: str | None = None,
+                       delay: str = "1 day") -> DataFrame:
     """Valid internal link targets, each emitted once (stateful dedup).
 
     Without an event-time column the de-duplication state holds every URL
-    seen; when captures carry a timestamp, use
-    ``dropDuplicatesWithinWatermark`` after ``withWatermark`` to bound it."""
-    links = X.classify_links(X.page_anchors(X.parse_pages(pages)))
+    seen.  With ``event_time`` (a timestamp column of the captures), state is
+    bounded by a watermark: a URL seen again within ``delay`` is dropped,
+    and state older than the watermark is evicted."""
+    keys = ("page_id",) if event_time is None else ("page_id", event_time)
+    links = X.classify_links(X.page_anchors(X.parse_pages(pages, keys=keys), keys=keys))
     valid = links.filter(F.col("internal") & F.col("dst").isNotNull())
     valid = valid.withColumn("valid", U.is_page_url(F.col("dst"))).filter("valid")
-    return valid.select(F.col("dst").alias("url"), F.col("page_id").alias("first_page")) \
-        .dropDuplicates(["url"])
+    out = valid.select(F.col("dst").alias("url"), F.col("page_id").alias("first_page"),
+                       *([F.col(event_time)] if event_time else []))
+    if event_time is None:
+        return out.dropDuplicates(["url"])
+    return out.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
 
 
 SCHEDULE_SCHEMA = T.StructType([
