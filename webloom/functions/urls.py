@@ -251,6 +251,30 @@ def _strip_www(u: str) -> str:
                unsplit("v.s", rp("v.p.net", r"^www(\.|$)"), "v.p.path", "v.p.query", "v.p.frag"))
 
 
+def _host(e: str) -> str:
+    return ex(clean(e), rf"^(?:{_S}:)?//([^/?#]*)")
+
+
+def link_info_sql(page: str, href: str) -> str:
+    """One expression for a link found on a page: ``struct(link, same,
+    internal, dst)`` - the resolved link, whether it points back to the page,
+    whether it is internal, and its normalised form (internal) or itself
+    (external).  Each URL function is evaluated once per link."""
+    same = f"substring_index(q.l, '#', 1) = substring_index({page}, '#', 1)"
+    info = (f"named_struct('link', q.l, 'same', {same}, 'internal', q.i, "
+            f"'dst', CASE WHEN q.i THEN {_normalize('q.l')} ELSE q.l END)")
+    internal = (f"{rp(_host('l'), r'^www(\.|$)')} = {rp(_host(page), r'^www(\.|$)')}")
+    return let(_resolve(page, href), "l", let(f"named_struct('l', l, 'i', {internal})", "q", info))
+
+
+def follow_target_sql(src: str, dst: str) -> str:
+    """``struct(dst, ok)``: the normalised target and whether a crawl follows
+    it (internal to the source's host, a valid port, a page-like URL)."""
+    internal = f"{rp(_host(dst), r'^www(\.|$)')} = {rp(_host(src), r'^www(\.|$)')}"
+    ok = f"{internal} AND n IS NOT NULL AND {_is_page('n')}"
+    return let(_normalize(dst), "n", f"named_struct('dst', n, 'ok', coalesce({ok}, false))")
+
+
 # name -> (argument list, return type, body)
 DEFINITIONS = {
     "normalize_url": ("u STRING", "STRING", _normalize("u")),

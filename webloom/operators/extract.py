@@ -147,13 +147,17 @@ def page_anchors(parsed: DataFrame, keys=("page_id",), url: str = "url") -> Data
 def classify_links(anchors: DataFrame) -> DataFrame:
     """Drop non-links and same-page links, resolve the rest and tag each as
     internal or external.  Adds ``link`` (resolved), ``internal`` (bool),
-    ``dst`` (normalised for internal, raw for external)."""
+    ``dst`` (normalised for internal, raw for external).
+
+    Resolution, locality and normalisation come from one expression
+    evaluated inside a one-row generator: Catalyst cannot push later filters
+    below a generator, so nothing is evaluated twice (a plain projection
+    would have the filters on ``link``/``dst`` pushed below it, each with a
+    copy of the URL expressions)."""
     a = anchors.filter(U.is_followable_href(F.col("href")))
-    a = a.withColumn("link", U.resolve_url(F.col("src"), F.col("href")))
-    a = a.filter(~U.same_page(F.col("link"), F.col("src")))
-    a = a.withColumn("internal", U.is_internal(F.col("link"), U.host_of(F.col("src"))))
-    return a.withColumn("dst", F.when(F.col("internal"), U.normalize_url(F.col("link")))
-                        .otherwise(F.col("link")))
+    info = F.expr(U.link_info_sql("src", "href"))
+    a = a.select(*a.columns, F.inline(F.array(info)))
+    return a.filter(~F.col("same")).drop("same")
 
 
 def internal_links(links: DataFrame, keys=("page_id",)) -> DataFrame:

@@ -25,11 +25,11 @@ DEFAULT_MAX_URLS = 5000
 def follow_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Edges a crawl follows: internal to the source page's host and
     pointing at a page-like URL; targets normalised, duplicates removed."""
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    e = e.filter(U.is_internal(F.col("dst"), U.host_of(F.col("src"))))
-    e = e.select("src", U.normalize_url(F.col("dst")).alias("dst"))
-    e = e.filter(F.col("dst").isNotNull() & U.is_page_url(F.col("dst")))
-    return e.dropDuplicates(["src", "dst"])
+    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("raw"))
+    # one generator row per edge: the filter stays above it, so the URL
+    # expressions are evaluated once per edge
+    e = e.select("src", F.inline(F.array(F.expr(U.follow_target_sql("src", "raw")))))
+    return e.filter("ok").select("src", "dst").dropDuplicates(["src", "dst"])
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, keys=("seed", "url")) -> DataFrame:
