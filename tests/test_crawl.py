@@ -87,3 +87,13 @@ def test_blocked_pages_are_visited_not_expanded(spark):
     blocked = spark.createDataFrame([("https://s.com/b",)], "url string")
     got = {r.url: (r.depth, r.fetched) for r in FR.crawl(seeds, e, None, blocked=blocked).collect()}
     assert got == {"https://s.com/a": (0, True), "https://s.com/b": (1, False)}
+
+
+def test_crawl_reports_level_sizes(spark):
+    edges = [("https://s.com/a", "https://s.com/b"), ("https://s.com/a", "https://s.com/c"),
+             ("https://s.com/b", "https://s.com/d")]
+    e = spark.createDataFrame(edges, "src string, dst string")
+    seeds = spark.createDataFrame([(0, "https://s.com/a")], "seed long, url string")
+    stats = []
+    FR.crawl(seeds, e, None, max_depth=5, stats=stats)
+    assert stats == [(0, 1), (1, 2), (2, 1), (3, 0)]
