@@ -3,16 +3,24 @@ their DuckDB equivalents."""
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, langid, mixing, simhash
+from . import ann, bpe, chat, exact_dedup, langid, lm, mixing, simhash, urlfilter, warc
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op2_language_id": langid.op2_language_id,
+    "op3_warc": warc.op3_warc,
     "op4_mixing": mixing.op4_mixing,
+    "op5_nearest_neighbours": ann.op5_nearest_neighbours,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_chat_format": chat.op7_chat_format,
+    "op8_url_filter": urlfilter.op8_url_filter,
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op10_lm_scoring": lm.op10_lm_scoring,
 }
 
 ORACLES = {
+    "op3_warc": warc.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_chat_format": chat.ORACLE,
+    "op8_url_filter": urlfilter.ORACLE,
 }
