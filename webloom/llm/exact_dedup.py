@@ -44,7 +44,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # equal bytes inside each group of two or more
     hashed = rows.withColumn("h", content_hash(F.col("text").cast("binary")))
-    texts = hashed.join(many.withColumnRenamed("h", "many_h"), F.col("h") == F.col("many_h"))
+    # (a merge join at every size: the hashes grow with the input)
+    texts = hashed.join(many.withColumnRenamed("h", "many_h").hint("merge"), F.col("h") == F.col("many_h"))
     # grouping by a derived key leaves the join free to split a hot hash, and the
     # partial aggregate folds each part before the next exchange
     mixed = saved(texts.groupBy(F.concat(F.col("h").cast("string"), F.lit("|")).alias("g"))
