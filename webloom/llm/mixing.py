@@ -170,7 +170,7 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     chosen = saved(chosen.select(F.col(id_col).alias("__mix_id"), F.col("size").alias("__mix_size"), "__mix_times"),
                    "mix-chosen")
     rows = df.withColumn("__mix_n", n_words(F.col(text_col).cast("string")))
-    rows = rows.join(chosen, F.col(id_col).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_n") == F.col("__mix_size")))
+    rows = rows.join(chosen.hint("merge"), F.col(id_col).eqNullSafe(F.col("__mix_id")) & (F.col("__mix_n") == F.col("__mix_size")))
     again = F.explode(F.sequence(F.lit(1), F.col("__mix_times")))
     return rows.withColumn("__mix_copy", again).select(df.columns)
 
