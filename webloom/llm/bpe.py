@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from ..session import table
 
 PIECE_CHARS = 1 << 18          # a text is encoded in pieces of about this many characters
-KNOWN = 1 << 19                # words whose ids a Python worker remembers, per generation
-MATCHES = 1 << 17              # and matches
+KNOWN = 1 << 17                # words whose ids a Python worker remembers, per generation
+MATCHES = 1 << 16              # and matches
 LONGEST = 64                   # longer matches aren't remembered
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 _RUN = re.compile(r"\s[ \n]")   # white space before a separator
@@ -235,7 +235,7 @@ def encode(df: DataFrame, model: str, pattern: str, id_col: str = "doc_id", text
     return rows.mapInArrow(work, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, tokens binary{more}")
 
 
-def _portions(b: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _portions(b: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of a batch, about ``most`` text bytes at a time."""
     rows = max(1, min(b.num_rows, int(b.num_rows * most / max(1, b.column(1).nbytes))))
     for at in range(0, b.num_rows, rows):
