@@ -74,7 +74,7 @@ def nearest_sum(sizes: list[int], counts: list[int], want: int) -> list[int]:
     take = [0] * len(sizes)
     if want <= 0 or not sizes:
         return take
-    top = want + min(sizes)                  # any farther above loses to taking nothing more
+    top = 2 * want                           # any farther above loses to taking nothing
     mask = (1 << (top + 1)) - 1
     reach, steps = 1, []
     for i, (size, n) in enumerate(zip(sizes, counts)):
