@@ -30,7 +30,8 @@ def test_latest_capture_and_redirects(spark):
 def test_challenge_flag(spark):
     df = spark.createDataFrame([("https://x.pages.dev/", "<p>hi</p>"), ("https://a.com", "<p>" + "a" * 20000 + "cf-ray</p>"),
                                 ("https://a.com", "<!-- CF-Ray -->")], "url string, html string")
-    assert [r.challenge for r in C.flag_challenge_pages(df).collect()] == [True, False, True]
+    assert [r.challenge for r in C.flag_challenge_pages(df, scan_chars=C.CHALLENGE_SCAN_CHARS).collect()] == [True, False, True]
+    assert [r.challenge for r in C.flag_challenge_pages(df).collect()] == [True, True, True]
 
 
 def test_seed_csv_and_normalisation(spark):

@@ -3,6 +3,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from webloom.operators import policy as P
 
 
@@ -48,3 +50,10 @@ def test_limit_per_host_plans_partial_group_limit(spark):
     got = out.groupBy("host").count().collect()
     assert all(r["count"] == 3 for r in got)
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_politeness_keeps_requests_without_a_host(spark):
+    df = spark.createDataFrame([(1, None, 10), (2, "a", 10), (3, None, 11)], "event_id long, user_id string, t long")
+    df = df.select("event_id", F.col("user_id").alias("host"), F.timestamp_seconds("t").alias("ts"))
+    got = {r.event_id: (r.rn, r.start_us) for r in P.politeness_schedule(df, 5_000_000).collect()}
+    assert got == {1: (1, 10_000_000), 3: (2, 15_000_000), 2: (1, 10_000_000)}

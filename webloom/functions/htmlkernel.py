@@ -25,6 +25,7 @@ and "inside X" tests are range tests - no object tree is built.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.entities import html5 as _HTML5
 from html.parser import HTMLParser
 
@@ -69,7 +70,7 @@ class _PageReader(HTMLParser):
         self.attrs = {}   # element index -> attribute dict
         self.stack = []   # open element indices
         self.open_count = {}
-        self.closed_voids = []
+        self.closed_voids = Counter()   # void elements already closed, by name
         self.run = []
 
     def updatepos(self, i, j):
@@ -120,15 +121,15 @@ class _PageReader(HTMLParser):
         self._open(tag, attrs)
         if void_close and tag in VOID_ELEMENTS:
             self._close(tag)
-            self.closed_voids.append(tag)
+            self.closed_voids[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs, void_close=False)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in self.closed_voids:
-            self.closed_voids.remove(tag)
+        if self.closed_voids[tag]:
+            self.closed_voids[tag] -= 1
         else:
             self._close(tag)
 

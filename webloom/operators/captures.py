@@ -73,13 +73,13 @@ def acceptable(status: str = "status", redirects: str = "redirects", html: str =
             & big_enough(html, min_chars_for(method)))
 
 
-def is_challenge(url, html) -> Column:
+def is_challenge(url, html, scan_chars: int | None = None) -> Column:
     """Interstitial / bot-challenge page: a challenge host, or a marker in
-    the first 10,000 characters (case-insensitive).  The 10,000-character
-    window is part of the detection rule itself (markers sit in the page
-    head), not a sampling shortcut."""
+    the page (case-insensitive).  The whole page is searched unless ``scan_chars``
+    asks for its beginning only (``CHALLENGE_SCAN_CHARS`` is the usual window)."""
     host = F.lower(U.host_of(url))
-    head = F.lower(F.substring(_c(html), 1, CHALLENGE_SCAN_CHARS))
+    page = _c(html)
+    head = F.lower(page if scan_chars is None else F.substring(page, 1, scan_chars))
     hit = F.lit(False)
     for h in CHALLENGE_HOSTS:
         hit = hit | host.contains(h)
@@ -88,8 +88,9 @@ def is_challenge(url, html) -> Column:
     return hit
 
 
-def flag_challenge_pages(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    return df.withColumn("challenge", is_challenge(url, html))
+def flag_challenge_pages(df: DataFrame, url: str = "url", html: str = "html",
+                         scan_chars: int | None = None) -> DataFrame:
+    return df.withColumn("challenge", is_challenge(url, html, scan_chars))
 
 
 # -- selection ----------------------------------------------------------------

@@ -17,10 +17,8 @@ from pyspark.sql import types as T
 from ..functions import urls as U
 from ..functions.htmlkernel import read_page
 from ..functions.text import NO_CONTENT, NO_TITLE, clean_text
-from ..session import spread
 
 # Arrow batch size for the parse job when the session has not tuned it.
-PAGE_BATCH_ROWS = 512
 
 PARSED = T.StructType([
     T.StructField("title", T.StringType()),
@@ -77,15 +75,10 @@ def parse_udf(dedupe_areas: bool = False, keep_paragraphs: bool = False):
 def parse_pages(pages: DataFrame, keys=("page_id",), url: str = "url", html: str = "html",
                 dedupe_areas: bool = False, keep_paragraphs: bool = False) -> DataFrame:
     """``(keys..., url, html)`` -> ``(keys..., url, p STRUCT)``: the single
-    parse of every page.  ``html`` is not carried past this point.
-
-    Pages run to tens of KB, so a session still at Spark's default Arrow
-    batch of 10,000 rows gets 512-row batches instead (a tuned value is
-    left alone)."""
-    conf = pages.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAGE_BATCH_ROWS))
-    src = spread(pages.select(*keys, url, html))
+    parse of every page, in the partitions that the input has.  ``html`` is not
+    carried past this point.  Spark bounds an Arrow batch by bytes, so the
+    session's settings are left alone."""
+    src = pages.select(*keys, url, html)
     fn = parse_udf(dedupe_areas, keep_paragraphs)
     return src.select(*keys, url, fn(F.col(html)).alias("p"))
 

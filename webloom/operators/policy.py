@@ -120,8 +120,9 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
                # best (a_j - j*d) of this chunk in host-global row numbers
                .withColumn("gmax", F.col("cmax") - F.col("offset") * d))
     summary = summary.withColumn("prev_max", F.max("gmax").over(w_host)).select(
-        "chunk", "host", "offset", "prev_max")
-    j = local.join(summary, ["chunk", "host"], "inner")
+        F.col("chunk").alias("s_chunk"), F.col("host").alias("s_host"), "offset", "prev_max")
+    # null-safe: requests without a host share one schedule
+    j = local.join(summary, (F.col("chunk") == F.col("s_chunk")) & F.col("host").eqNullSafe(F.col("s_host")))
     rn = F.col("offset") + F.col("lrn")
     # greatest() skips the null prev_max of a host's first chunk
     best = F.greatest(F.col("lmax") - F.col("offset") * d, F.col("prev_max"))

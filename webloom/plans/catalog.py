@@ -115,7 +115,7 @@ def _markdown_x(spark, sf):
 
 _CHALLENGE_SQL = (O.with_(O.PAGES_X) + "select page_id, ("
                   + " or ".join([f"contains(lower({O.host('url')}), '{h}')" for h in C.CHALLENGE_HOSTS]
-                                + [f"contains(lower(substr(html, 1, {C.CHALLENGE_SCAN_CHARS})), '{m}')"
+                                + [f"contains(lower(html), '{m}')"
                                    for m in C.CHALLENGE_MARKERS])
                   + ") as challenge from pages_x")
 

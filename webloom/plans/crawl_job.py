@@ -21,11 +21,11 @@ from ..sources import io as IO
 
 
 def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None,
-               max_depth: int = FR.DEFAULT_MAX_DEPTH, max_urls: int = FR.DEFAULT_MAX_URLS,
+               max_depth: int = FR.DEFAULT_MAX_DEPTH, max_urls: int | None = None,
                blocked: DataFrame | None = None, robots: DataFrame | None = None) -> DataFrame:
     """``seeds``: ``(seed, url)`` (normalised); ``captures``: ``(url, html)``
     keyed by the URL a crawl would request.  Returns the visited pages
-    ``(seed, url, depth, fetched)`` within the budget; with ``out_dir``, also
+    ``(seed, url, depth, fetched)``, within the budget ``max_urls`` if one is given; with ``out_dir``, also
     writes ``html/``, ``markdown/`` (host-partitioned, with manifests) and
     ``external_links/`` (per-host CSV).  ``robots`` (``host, body``) turns
     on robots rules: a blocked page is visited but not fetched; ``blocked``
@@ -42,7 +42,8 @@ def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None
     links = X.classify_links(X.page_anchors(parsed, keys=()))
     edges = FR.follow_edges(links.filter("internal").select("src", F.col("link").alias("dst")))
     visited = FR.crawl(seeds, edges, captures.select("url"), max_depth=max_depth, blocked=blocked)
-    visited = FR.limit_total(visited, max_urls)
+    if max_urls is not None:
+        visited = FR.limit_total(visited, max_urls)
 
     if out_dir is not None:
         fetched = visited.filter("fetched").select("url").distinct()

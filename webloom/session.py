@@ -1,10 +1,9 @@
-"""Session helpers: building a session, table access, checkpoint location,
-and spreading small inputs over the cluster's cores."""
+"""Session helpers: building a session, table access and checkpoint location."""
 
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,16 +14,20 @@ TABLES = (
 ).split()
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "webloom") -> SparkSession:
     """A session configured the way the library expects (AQE on, UTC,
-    Arrow batches sized for whole web pages, no UI)."""
+    Arrow batches sized for whole web pages, no UI).  Heap sizes and, unless given,
+    the number of shuffle partitions are left to the session's own settings."""
     b = SparkSession.builder.appName(app)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("WEBLOOM_DRIVER_MEMORY"):
+        b = b.config("spark.driver.memory", os.environ["WEBLOOM_DRIVER_MEMORY"])
     if master:
         b = b.master(master)
     return (
-        b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -33,7 +36,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("WEBLOOM_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
 
@@ -48,9 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only when unset.
 
     On a cluster the shared location comes from ``spark.checkpoint.dir``.
-    Only a local-mode session (tests, single machine) may fall back to a
-    fresh scratch directory; a cluster session without the setting is an
-    error, since a machine-local folder would not survive executor loss.
+    Only a session on one machine (tests) falls back, to a folder in the
+    warehouse; a cluster session without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,8 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="webloom-ckpt-"))
+    if sc.master == "local" or sc.master.startswith("local["):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(f"{warehouse}/webloom-scratch-{uuid.uuid4().hex[:12]}")
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; iterative operators need a shared "
@@ -72,25 +74,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the reliable checkpoint location (shared on a
     cluster) for intermediate tables and stream state."""
-    import uuid
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/webloom-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a small input over the cores before CPU-heavy Python work.
-
-    A large input already arrives in many scan splits and is left alone, so
-    no shuffle of the raw data happens at scale.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as is
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
