@@ -1,15 +1,16 @@
 """Boilerplate-line trimming (#33) and Markdown record parsing (#32).
 
-Line trimming is a per-document job.  The input is hash-partitioned on the
-document key once; the frequency window on ``(doc, lower(line))`` and the
-final ``groupBy(doc)`` reuse that partitioning, so the whole operator costs a
-single shuffle and no document is ever pulled into the driver.  The
-row-level forms (``mark_kept``) serve the per-line queries.
+Line trimming is a per-document job and a document is one row, so it runs on
+each row's own array of lines: no shuffle, no key, and rows with equal keys
+stay apart.  How often a line occurs is read from the sorted array, where equal
+lines are neighbours, so the cost of a document is that of sorting its lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_words, py_lstrip, py_strip
@@ -21,6 +22,11 @@ MIN_WORDS = 3
 MAX_REPEATS = 3
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def split_lines(c: Column) -> Column:
     """``str.splitlines()`` as an array (no trailing empty element)."""
     parts = F.split(c, LINE_BREAKS, -1)
@@ -29,75 +35,84 @@ def split_lines(c: Column) -> Column:
         F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, n - 1)).otherwise(parts))
 
 
-def explode_lines(docs: DataFrame, key: str, text: str, carry=()) -> DataFrame:
-    """``(key, text)`` -> one row per line: ``(key, pos, line, norm)`` where
-    ``line`` is stripped and ``norm`` its lower-case form.  The input is
-    hash-partitioned on ``key`` so later windows need no further shuffle.
-    A document without lines keeps one row with a null ``pos``.  ``carry``
-    columns (constant per document) ride along."""
-    d = docs.select(key, *carry, text).repartition(key)
-    return (d.select(key, *carry, F.posexplode_outer(split_lines(F.col(text))).alias("pos", "raw"))
-            .withColumn("line", py_strip(F.col("raw")))
-            .withColumn("norm", F.lower(F.col("line")))
-            .drop("raw"))
-
-
-def annotate_lines(lines: DataFrame, key: str) -> DataFrame:
-    """Adds ``freq`` (occurrences of ``norm`` in the document, blank lines
-    not counted) and the three drop reasons."""
-    by_norm = Window.partitionBy(key, "norm")
-    a = (lines.withColumn("blank", F.coalesce(F.col("line") == "", F.lit(True)))
-         .withColumn("freq", F.when(~F.col("blank"), F.count(F.lit(1)).over(by_norm)).otherwise(0))
-         .withColumn("short", ~F.col("blank") & ~has_words(F.col("line"), MIN_WORDS))
-         .withColumn("frequent", ~F.col("blank") & ~F.col("short") & (F.col("freq") > MAX_REPEATS)))
-    return a
-
-
-def mark_kept(annotated: DataFrame, key: str) -> DataFrame:
-    """Adds ``consecutive`` (equal to the previous surviving line) and
-    ``kept``.  Equal adjacent survivors form runs, so the previous *kept*
-    line equals the previous surviving line."""
-    surv = ~F.col("blank") & ~F.col("short") & ~F.col("frequent")
-    w = Window.partitionBy(key).orderBy("pos")
-    # the previous surviving line: carry the last one forward
-    last_surv = F.last(F.when(surv, F.col("line")), ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, -1))
-    return (annotated.withColumn("consecutive", surv & (last_surv == F.col("line")))
-            .withColumn("consecutive", F.coalesce(F.col("consecutive"), F.lit(False)))
-            .withColumn("kept", surv & ~F.col("consecutive")))
-
-
-def join_kept(marked: DataFrame, key: str, out: str = "text", carry=()) -> DataFrame:
-    """Re-assemble each document from its kept lines, in order.  Grouping by
-    ``key`` plus per-document ``carry`` columns reuses the partitioning."""
-    kept = F.collect_list(F.when(F.col("kept"), F.struct("pos", "line")))
-    return marked.groupBy(key, *carry).agg(
-        F.array_join(F.transform(F.array_sort(kept), lambda s: s["line"]), "\n").alias(out))
+def raw_lines(c: Column) -> Column:
+    """Lines for the functions below, which skip blank ones: a trailing empty
+    element does no harm and a null text has no line."""
+    return F.split(F.coalesce(c, F.lit("")), LINE_BREAKS, -1)
+
+
+def filled_lines(raw: Column) -> Column:
+    """Raw lines -> ``array<struct<pos, line>>`` of the stripped non-blank ones."""
+    placed = F.transform(F.transform(raw, py_strip),
+                         lambda line, i: F.struct(i.alias("pos"), line.alias("line")))
+    return F.filter(placed, lambda x: x["line"] != "")
+
+
+def long_lines(raw: Column) -> Column:
+    """The non-blank lines of at least ``MIN_WORDS`` words."""
+    return F.filter(filled_lines(raw), lambda x: has_words(x["line"], MIN_WORDS))
+
+
+def rare_lines(raw: Column) -> Column:
+    """Long lines whose lower-case form occurs at most ``MAX_REPEATS`` times.
+
+    Among the sorted lines, one belongs to a longer run if some window of
+    ``MAX_REPEATS + 1`` neighbours that holds it starts and ends alike.  Short
+    lines can't share a form with long ones, so they are dropped first."""
+    keyed = F.array_sort(F.transform(long_lines(raw), lambda x: F.struct(
+        F.lower(x["line"]).alias("norm"), x["pos"].alias("pos"), x["line"].alias("line"))))
+
+    def in_long_run(s: Column, i: Column) -> Column:
+        windows = [F.coalesce(F.get(s, i - k)["norm"] == F.get(s, i - k + MAX_REPEATS)["norm"], F.lit(False))
+                   for k in range(MAX_REPEATS + 1)]
+        return reduce(lambda a, b: a | b, windows)
+
+    rare = _bound(keyed, lambda s: F.filter(s, lambda x, i: ~in_long_run(s, i)))
+    return F.array_sort(F.transform(rare, lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line"))))
+
+
+def kept_lines(raw: Column) -> Column:
+    """Rare lines that differ from the kept line before them.  Equal neighbours
+    form runs, so the last kept line always equals the last rare one."""
+    return _bound(rare_lines(raw), lambda s: F.filter(
+        s, lambda x, i: (i == 0) | (x["line"] != F.get(s, i - 1)["line"])))
+
+
+def line_counts(raw: Column) -> Column:
+    """``array<struct<line, n>>``: occurrences of each lower-case line.  The
+    lengths of runs are differences between the places where they end."""
+    norms = F.array_sort(F.transform(filled_lines(raw), lambda x: F.lower(x["line"])))
+    ends = _bound(norms, lambda s: F.filter(
+        F.transform(s, lambda x, i: F.struct(x.alias("line"), i.alias("at"),
+                                             F.coalesce(F.get(s, i + 1) != x, F.lit(True)).alias("last"))),
+        lambda e: e["last"]))
+    return _bound(ends, lambda r: F.transform(r, lambda e, k: F.struct(
+        e["line"].alias("line"),
+        (e["at"] - F.coalesce(F.get(r, k - 1)["at"], F.lit(-1))).cast("long").alias("n"))))
+
+
+def trimmed(raw: Column) -> Column:
+    """The text left of raw lines: strip them; drop blank ones, ones under
+    three words, ones whose lower-case form occurs more than three times, and
+    ones equal to the kept line before; join the rest with newlines."""
+    return F.array_join(F.transform(kept_lines(raw), lambda x: x["line"]), "\n")
 
 
 def trim_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                         out: str = "text", carry=()) -> DataFrame:
-    """Per document: strip lines; drop blank ones, ones under three words,
-    ones whose lower-case form occurs more than three times, and ones equal
-    to the previous kept line; join the rest with newlines.
-
-    Plan: one shuffle by document, one window sort for the frequencies,
-    then each document's surviving lines are collected in order and the
-    consecutive-duplicate rule runs inside that array (the previous kept
-    line is the previous survivor, since equal survivors form runs)."""
-    a = annotate_lines(explode_lines(docs, key, text, carry), key)
-    surv = ~F.col("blank") & ~F.col("short") & ~F.col("frequent")
-    ordered = F.transform(F.array_sort(F.collect_list(F.when(surv, F.struct("pos", "line")))),
-                          lambda s: s["line"])
-    kept = F.element_at(F.transform(F.array(ordered), lambda arr: F.filter(
-        arr, lambda x, i: (i == 0) | (x != F.element_at(arr, i)))), 1)
-    return a.groupBy(key, *carry).agg(F.array_join(kept, "\n").alias(out))
+    """Per row: ``(key, *carry, out)`` with the trimmed text (see :func:`trimmed`).
+    A null text becomes an empty one; repeated keys stay separate rows."""
+    return docs.select(key, *carry, trimmed(raw_lines(F.col(text))).alias(out))
+
+
+def explode_lines(docs: DataFrame, lines, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per line that ``lines`` (one of the functions above) returns."""
+    return docs.select(key, F.inline(lines(raw_lines(F.col(text)))))
 
 
 def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Occurrences of each stripped, lower-cased non-blank line per document."""
-    lines = explode_lines(docs, key, text).filter(F.col("line") != "")
-    return lines.groupBy(key, F.col("norm").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+    return explode_lines(docs, line_counts, key, text)
 
 
 # ---------------------------------------------------------------------------
@@ -124,17 +139,14 @@ def parse_markdown(docs: DataFrame, key: str = "doc_id", text: str = "markdown")
     Header fields come from the first line (anywhere) starting with
     ``url:`` / ``page title:`` / ``meta description:`` after stripping and
     lower-casing; the content is every line after the first ``---`` line,
-    trimmed with :func:`trim_repeated_lines`."""
-    d = docs.withColumn("_lines", split_lines(F.col(text)))
-    d = d.withColumn("_at", F.array_position(F.transform("_lines", lambda l: py_strip(l)), "---"))
+    trimmed like :func:`trim_repeated_lines`."""
+    d = docs.withColumn("_lines", split_lines(F.coalesce(F.col(text), F.lit(""))))
+    d = d.withColumn("_at", F.array_position(F.transform("_lines", py_strip), "---").cast("int"))
     lines, at = F.col("_lines"), F.col("_at")
-    body = F.when(at > 0, F.concat(F.array_join(
-        F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")),
-        "\n"), F.when(F.size(lines) > at, F.lit("\n")).otherwise(F.lit("")))).otherwise(F.lit(""))
-    head = d.select(
+    body = F.when(at > 0, F.slice(lines, at + 1, F.size(lines))).otherwise(F.array().cast("array<string>"))
+    return d.select(
         key,
         _field(lines, "url:").alias("url"),
         _field(lines, "page title:").alias("title"),
         _field(lines, "meta description:").alias("description"),
-        body.alias("body"))
-    return trim_repeated_lines(head, key, "body", "content", carry=("url", "title", "description"))
+        trimmed(body).alias("content"))

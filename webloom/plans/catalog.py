@@ -160,24 +160,21 @@ def _line_frequency(spark, sf):
     return L.line_frequency(table(spark, sf, "documents"))
 
 
-def _annotated(docs: DataFrame) -> DataFrame:
-    return L.mark_kept(L.annotate_lines(L.explode_lines(docs, "doc_id", "text"), "doc_id"), "doc_id")
+def _lines(docs: DataFrame, lines) -> DataFrame:
+    return L.explode_lines(docs, lines).select("doc_id", _long("pos").alias("pos"), "line")
 
 
 @register("drop_short_lines", "with " + O.lines_cte("documents")
           + f" select doc_id, pos::bigint as pos, line from l where line <> '' and {O.words('line')} >= 3")
 def _drop_short_lines(spark, sf):
-    a = _annotated(table(spark, sf, "documents"))
-    return a.filter(~F.col("blank") & ~F.col("short")).select("doc_id", _long("pos").alias("pos"), "line")
+    return _lines(table(spark, sf, "documents"), L.long_lines)
 
 
 @register("drop_frequent_lines", "with " + O.lines_cte("documents")
           + ", f as (select *, count(*) over (partition by doc_id, lower(line)) c from l where line <> '') "
           + f"select doc_id, pos::bigint as pos, line from f where {O.words('line')} >= 3 and c <= 3")
 def _drop_frequent_lines(spark, sf):
-    a = _annotated(table(spark, sf, "documents"))
-    return (a.filter(~F.col("blank") & ~F.col("short") & ~F.col("frequent"))
-            .select("doc_id", _long("pos").alias("pos"), "line"))
+    return _lines(table(spark, sf, "documents"), L.rare_lines)
 
 
 @register("drop_consecutive_duplicates", "with " + O.REPEATS + ", " + O.lines_cte("repeats")
@@ -186,8 +183,7 @@ def _drop_frequent_lines(spark, sf):
           + "g as (select *, lag(line) over (partition by doc_id order by pos) pv from k) "
           + "select doc_id, pos::bigint as pos, line from g where pv is null or pv <> line")
 def _drop_consecutive_duplicates(spark, sf):
-    a = _annotated(FX.repeats(spark, sf))
-    return a.filter("kept").select("doc_id", _long("pos").alias("pos"), "line")
+    return _lines(FX.repeats(spark, sf), L.kept_lines)
 
 
 @register("markdown_records", O.with_(O.PAGES_X, O.CONTENT_TEXT_F2)
