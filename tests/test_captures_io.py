@@ -49,7 +49,7 @@ def test_markdown_and_html_sinks_round_trip(spark):
                                    (3, "https://a.com/about/team", "<p>3</p>")], "page_id long, url string, html string")
     manifest = IO.write_html_tree(pages, os.path.join(d, "html"))
     back = spark.read.parquet(os.path.join(d, "html"))
-    assert sorted((r.host, r.file_name, r.html) for r in back.collect()) == [
+    assert sorted((r.host, r.file_name, r.content) for r in back.collect()) == [
         ("a.com", "aboutus.html", "<p>3</p>"), ("a.com", "x.html", "<p>2</p>")]
     assert sorted(r.page_id for r in manifest.filter(~F.col("winner")).collect()) == [1]
     links = spark.createDataFrame([("https://a.com/x", "https://b.org/")], "src string, dst string")

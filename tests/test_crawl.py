@@ -4,6 +4,7 @@ from collections import deque
 
 
 from webloom.operators import frontier as FR
+from webloom.operators.policy import limit_per_group
 
 
 def py_bfs(seed, edges, captured, max_depth):
@@ -97,3 +98,42 @@ def test_crawl_reports_level_sizes(spark):
     stats = []
     FR.crawl(seeds, e, None, max_depth=5, stats=stats)
     assert stats == [(0, 1), (1, 2), (2, 1), (3, 0)]
+
+
+def test_budget_bounds_what_a_level_writes(spark):
+    seeds = spark.createDataFrame([(0, "https://h.com/0"), (1, "https://h.com/1")], "seed long, url string")
+    # page 0 links to everything, everything links on
+    e = spark.range(2000).selectExpr("'https://h.com/0' as src", "concat('https://h.com/', id) as dst").unionByName(
+        spark.range(2000).selectExpr("concat('https://h.com/', id) as src", "concat('https://h.com/', (id + 1) % 2000) as dst"))
+    whole = FR.limit_total(FR.crawl(seeds, e, None, max_depth=4), 10)
+    stats = []
+    cut = FR.crawl(seeds, e, None, max_depth=4, max_urls=10, stats=stats)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert sum(n for _, n in stats) <= 20
+
+
+def test_hot_page_is_split(spark):
+    kept = {k: spark.conf.get(k) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(kept, ("-1", "50k", "50k", "2")):
+            spark.conf.set(k, v)
+        hub = spark.range(0, 40000, 1, 8).selectExpr(
+            "case when id % 3 = 0 then 'https://h.com/hub' else concat('https://h.com/', id) end as src",
+            "concat('https://h.com/', sha2(string(id), 512)) as dst")
+        level = spark.range(0, 2000, 1, 4).selectExpr("id as seed", "'https://h.com/hub' as url").filter("seed = 0").unionByName(
+            spark.range(0, 4000, 1, 4).selectExpr("id as seed", "concat('https://h.com/', id) as url"))
+        joined = level.withColumnRenamed("url", "src").join(hub, "src").select("seed", "dst")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_limit_per_group_over_many_partitions(spark):
+    rows = spark.range(0, 5000, 1, 100).selectExpr("id % 3 as g", "id as o")
+    got = limit_per_group(rows, ["g"], ["o"], 4).collect()
+    assert sorted((r.g, r.o) for r in got) == sorted((g, g + 3 * k) for g in range(3) for k in range(4))

@@ -132,6 +132,21 @@ def fetch_captures(frontier: DataFrame, captures: DataFrame, url: str = "url") -
     return frontier.join(captures, url, "inner")
 
 
+def match_variants(urls: DataFrame, captures: DataFrame, url: str = "url") -> DataFrame:
+    """For URLs without a capture, the first of their variants that has one.
+    Adds ``rank`` (from 1) and ``variant``; URLs that no variant helps are left
+    out, as are those captured under their own name.  Null URLs match nothing."""
+    store = captures.select(F.col(url).alias("variant")).distinct()
+    missing = urls.join(store.withColumnRenamed("variant", url), url, "left_anti")
+    # a SQL function can't stand inside a generator
+    tried = missing.withColumn("_all", U.url_variants(F.col(url))).select(
+        *urls.columns, F.posexplode("_all").alias("rank", "variant"))
+    hits = tried.join(store, "variant", "left_semi")
+    best = F.min_by(F.struct("rank", "variant"), F.col("rank")).alias("_b")
+    return hits.groupBy(*urls.columns).agg(best).select(
+        *urls.columns, (F.col("_b.rank") + 1).alias("rank"), F.col("_b.variant").alias("variant"))
+
+
 def redirect_map(attempts: DataFrame, url: str = "url", final: str = "final_url") -> DataFrame:
     """``(from_url, to_url)`` wherever a capture's final URL differs; one
     row per ``from_url`` (the last recorded wins)."""

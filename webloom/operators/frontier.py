@@ -10,26 +10,28 @@ driver only loops over depth levels and never sees URLs.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..session import scratch_dir
+from .policy import limit_per_group
 
 # Crawl defaults.
 DEFAULT_MAX_DEPTH = 5
 DEFAULT_MAX_URLS = 5000
 
 
-def follow_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def follow_edges(edges: DataFrame, src: str = "src", dst: str = "dst", page: str | None = None) -> DataFrame:
     """Edges a crawl follows: internal to the source page's host and
-    pointing at a page-like URL; targets normalised, duplicates removed."""
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("raw"))
+    pointing at a page-like URL; targets normalised, duplicates removed.
+    ``page`` names the column that identifies a source whose links resolve
+    against another URL, ``src`` (after a redirect)."""
+    e = edges.select(F.col(page or src).alias("page"), F.col(src).alias("src"), F.col(dst).alias("raw"))
     # one generator row per edge: the filter stays above it, so the URL
     # expressions are evaluated once per edge
-    e = e.select("src", F.inline(F.array(F.expr(U.follow_target_sql("src", "raw")))))
-    return e.filter("ok").select("src", "dst").dropDuplicates(["src", "dst"])
+    e = e.select("page", F.inline(F.array(F.expr(U.follow_target_sql("src", "raw")))))
+    return e.filter("ok").select(F.col("page").alias("src"), "dst").dropDuplicates(["src", "dst"])
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, keys=("seed", "url")) -> DataFrame:
@@ -47,9 +49,19 @@ def _write_level(df: DataFrame, path: str, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path), obs.get["urls"]
 
 
+def _within_budget(found: DataFrame, visited: DataFrame, max_urls: int) -> DataFrame:
+    """The first new URLs of each seed that its budget still has room for."""
+    spent = visited.groupBy("seed").agg(F.count(F.lit(1)).alias("_spent"))
+    first = limit_per_group(found, ["seed"], ["url"], max_urls).join(spent, "seed", "left")
+    rank = F.row_number().over(Window.partitionBy("seed").orderBy("url"))
+    return (first.withColumn("_rn", rank)
+            .filter(F.col("_rn") + F.coalesce(F.col("_spent"), F.lit(0)) <= max_urls).drop("_rn", "_spent"))
+
+
 def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
           max_depth: int = DEFAULT_MAX_DEPTH, seed: str = "seed", url: str = "url",
-          stats: list | None = None, blocked: DataFrame | None = None) -> DataFrame:
+          stats: list | None = None, blocked: DataFrame | None = None,
+          max_urls: int | None = None) -> DataFrame:
     """Breadth-first traversal from every seed.
 
     ``seeds``: ``(seed, url)`` with ``url`` already normalised; ``edges``:
@@ -61,14 +73,18 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
     depth and pages are expanded only while ``depth < max_depth``.  When a
     list is passed as ``stats``, ``(depth, new_urls)`` is appended per level.
     ``blocked`` URLs (robots rules, the failed list) are visited but never
-    fetched, as at the fetch gate.
-
-    Plan shape: the edge table is restricted to captured sources once,
-    hash-partitioned on ``src`` and kept, so each level shuffles only the
-    (small) frontier to meet it.  Each level is written as a table under the
-    reliable checkpoint directory, which keeps lineage and plans flat and
-    lets a lost executor be recovered from the last level instead of from
-    the seeds.  The driver loops over depth levels only.
+    fetched, as at the fetch gate.  ``max_urls`` is each seed's budget: levels
+    are cut to it as they are found, in URL order, so no more than seeds times
+    budget rows are ever written.  That equals :func:`limit_total` of the whole
+    traversal, as every page before the cut was fully expanded.
+
+    Plan shape: the edges of captured sources are written as a table once.
+    Each level joins it as a plain scan on ``src``: Spark broadcasts a frontier
+    that it measured small, and splits a page that holds a large share of the
+    edges.  Each level is written as a table under the reliable checkpoint
+    directory, which keeps lineage and plans flat and lets a lost executor be
+    recovered from the last level instead of from the seeds.  The driver loops
+    over depth levels only.
     """
     spark = seeds.sparkSession
     base = scratch_dir(spark, "crawl")
@@ -79,33 +95,34 @@ def crawl(seeds: DataFrame, edges: DataFrame, captured: DataFrame | None = None,
         e = e.join(cap.select(F.col("url").alias("src")), "src", "left_semi")
     if blk is not None:
         e = e.join(blk.select(F.col("url").alias("src")), "src", "left_anti")
-    e = e.repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
-
-    level, n = _write_level(
-        seeds.select(F.col(seed).alias("seed"), F.col(url).alias("url"))
-        .filter(F.col("url").isNotNull()).dropDuplicates(["seed", "url"])
-        .withColumn("depth", F.lit(0)), f"{base}/level=0", "crawl_level_0")
+    e.write.parquet(f"{base}/edges")
+    e = spark.read.schema(e.schema).parquet(f"{base}/edges")
+
+    start = (seeds.select(F.col(seed).alias("seed"), F.col(url).alias("url"))
+             .filter(F.col("url").isNotNull()).dropDuplicates(["seed", "url"]))
+    if max_urls is not None:
+        start = limit_per_group(start, ["seed"], ["url"], max_urls)
+    level, n = _write_level(start.withColumn("depth", F.lit(0)), f"{base}/level=0", "crawl_level_0")
     if stats is not None:
         stats.append((0, n))
     levels = [level]
     visited = level.select("seed", "url")
-    try:
-        for d in range(max_depth):
-            nxt, n = _write_level(
-                level.select("seed", F.col("url").alias("src")).join(e, "src")
-                .select("seed", F.col("dst").alias("url"))
-                .dropDuplicates(["seed", "url"])
-                .join(visited, ["seed", "url"], "left_anti")
-                .withColumn("depth", F.lit(d + 1)), f"{base}/level={d + 1}", f"crawl_level_{d + 1}")
-            if stats is not None:
-                stats.append((d + 1, n))
-            if n == 0:
-                break
-            levels.append(nxt)
-            visited = visited.unionByName(nxt.select("seed", "url"))
-            level = nxt
-    finally:
-        e.unpersist()
+    for d in range(max_depth):
+        found = (level.select("seed", F.col("url").alias("src")).join(e, "src")
+                 .select("seed", F.col("dst").alias("url"))
+                 .dropDuplicates(["seed", "url"])
+                 .join(visited, ["seed", "url"], "left_anti"))
+        if max_urls is not None:
+            found = _within_budget(found, visited, max_urls)
+        nxt, n = _write_level(found.withColumn("depth", F.lit(d + 1)), f"{base}/level={d + 1}",
+                              f"crawl_level_{d + 1}")
+        if stats is not None:
+            stats.append((d + 1, n))
+        if n == 0:
+            break
+        levels.append(nxt)
+        visited = visited.unionByName(nxt.select("seed", "url"))
+        level = nxt
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
@@ -123,17 +140,30 @@ def limit_total(visited: DataFrame, max_urls: int) -> DataFrame:
     """Budget: the first ``max_urls`` visits per seed in ``(depth, url)``
     order - equal to stopping a FIFO crawl once that many pages were
     visited, because every page before the cut was fully expanded."""
-    w = Window.partitionBy("seed").orderBy("depth", "url")
-    return visited.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_urls).drop("_rn")
+    return limit_per_group(visited, ["seed"], ["depth", "url"], max_urls)
+
+
+def _limit_fetched(visited: DataFrame, group, order, max_urls: int) -> DataFrame:
+    d = visited.withColumn("host", U.host_of(F.col("url")))
+    first = limit_per_group(d.filter("fetched"), group, order, max_urls)
+    return first.unionByName(d.filter(~F.col("fetched")))
 
 
 def limit_per_seed_host(visited: DataFrame, max_urls: int) -> DataFrame:
     """Per (seed, host): at most ``max_urls`` fetched pages in
     ``(depth, url)`` order; pages that were not fetched are kept."""
-    d = visited.withColumn("host", U.host_of(F.col("url")))
-    w = Window.partitionBy("seed", "host").orderBy("depth", "url")
-    f = d.filter("fetched").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_urls)
-    return f.drop("_rn").unionByName(d.filter(~F.col("fetched")))
+    return _limit_fetched(visited, ["seed", "host"], ["depth", "url"], max_urls)
+
+
+def limit_shared_host(visited: DataFrame, max_urls: int) -> DataFrame:
+    """Per host, over all seeds together: at most ``max_urls`` fetched pages in
+    ``(depth, seed, url)`` order; pages that were not fetched are kept."""
+    return _limit_fetched(visited, ["host"], ["depth", "seed", "url"], max_urls)
+
+
+def unfetched(visited: DataFrame) -> DataFrame:
+    """The frontier left: URLs that were queued but have no fetched page."""
+    return visited.filter(~F.col("fetched")).select("seed", "url", "depth")
 
 
 def crawl_summary(visited: DataFrame) -> DataFrame:

@@ -47,12 +47,23 @@ def blocked_by_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> Da
 
 # -- caps ------------------------------------------------------------------------
 
+LIMIT_SPREAD = 64
+
+
 def limit_per_group(df: DataFrame, group, order, n: int) -> DataFrame:
-    """At most ``n`` rows per group, first by ``order``.  Spark plans a
-    partial window-group-limit before the shuffle, so a hot group ships at
-    most ``n`` rows per map task."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    """At most ``n`` rows per group, first by ``order``.
+
+    Spark keeps the first ``n`` rows of a group in each map task before the
+    shuffle.  The rows that the map tasks kept of one group are then cut in
+    ``LIMIT_SPREAD`` tasks, by the partition they come from, before they meet:
+    the last task sees at most ``LIMIT_SPREAD * n`` rows however many map tasks
+    there were.  The spread doesn't show in the result."""
+    part = Window.partitionBy(*group, "_part").orderBy(*order)
+    whole = Window.partitionBy(*group).orderBy(*order)
+    d = df.withColumn("_part", F.spark_partition_id() % LIMIT_SPREAD)
+    for w in (part, whole):
+        d = d.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+    return d.drop("_rn", "_part")
 
 
 def limit_per_host(df: DataFrame, n: int, url: str = "url", order=None) -> DataFrame:

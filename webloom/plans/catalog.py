@@ -579,6 +579,15 @@ def _unseen_links(spark, sf):
     return e.groupBy(F.col("dst").alias("url")).agg(F.min("src").alias("first_src"))
 
 
+@register("exclude_seen", "with " + _FOLLOW_SQL + f", seen as (select {FX.EDGE_SRC} as url from pages "
+          "where page_id % 2 = 0) select distinct dst as url from fe where dst not in (select url from seen)")
+def _exclude_seen(spark, sf):
+    """#38: link targets that aren't among the pages visited before."""
+    seen = FX.pages(spark, sf).filter("page_id % 2 = 0").selectExpr(f"{FX.EDGE_SRC} as url")
+    found = follow_x(spark, sf).select(F.col("dst").alias("url"))
+    return FR.unseen(found, seen, keys=("url",))
+
+
 @register("fetch_captures", "with " + _FOLLOW_SQL + ", " + O.GRAPH_CAPTURES
           + " select c.url, length(c.html)::bigint as chars from (select distinct dst from fe) d "
             "join graph_captures c on c.url = d.dst")
@@ -632,7 +641,27 @@ register("crawl_many", _crawl_sql(_MANY_SEEDS))(crawl_many_df)
           + ") select seed, url, depth, fetched from (select *, row_number() over (partition by seed order by depth, url) rn "
             f"from v) where rn <= {CRAWL_BUDGET}")
 def _limit_total(spark, sf):
-    return FR.limit_total(crawl_many_df(spark, sf), CRAWL_BUDGET)
+    """The budget cuts the traversal itself, level by level."""
+    seeds = IO.normalize_seeds(FX.crawl_seeds(spark))
+    return _crawl_out(FR.crawl(seeds, follow_x(spark, sf), FX.graph_captures(spark, sf).select("url"),
+                               max_depth=CRAWL_DEPTH, max_urls=CRAWL_BUDGET))
+
+
+_CAP_SQL = ("with v as (" + _crawl_sql(_MANY_SEEDS) + f"), h as (select *, {O.host('url')} as host from v), "
+            "r as (select *, case when fetched then row_number() over (partition by host, fetched "
+            "order by depth, seed, url) else 0 end as rn from h) "
+            f"select seed, url, depth, fetched, host from r where rn <= {CRAWL_BUDGET}")
+
+
+@register("limit_shared_host", _CAP_SQL)
+def _limit_shared_host(spark, sf):
+    return FR.limit_shared_host(crawl_many_df(spark, sf), CRAWL_BUDGET)
+
+
+@register("frontier_left", "with v as (" + _crawl_sql(_MANY_SEEDS)
+          + ") select seed, url, depth from v where not fetched")
+def _frontier_left(spark, sf):
+    return FR.unfetched(crawl_many_df(spark, sf))
 
 
 @register("crawl_summary", "with v as (" + _crawl_sql(_MANY_SEEDS)
@@ -653,13 +682,8 @@ def _crawl_summary(spark, sf):
           "select page_id, url, min(rank)::bigint as rank, arg_min(variant, rank) as variant from hit group by 1, 2")
 def _match_variants(spark, sf):
     p = FX.pages(spark, sf).select("page_id", "url")
-    store = p.select(U.strip_www(F.col("url")).alias("key")).distinct()
-    miss = p.join(store, p["url"] == store["key"], "left_anti")
-    v = miss.withColumn("variants", U.url_variants(F.col("url")))
-    v = v.select("page_id", "url", F.posexplode("variants").alias("rank", "variant"))
-    hits = v.join(store, v["variant"] == store["key"], "left_semi")
-    best = hits.groupBy("page_id", "url").agg(F.min_by(F.struct("rank", "variant"), F.col("rank")).alias("b"))
-    return best.select("page_id", "url", _long(F.col("b.rank") + 1).alias("rank"), F.col("b.variant").alias("variant"))
+    store = p.select(U.strip_www(F.col("url")).alias("url")).distinct()
+    return C.match_variants(p, store).withColumn("rank", _long("rank"))
 
 
 # =============================================================================
@@ -764,3 +788,80 @@ def _site_crawl(spark, sf):
     pages = FX.pages(spark, sf)
     seeds = pages.select(F.col("page_id").alias("seed"), U.normalize_url(F.col("url")).alias("url"))
     return _crawl_out(crawl_site(seeds, normalized_captures(pages)))
+
+
+# =============================================================================
+# The whole crawl on five linked sites (F10): gate, redirects, variants, files
+# =============================================================================
+
+_SITES_SQL = (
+    "with recursive a as (select page_id, url as page_url, unnest(range(3)) as ord, (select count(*) from pages) as n from pages), "
+    f"b as (select page_id, n, ord, {FX.SITE_URL} as url, {FX.SITE_FINAL} as final_url, {FX.SITE_STATUS} as status, "
+    f"{FX.SITE_TEXT.replace('url', 'page_url')} as text, {FX.SITE_HTML.replace(', url,', ', page_url,')} as html from a), "
+    "cap as (select * from b where status < 400 qualify row_number() over (partition by url order by ord) = 1), "
+    "link as (select url as page, final_url, 'https://' || split_part(final_url, '/', 3) || '/p/' || t as dst from cap, "
+    "lateral (select unnest([(page_id + 5) % n, (page_id * 6 + 10) % n]) as t) u), "
+    "fe as (select distinct page, dst from link), "
+    "asked as (select distinct dst as url from fe), "
+    "pg as (select url, url as page from cap union all select k.url, c.url from asked k join cap c on "
+    "c.url = case when contains(k.url, '//www.') then replace(k.url, '//www.', '//') else replace(k.url, '//', '//www.') end "
+    "where k.url not in (select url from cap)), "
+    f"s(seed, url) as (select page_id, {FX.SITE_URL} from pages where page_id < {FX.SITES}), "
+    "walk(seed, url, depth) as (select seed, url, 0 from s union "
+    "select w.seed, fe.dst, w.depth + 1 from walk w join pg on pg.url = w.url join fe on fe.page = pg.page "
+    f"where w.depth < {CRAWL_DEPTH}), "
+    "v as (select seed, url, min(depth) as depth from walk group by seed, url), "
+    "st as (select 'site' || v.seed || '.example.com' as seed_host, v.depth, v.url, v.seed, pg.page, c.final_url, c.text, c.html, "
+    "c.page_id, split_part(c.final_url, '/', 5) as stem from v join pg on pg.url = v.url join cap c on c.url = pg.page), "
+    "f as (select * from st qualify row_number() over (partition by seed_host, stem order by depth desc, url desc, seed desc) = 1) ")
+
+
+def _sites(spark, sf):
+    from .crawl_job import run_crawl
+    return run_crawl(FX.site_seeds(spark, sf), FX.site_attempts(spark, sf), max_depth=CRAWL_DEPTH)
+
+
+@register("sites_visited", _SITES_SQL + "select v.seed::bigint as seed, v.url, v.depth::bigint as depth, "
+          "v.url in (select url from pg) as fetched from v")
+def _sites_visited(spark, sf):
+    return _crawl_out(_sites(spark, sf).visited)
+
+
+@register("site_crawl_html", _SITES_SQL + "select seed_host, stem || '.html' as file_name, page as url, final_url, "
+          "html as content from f")
+def _site_crawl_html(spark, sf):
+    """The HTML files of the crawl: under the seed's host, last visited wins."""
+    return _sites(spark, sf).html
+
+
+@register("site_crawl_markdown", _SITES_SQL + "select seed_host as host, stem || '.md' as file_name, final_url as url, "
+          "'Page ' || page_id as title, '' as description, text || ' next far out' as content from f")
+def _site_crawl_markdown(spark, sf):
+    """The crawl's Markdown tree, written, read back and parsed."""
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "site-markdown")
+    tree = _sites(spark, sf).markdown.withColumnRenamed("seed_host", "host")
+    IO.write_files(tree, path, "content")
+    docs = IO.read_markdown(spark, path, tree=True)
+    return L.parse_markdown(docs, "path").select(
+        F.substring_index("path", "/", 1).alias("host"), F.substring_index("path", "/", -1).alias("file_name"),
+        "url", "title", "description", "content")
+
+
+@register("site_crawl_external", _SITES_SQL + "select distinct on (seed_host, page) seed_host as host, final_url as src, "
+          "'https://ext.example.org/' || page_id as dst from st")
+def _site_crawl_external(spark, sf):
+    """The crawl's external links, written as CSV and read back."""
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "site-external")
+    IO.write_external_links(_sites(spark, sf).external, path, host="seed_host")
+    return IO.read_external_links(spark, path)
+
+
+@register("seeds_read", "with " + O.SEEDS + f" select website, {O.normalize('website')} as url from seeds")
+def _seeds_read(spark, sf):
+    """#1: the seed list written as CSV and read back."""
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "seeds")
+    IO.write_seeds(FX.seed_list(spark, sf), path)
+    return IO.read_seeds(spark, path).select("website", "url")

@@ -1,62 +1,150 @@
 """End-to-end crawl of a seed list over a table of captured pages.
 
-The Spark form of the reference's main loop: seeds -> breadth-first crawl
-over the links found in the captures -> HTML, Markdown and external-link
-outputs.  Every capture is parsed exactly once; the parse result (without
-the HTML) is written as a table in the checkpoint folder because both the
-link graph and the documents are built from it.
+Seeds and capture attempts -> the fetch gate (acceptable attempts, the first
+good one per URL, redirects, variants, robots rules, failed list) -> one parse
+-> breadth-first crawl over the links found -> HTML, Markdown and external-link
+outputs under the seed's host.  The parse result, without the HTML, is written
+as a table in the checkpoint folder, as the link graph and the documents are
+both built from it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
+from ..operators import captures as C
 from ..operators import extract as X
 from ..operators import frontier as FR
 from ..operators import policy as P
 from ..session import scratch_dir
 from ..sources import io as IO
 
+ID = ["url", "ord", "mark"]
+
+
+def usable_attempts(captures: DataFrame) -> DataFrame:
+    """The attempts that pass the fetch gate, as ``(url, ord, mark, final_url, html)``.
+
+    ``captures`` has ``(url, html)`` and, where known, ``ord`` (order of the
+    attempts of a URL), ``status``, ``redirects``, ``method`` and ``final_url``;
+    each check applies where its column exists.  ``mark`` is a hash of the
+    content and breaks ties of ``ord``."""
+    known = set(captures.columns)
+    ok = C.big_enough("html", C.min_chars_for("method" if "method" in known else None))
+    if "status" in known:
+        ok = ok & (F.col("status") < 400)
+    if "redirects" in known:
+        ok = ok & (F.col("redirects") < C.MAX_REDIRECTS)
+    final = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in known else F.col("url")
+    return captures.filter(ok & F.col("url").isNotNull()).select(
+        "url", (F.col("ord").cast("long") if "ord" in known else F.lit(0).cast("long")).alias("ord"),
+        F.xxhash64("html").alias("mark"), final.alias("final_url"), "html")
+
+
+def first_per_url(rows: DataFrame) -> DataFrame:
+    """One row per URL: the first attempt by ``(ord, mark)``."""
+    rest = [c for c in rows.columns if c not in ID]
+    win = F.min_by(F.struct("ord", "mark", *rest), F.struct("ord", "mark")).alias("w")
+    return rows.groupBy("url").agg(win).select("url", "w.*")
+
+
+@dataclass
+class Crawl:
+    """What a crawl leaves behind: ``visited`` (seed, url, depth, fetched),
+    ``html``, ``markdown`` (seed_host, file_name, url, final_url, content) and
+    ``external`` (seed_host, src, dst), all lazy."""
+
+    visited: DataFrame
+    html: DataFrame
+    markdown: DataFrame
+    external: DataFrame
 
-def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None,
-               max_depth: int = FR.DEFAULT_MAX_DEPTH, max_urls: int | None = None,
-               blocked: DataFrame | None = None, robots: DataFrame | None = None) -> DataFrame:
-    """``seeds``: ``(seed, url)`` (normalised); ``captures``: ``(url, html)``
-    keyed by the URL a crawl would request.  Returns the visited pages
-    ``(seed, url, depth, fetched)``, within the budget ``max_urls`` if one is given; with ``out_dir``, also
-    writes ``html/``, ``markdown/`` (host-partitioned, with manifests) and
-    ``external_links/`` (per-host CSV).  ``robots`` (``host, body``) turns
-    on robots rules: a blocked page is visited but not fetched; ``blocked``
-    adds URLs to skip outright (the failed list)."""
+
+def run_crawl(seeds: DataFrame, captures: DataFrame, max_depth: int = FR.DEFAULT_MAX_DEPTH,
+              max_urls: int | None = None, blocked: DataFrame | None = None,
+              robots: DataFrame | None = None, max_per_host: int | None = None) -> Crawl:
+    """Crawl ``seeds`` ``(seed, url)`` (normalised) over ``captures`` (see
+    :func:`usable_attempts`, URLs normalised).
+
+    A URL without a usable capture takes that of its first variant that has
+    one.  Links resolve against, and files are named after, the final URL.
+    ``robots`` ``(host, body)`` and ``blocked`` ``(url)`` name pages that are
+    visited but not fetched; ``max_urls`` is a seed's budget and ``max_per_host``
+    the number of pages that all seeds together may fetch from a host.  Each
+    fetched page is stored under its seed's host; of pages that share a file the
+    one visited last, by ``(depth, url, seed)``, stays."""
     spark = seeds.sparkSession
+    base = scratch_dir(spark, "site")
+    attempts = usable_attempts(captures)
+    parsed = X.parse_pages(attempts, keys=("url", "ord", "mark"), url="final_url")
+    first_per_url(parsed).write.parquet(f"{base}/parsed")
+    parsed = spark.read.parquet(f"{base}/parsed")
+
+    links = X.classify_links(X.page_anchors(parsed, keys=("url",), url="final_url"))
+    edges = FR.follow_edges(links.filter("internal").select("url", "src", F.col("link").alias("dst")), page="url")
+    edges.write.parquet(f"{base}/edges")
+    edges = spark.read.schema(edges.schema).parquet(f"{base}/edges")
+    asked = edges.select(F.col("dst").alias("url")).unionByName(
+        seeds.select("url").filter(F.col("url").isNotNull())).distinct()
+    stand_in = C.match_variants(asked, parsed.select("url")).select("url", F.col("variant").alias("page"))
+    pages = parsed.select("url", F.col("url").alias("page")).unionByName(stand_in)
+    pages.write.parquet(f"{base}/pages")
+    pages = spark.read.schema(pages.schema).parquet(f"{base}/pages")
+    borrowed = (pages.filter("url <> page").join(edges.withColumnRenamed("src", "page"), "page")
+                .select(F.col("url").alias("src"), "dst"))
+
     if robots is not None:
-        ruled = P.blocked_by_robots(captures.select("url"), P.parse_robots(robots)).select("url")
+        ruled = P.blocked_by_robots(pages.select("url"), P.parse_robots(robots)).select("url")
         blocked = ruled if blocked is None else blocked.select("url").unionByName(ruled)
-    base = scratch_dir(spark, "site")
-    parsed = X.parse_pages(captures.select("url", "html"), keys=())
-    parsed.write.mode("overwrite").parquet(f"{base}/parsed")
-    parsed = spark.read.schema(parsed.schema).parquet(f"{base}/parsed")
+    visited = FR.crawl(seeds, edges.unionByName(borrowed), pages.select("url"), max_depth=max_depth,
+                       blocked=blocked, max_urls=max_urls)
+    if max_per_host is not None:
+        visited = FR.limit_shared_host(visited, max_per_host).drop("host")
+
+    homes = seeds.filter(F.col("url").isNotNull()).select("seed", U.host_of(F.col("url")).alias("seed_host"))
+    stored = (visited.filter("fetched").join(homes.distinct(), "seed").join(pages, "url")
+              .select("seed_host", "page", F.struct("depth", "url", "seed").alias("seq")))
+    named = stored.join(parsed.select(F.col("url").alias("page"), "ord", "mark", "final_url"), "page")
+    # the docs are rebuilt from the stored parse; the HTML from the attempt that won
+    docs = X.markdown_from_parsed(parsed, keys=("ord", "mark"), url="final_url").select(
+        "ord", "mark", F.col("url").alias("final_url"), F.col("markdown").alias("content"))
+    docs = docs.dropDuplicates(["ord", "mark", "final_url"])
+    raw = attempts.select("ord", "mark", "final_url", F.col("html").alias("content"))
+    raw = raw.dropDuplicates(["ord", "mark", "final_url"])
+    place = ["ord", "mark", "final_url"]
+
+    def files(markdown: bool) -> DataFrame:
+        name = (U.markdown_file_name if markdown else U.page_file_name)(F.col("final_url"))
+        last = (named.withColumn("file_name", name).groupBy("seed_host", "file_name")
+                .agg(F.max_by(F.struct("page", *place), F.col("seq")).alias("w")))
+        last = last.select("seed_host", "file_name", F.col("w.page").alias("url"),
+                           *[F.col("w")[c].alias(c) for c in place])
+        return last.join(docs if markdown else raw, place).drop("ord", "mark")
+
+    hosts = stored.select("seed_host", F.col("page").alias("url")).distinct()
+    external = (links.filter(~F.col("internal")).select("url", "src", "pos", F.col("link").alias("dst"))
+                .join(hosts, "url").select("seed_host", "src", "pos", "dst"))
+    return Crawl(visited, files(False), files(True), external)
 
-    links = X.classify_links(X.page_anchors(parsed, keys=()))
-    edges = FR.follow_edges(links.filter("internal").select("src", F.col("link").alias("dst")))
-    visited = FR.crawl(seeds, edges, captures.select("url"), max_depth=max_depth, blocked=blocked)
-    if max_urls is not None:
-        visited = FR.limit_total(visited, max_urls)
 
+def crawl_site(seeds: DataFrame, captures: DataFrame, out_dir: str | None = None, **options) -> DataFrame:
+    """:func:`run_crawl` (whose options it takes), returning the visited pages
+    ``(seed, url, depth, fetched)``.  With ``out_dir``, also writes the trees
+    ``html/`` and ``markdown/`` and the CSV files ``external_links/``."""
+    got = run_crawl(seeds, captures, **options)
     if out_dir is not None:
-        fetched = visited.filter("fetched").select("url").distinct()
-        pages = captures.join(fetched, "url", "left_semi").withColumn("seq", F.xxhash64("url"))
-        IO.write_html_tree(pages, f"{out_dir}/html", seq="seq")
-        docs = X.markdown_from_parsed(parsed.join(fetched, "url", "left_semi"), keys=()) \
-            .withColumn("seq", F.xxhash64("url"))
-        IO.write_markdown_tree(docs, f"{out_dir}/markdown", seq="seq")
-        ext = X.external_links(links, keys=()).join(fetched.withColumnRenamed("url", "src"), "src", "left_semi")
-        IO.write_external_links(ext, f"{out_dir}/external_links")
-    return visited
+        for kind, tree in (("html", got.html), ("markdown", got.markdown)):
+            IO.write_files(tree.withColumnRenamed("seed_host", "host"), f"{out_dir}/{kind}", "content")
+        IO.write_external_links(got.external, f"{out_dir}/external_links", host="seed_host")
+    return got.visited
 
 
 def normalized_captures(pages: DataFrame) -> DataFrame:
     """Captures keyed the way a crawl requests them (normalised URL)."""
-    return pages.select(U.normalize_url(F.col("url")).alias("url"), "html").filter(F.col("url").isNotNull())
+    rest = [c for c in pages.columns if c != "url"]
+    return (pages.select(U.normalize_url(F.col("url")).alias("url"), *rest)
+            .filter(F.col("url").isNotNull()))

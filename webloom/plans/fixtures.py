@@ -69,6 +69,20 @@ SEED_VARIANTS = [
 REPEATS_TEXT = ("replace(text, chr(10), concat(chr(10), 'Read more about this', chr(10), "
                 "'Read more about this', chr(10)))")
 
+# five linked sites made of the pages, with three capture attempts each.
+# Some are stored under www only, some redirect to URLs that share a file name.
+SITE_URL = ("concat('https://', case when page_id % 6 = 5 then 'www.' else '' end, 'site', page_id % 5, "
+            "'.example.com/p/', page_id)")
+SITE_FINAL = ("case when page_id % 7 = 3 then concat('https://site', page_id % 5, '.example.com/moved/', page_id % 10) "
+              f"else {SITE_URL} end")
+SITE_TEXT = "concat(repeat('words of the page ', 12), url, ' attempt ', ord)"
+SITE_HTML = (f"concat('<html><head><title>Page ', page_id, '</title></head><body><article><p>', {SITE_TEXT}, "
+             "'</p></article><nav><a href=\"/p/', (page_id + 5) % n, '\">next</a><a href=\"/p/', (page_id * 6 + 10) % n, "
+             "'\">far</a><a href=\"https://ext.example.org/', page_id, '\">out</a></nav></body></html>')")
+SITE_STATUS = "case when ord = 0 and page_id % 4 = 0 then 503 else 200 end"
+SITE_ATTEMPTS = 3
+SITES = 5
+
 # Crawl seeds over the F3 graph: the reference's seed-file spellings.
 CRAWL_SEEDS = [
     (0, "https://site.example.com/p/0"),
@@ -127,3 +141,17 @@ def crawl_seeds(spark: SparkSession) -> DataFrame:
 
 def repeats(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").selectExpr("doc_id", f"{REPEATS_TEXT} as text")
+
+
+def site_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    p = pages(spark, sf).select("page_id", "url")
+    n = p.select(F.count(F.lit(1))).scalar()
+    a = p.select("page_id", "url", F.explode(F.array(*[F.lit(i) for i in range(SITE_ATTEMPTS)])).alias("ord"))
+    return a.withColumn("n", n).selectExpr(
+        "page_id", f"{SITE_URL} as url", "ord", f"{SITE_STATUS} as status", f"{SITE_FINAL} as final_url",
+        f"{SITE_HTML} as html")
+
+
+def site_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """One page of each site."""
+    return pages(spark, sf).filter(F.col("page_id") < SITES).selectExpr("page_id as seed", f"{SITE_URL} as url")

@@ -21,15 +21,26 @@ SEED_SCHEMA = T.StructType([T.StructField("website", T.StringType())])
 # -- sources ----------------------------------------------------------------------
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
-    """Seed CSV with a ``website`` header.  Rows without the column are
-    skipped; duplicates are kept (each is its own crawl).  Adds ``seed``
-    (row identity) and ``url`` (normalised)."""
-    raw = spark.read.option("header", True).csv(path)
+    """Seed CSV with a ``website`` header; quoted cells may span lines, and blank
+    ones are seeds like any other.  Duplicates are kept (each is its own crawl).
+    Adds ``seed`` (row identity) and ``url`` (normalised).  A file without the
+    column or without a seed is an error."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("emptyValue", "").option(
+        "nullValue", "\x00").csv(path)
     if "website" not in raw.columns:
-        return spark.createDataFrame([], "seed long, website string, url string")
+        raise ValueError(f"no website column in {path}")
+    if raw.isEmpty():
+        raise ValueError(f"no seeds in {path}")
     return normalize_seeds(raw.select("website"))
 
 
+def write_seeds(seeds: DataFrame, path: str, website: str = "website", mode: str = "overwrite") -> None:
+    """Seed list as CSV that :func:`read_seeds` reads back."""
+    (seeds.select(F.col(website).alias("website")).write.mode(mode).option("header", True)
+     .option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def normalize_seeds(seeds: DataFrame, website: str = "website") -> DataFrame:
     s = seeds.filter(F.col(website).isNotNull())
     s = s.withColumn("seed", F.monotonically_increasing_id()) if "seed" not in s.columns else s
@@ -52,8 +63,11 @@ def decode_content(content) -> Column:
     return F.make_valid_utf8(c.cast("string"))
 
 
-def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """Markdown files, one row per file: ``(path, markdown)``."""
+def read_markdown(spark: SparkSession, path: str, tree: bool = False) -> DataFrame:
+    """Markdown documents as ``(path, markdown)``: a folder of Markdown files, one
+    row per file, or with ``tree`` what :func:`write_markdown_tree` wrote."""
+    if tree:
+        return read_tree(spark, path).select("path", F.col("content").alias("markdown"))
     return (spark.read.option("wholetext", True).text(path)
             .select(F.input_file_name().alias("path"), F.col("value").alias("markdown")))
 
@@ -64,18 +78,18 @@ def name_files(pages: DataFrame, url: str = "url", seq: str = "page_id", markdow
                host_col=None) -> DataFrame:
     """Adds ``host``, ``file_name`` and ``winner``: distinct URLs that map to
     the same host and file name overwrite each other, the last write (highest
-    ``seq``) wins.
+    ``seq``, which is unique) wins.
 
-    The winner per file is an aggregate (pre-aggregated map-side), joined
-    back on ``(host, file_name)``; a file name shared by a large share of
-    all rows is then a skewed join key that AQE splits, never one window
-    partition."""
+    Only ``seq`` and the names meet in the aggregate; the few rows that lose are
+    marked by a join on ``seq`` alone, which no hot host or name can skew."""
     name = U.markdown_file_name(F.col(url)) if markdown else U.page_file_name(F.col(url))
     host = host_col if host_col is not None else U.host_of(F.col(url))
     d = pages.withColumn("host", host).withColumn("file_name", name)
-    top = d.groupBy("host", "file_name").agg(F.max(seq).alias("_last"))
-    return (d.join(top, ["host", "file_name"])
-            .withColumn("winner", F.col(seq) == F.col("_last")).drop("_last"))
+    keys = d.select("host", "file_name", F.col(seq).alias("_seq"))
+    top = keys.groupBy("host", "file_name").agg(F.max("_seq").alias("_last"))
+    lost = keys.join(top, ["host", "file_name"]).filter("_seq <> _last").select("_seq", F.lit(True).alias("_lost"))
+    return (d.join(lost, d[seq] == F.col("_seq"), "left")
+            .withColumn("winner", F.col("_lost").isNull()).drop("_lost", "_seq"))
 
 
 def name_collisions(pages: DataFrame, url: str = "url", seq: str = "page_id") -> DataFrame:
@@ -85,10 +99,34 @@ def name_collisions(pages: DataFrame, url: str = "url", seq: str = "page_id") ->
 
 # -- sinks ----------------------------------------------------------------------------
 
+FILE_ROWS = 200_000
+
+
+def write_files(files: DataFrame, path: str, content: str, mode: str = "overwrite",
+                buckets: int | None = None) -> None:
+    """Write ``(host, file_name, url, content)``: ``host`` is a column of the
+    dataset, so that as many hosts as there are make no more directories or files
+    than the tasks of the write.  With ``buckets``, hosts are first clustered into
+    that many tasks and sorted, and a reader of one host can skip most files;
+    without it nothing is shuffled."""
+    out = files.select("host", "file_name", "url", F.col(content).alias("content"))
+    if buckets:
+        # a host of many pages is spread over tasks by file name
+        spread = F.pmod(F.xxhash64("file_name"), F.lit(16))
+        out = out.repartition(buckets, "host", spread).sortWithinPartitions("host", "file_name")
+    out.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+
+
 def write_tree(named: DataFrame, path: str, content: str, mode: str = "overwrite") -> None:
-    """Write winners as a host-partitioned dataset ``(file_name, url, content)``."""
-    (named.filter("winner").select("host", "file_name", "url", content)
-     .write.mode(mode).partitionBy("host").parquet(path))
+    """Write the winners (see :func:`write_files`)."""
+    write_files(named.filter("winner"), path, content, mode)
+
+
+def read_tree(spark: SparkSession, path: str) -> DataFrame:
+    """A tree written by a sink: ``(path, host, file_name, url, content)``, where
+    ``path`` is the name that the page has below its host."""
+    return spark.read.parquet(path).select(
+        F.concat_ws("/", "host", "file_name").alias("path"), "host", "file_name", "url", "content")
 
 
 def write_html_tree(pages: DataFrame, path: str, url: str = "url", seq: str = "page_id",
@@ -107,9 +145,17 @@ def write_markdown_tree(docs: DataFrame, path: str, url: str = "url", seq: str =
     return named.drop(markdown)
 
 
-def write_external_links(links: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One CSV per host with header ``Source URL,External URL``, one row per
-    occurrence (host = host of the source page)."""
-    (links.select(U.host_of(F.col("src")).alias("host"), F.col("src").alias("Source URL"),
-                  F.col("dst").alias("External URL"))
-     .write.mode(mode).option("header", True).partitionBy("host").csv(path))
+def write_external_links(links: DataFrame, path: str, mode: str = "overwrite", host: str | None = None) -> None:
+    """CSV with header ``Source URL,External URL,host``, one row per occurrence,
+    under the host of the source page unless a column names another.  The host is
+    a column: a folder for each would be one for every host of the web."""
+    of = U.host_of(F.col("src")) if host is None else F.col(host)
+    (links.select(F.col("src").alias("Source URL"), F.col("dst").alias("External URL"), of.alias("host"))
+     .write.mode(mode).option("header", True).csv(path))
+
+
+def read_external_links(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_external_links` wrote: ``(host, src, dst)``."""
+    raw = spark.read.option("header", True).schema(
+        "`Source URL` string, `External URL` string, host string").csv(path)
+    return raw.select("host", F.col("Source URL").alias("src"), F.col("External URL").alias("dst"))
