@@ -28,3 +28,17 @@ def test_sql_parse_and_normalize(spark):
                             webloom_normalize_url('example.com/a/') AS n,
                             webloom_page_file_name('https://a.com/x/y') AS f""").first()
     assert (r.t, r.n, r.f) == ("T", "https://example.com/a", "y.html")
+
+
+def test_markdown_in_sql_equals_the_operator(spark):
+    from webloom.functions.sql_api import register_all
+    from webloom.operators.extract import html_to_markdown
+    register_all(spark)
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").unionByName(
+        spark.createDataFrame([(-1, "https://a.com/", "<body> </body>"), (-2, "https://a.com/t", "<title></title><body>x  y</body>")],
+                              "page_id long, url string, html string"))
+    pages.createOrReplaceTempView("md_pages")
+    got = spark.sql("SELECT page_id, webloom_markdown_of(url, p) AS md FROM "
+                    "(SELECT page_id, url, webloom_parse_html(html) AS p FROM md_pages)")
+    want = {r.page_id: r.markdown for r in html_to_markdown(pages).collect()}
+    assert {r.page_id: r.md for r in got.collect()} == want

@@ -5,6 +5,8 @@
 * ``webloom_<name>(...)`` URL functions (see :mod:`webloom.functions.urls`);
 * ``webloom_parse_html(html)`` - the one-parse-per-page pandas UDF returning
   ``STRUCT<title, description, text, hrefs ARRAY<STRING>, error>``;
+* ``webloom_markdown_of(url, webloom_parse_html(html))`` - the Markdown document
+  of a page, as :func:`webloom.operators.extract.html_to_markdown` lays it out;
 * ``webloom_page_hrefs(html)`` - a table function yielding ``(pos, href)``
   for every ``<a href>`` of a page, for ``LATERAL`` joins.
 
@@ -21,6 +23,7 @@ from pyspark.sql.functions import udtf
 
 from ..operators.extract import parse_html
 from .htmlkernel import read_page
+from .text import NO_CONTENT, NO_TITLE, PY_SPACE
 from .urls import register_functions
 
 
@@ -39,7 +42,22 @@ class PageHrefs:
             yield i, h
 
 
+# the layout of render_markdown over a parse, as a SQL function
+MARKDOWN_OF = r"""
+CREATE OR REPLACE TEMPORARY FUNCTION webloom_markdown_of(url STRING,
+    p STRUCT<title: STRING, description: STRING, text: STRING, hrefs: ARRAY<STRING>, error: STRING>)
+RETURNS STRING
+RETURN CASE WHEN p IS NULL OR url IS NULL THEN NULL
+  WHEN p.error IS NOT NULL THEN concat('URL: ', url, '\n\nError converting content: ', p.error)
+  ELSE concat('URL: ', url, '\n\n',
+    if(coalesce(p.title, '{no_title}') <> '', concat('Page Title: ', coalesce(p.title, '{no_title}'), '\n\n'), ''),
+    if(p.description <> '', concat('Meta Description: ', p.description, '\n\n'), ''), '---\n\n',
+    coalesce(nullif(trim(regexp_replace(p.text, '{space}+', ' ')), ''), '{no_content}')) END
+"""
+
+
 def register_all(spark: SparkSession) -> None:
     register_functions(spark)
     spark.udf.register("webloom_parse_html", parse_html)
+    spark.sql(MARKDOWN_OF.format(no_title=NO_TITLE, no_content=NO_CONTENT, space=PY_SPACE.replace("\\", "\\\\")))
     spark.udtf.register("webloom_page_hrefs", PageHrefs)

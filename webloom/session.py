@@ -30,6 +30,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # broadcast only what an executed stage measured, never by an estimate
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # pages reach tens of KB; keep one Arrow batch well under a few MB
