@@ -288,7 +288,7 @@ def test_bpe_against_reference_encoder(spark, docs):
 
 def test_lm_base_and_distribution(spark, docs):
     out = F.coalesce(F.col("doc_id") == 12, F.lit(False))
-    got = lm.score(docs, out, p_min=0.001).collect()
+    got = lm.score(docs, out, keep=14).collect()
     rows = [(r.doc_id, (r.text or "").lower().encode().split() + [None]) for r in docs.collect()]
     c = collections.Counter(t for i, ts in rows if i != 12 for t in ts)
     n, v = sum(c.values()), len(c)
@@ -297,7 +297,7 @@ def test_lm_base_and_distribution(spark, docs):
     base = {str(i): sum(math.log10((c[t] + 1) / (n + v + 1)) for t in ts) for i, ts in rows}
     assert all(r.train_tokens == n and math.isclose(r.base_score, base[str(r.doc_id)], rel_tol=1e-9) for r in got)
     train = docs.where(~out).select("text")
-    model = lm.fit(train, lm.count_words(train), p_min=0.001)
+    model = lm.fit(train, lm.count_words(train), keep=14)
     assert model.levels[0].kept.any()
     # in every state the symbols' probabilities, with what unknown words get, add up to one
     everything = np.arange(model.symbols)
@@ -310,6 +310,13 @@ def test_lm_base_and_distribution(spark, docs):
     assert lm.score(empty(docs), out).count() == 0
 
 
+def test_lm_tree_grows_with_the_corpus():
+    sizes = [10 ** e for e in range(4, 15, 2)]
+    bounds = [n / lm.least(n) for n in sizes]
+    assert all(2 * a < b for a, b in zip(bounds, bounds[1:]))
+    assert all(b <= max(n / 2, lm.KEEP * n ** (1 / 3)) for n, b in zip(sizes, bounds))
+
+
 def test_lm_long_texts_pass_in_blocks(monkeypatch):
     texts = [b"a b c d e f g", b"", b"h i j"]
     whole = [(p.at.tolist(), p.row.tolist()) for p in lm.portions(iter(texts))]
