@@ -80,3 +80,15 @@ def test_decode_matches_python_replacement_per_bad_run(spark):
     df = spark.createDataFrame([(bytearray(c),) for c in cases], "b binary")
     got = [r[0] for r in df.select(IO.decode_content(F.col("b"))).collect()]
     assert got == [c.decode("utf-8", errors="replace") for c in cases]
+
+
+def test_captures_merge_into_a_store(spark, tmp_path):
+    from webloom.operators.captures import upsert_captures
+    first = spark.createDataFrame([("https://a.com/", 1, "old"), ("https://a.com/b", 1, "b"), ("https://a.com/", 2, "mid")],
+                                  "url string, ord int, html string")
+    again = spark.createDataFrame([("https://a.com/", 1, "new"), ("https://a.com/c", 1, None)], first.schema)
+    v1 = upsert_captures(first, None, f"{tmp_path}/v1", carry=("html",))
+    v2 = upsert_captures(again, v1, f"{tmp_path}/v2", carry=("html",))
+    assert {r.url: r.html for r in v1.collect()} == {"https://a.com/": "mid", "https://a.com/b": "b"}
+    assert {r.url: r.html for r in v2.collect()} == {"https://a.com/": "new", "https://a.com/b": "b", "https://a.com/c": None}
+    assert sorted(upsert_captures(again.filter("false"), v2, f"{tmp_path}/v3", carry=("html",)).collect()) == sorted(v2.collect())

@@ -57,3 +57,15 @@ def test_politeness_keeps_requests_without_a_host(spark):
     df = df.select("event_id", F.col("user_id").alias("host"), F.timestamp_seconds("t").alias("ts"))
     got = {r.event_id: (r.rn, r.start_us) for r in P.politeness_schedule(df, 5_000_000).collect()}
     assert got == {1: (1, 10_000_000), 3: (2, 15_000_000), 2: (1, 10_000_000)}
+
+
+def test_politeness_joins_its_summary_without_a_shuffle(spark):
+    df = spark.range(5000).selectExpr("id as event_id", "if(id % 3 = 0, id % 7, 7) as host", "timestamp_seconds(id) as ts")
+    out = P.politeness_schedule(df, 1_000_000, partitions=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # the broadcast side: a row per partition that continues a host, at most
+    chunks = df.repartitionByRange(8, "host", "ts", "event_id").withColumn("chunk", F.spark_partition_id())
+    spans = chunks.groupBy("host").agg(F.countDistinct("chunk").alias("n")).agg(F.sum(F.col("n") - 1)).first()[0]
+    assert 0 < spans < 8
+    assert out.filter("rn > 1").count() == 5000 - df.select("host").distinct().count()

@@ -39,6 +39,17 @@ def test_politeness_state_carries_across_batches(spark):
     assert got == want
 
 
+def test_politeness_of_requests_without_a_host(spark):
+    d = tempfile.mkdtemp(prefix="webloom-nohost-")
+    rows = [(1, None, dt.datetime(2024, 1, 1)), (2, 4, dt.datetime(2024, 1, 1)), (3, None, dt.datetime(2024, 1, 1))]
+    schema = "event_id long, host long, ts timestamp_ntz"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(d, "b0"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(d)
+    out = run_to_table(stream_politeness(stream, 7), "t-nohost").collect()
+    first = 1_704_067_200_000_000
+    assert {r.event_id: (r.host, r.start_us) for r in out} == {1: (None, first), 2: (4, first), 3: (None, first + 7)}
+
+
 def test_unseen_urls_with_watermark_bounded_state(spark):
     from webloom.streaming.jobs import stream_unseen_urls
     d = tempfile.mkdtemp(prefix="webloom-captures-")

@@ -217,6 +217,18 @@ def paragraphs_of(marked: str) -> str:
     return "\n\n".join(out)
 
 
+def _hrefs(r: _PageReader) -> list[str]:
+    return [a["href"] for i, a in sorted(r.attrs.items()) if r.value[i] == "a" and "href" in a]
+
+
+def read_hrefs(html: str) -> list[str]:
+    """Every ``<a href>`` of a page, in document order; no text is extracted."""
+    r = _PageReader()
+    r.feed(html)
+    r.finish()
+    return _hrefs(r)
+
+
 def read_page(html: str, dedupe_areas: bool = False, keep_paragraphs: bool = False):
     """Parse one page; returns (title, description, text, hrefs).
 
@@ -236,8 +248,7 @@ def read_page(html: str, dedupe_areas: bool = False, keep_paragraphs: bool = Fal
     kind, value, parent, end, attrs = r.kind, r.value, r.parent, r.end, r.attrs
     n = len(kind)
 
-    hrefs = [attrs[i]["href"] for i in range(n)
-             if kind[i] == 0 and value[i] == "a" and "href" in attrs[i]]
+    hrefs = _hrefs(r)
 
     title = None
     t = _first(r, "title")

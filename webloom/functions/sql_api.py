@@ -22,12 +22,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
 from ..operators.extract import parse_html
-from .htmlkernel import read_page
+from .htmlkernel import read_hrefs
 from .text import NO_CONTENT, NO_TITLE, PY_SPACE
 from .urls import register_functions
 
 
-@udtf(returnType="pos int, href string")
+@udtf(returnType="pos int, href string", useArrow=True)
 class PageHrefs:
     """Every ``<a href>`` of one page, in document order."""
 
@@ -35,7 +35,7 @@ class PageHrefs:
         if html is None:
             return
         try:
-            hrefs = read_page(html)[3]
+            hrefs = read_hrefs(html)
         except Exception:  # an unreadable page has no links
             return
         for i, h in enumerate(hrefs):

@@ -117,6 +117,20 @@ def latest_captures(writes: DataFrame, url: str = "url", order: str = "ord", car
             .select("key", *[F.col("w")[c].alias(c) for c in cols]))
 
 
+def upsert_captures(writes: DataFrame, store: DataFrame | None, path: str, url: str = "url",
+                    order: str = "ord", carry=()) -> DataFrame:
+    """Merge new captures into a store and return the store's new version, which
+    is written to ``path``: per ``md5(url)`` the last of ``writes`` replaces what
+    ``store`` holds, every other capture stays.  A version is written once and
+    never changed, so a lost job leaves the one before it whole; ``store`` is
+    None for the first.  Stored rows are only tested for their key."""
+    last = latest_captures(writes, url, order, carry)
+    if store is not None:
+        last = last.unionByName(store.join(last.select("key"), "key", "left_anti").select(last.columns))
+    last.write.parquet(path)
+    return writes.sparkSession.read.schema(last.schema).parquet(path)
+
+
 def cache_lookup(urls: DataFrame, cache: DataFrame, url: str = "url", carry=("html",)) -> DataFrame:
     """Left join URLs to the capture store on ``md5(url)``; the capture is
     attributed to the requested URL.  Adds ``cached`` and ``carry``."""

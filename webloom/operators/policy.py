@@ -99,10 +99,13 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     2. per (partition, host) chunk: local row numbers and running maxima;
     3. a small per-chunk summary gives each chunk its row offset and the
        best value of earlier chunks of the same host;
-    4. join the summary back on (partition, host) and finish per row.
+    4. put the summary of the chunks that continue a host back to their rows.
 
     The per-chunk scan (steps 1-2) is checkpointed once and read by both
-    step 3 and step 4, so the large shuffles run a single time.
+    step 3 and step 4, so the large shuffles run a single time.  The rows are
+    not shuffled for step 4: a range partition continues at most the one host
+    that the partition before it ended with, so there is no more than a row
+    per partition to broadcast, whatever the input.
 
     Returns ``(tie, host, arrival_us, rn, start_us)``.
     """
@@ -132,11 +135,14 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
                .withColumn("gmax", F.col("cmax") - F.col("offset") * d))
     summary = summary.withColumn("prev_max", F.max("gmax").over(w_host)).select(
         F.col("chunk").alias("s_chunk"), F.col("host").alias("s_host"), "offset", "prev_max")
+    carried = summary.filter("offset > 0")          # at most p rows
     # null-safe: requests without a host share one schedule
-    j = local.join(summary, (F.col("chunk") == F.col("s_chunk")) & F.col("host").eqNullSafe(F.col("s_host")))
-    rn = F.col("offset") + F.col("lrn")
+    j = local.join(F.broadcast(carried), (F.col("chunk") == F.col("s_chunk"))
+                   & F.col("host").eqNullSafe(F.col("s_host")), "left")
+    before = F.coalesce("offset", F.lit(0))
+    rn = before + F.col("lrn")
     # greatest() skips the null prev_max of a host's first chunk
-    best = F.greatest(F.col("lmax") - F.col("offset") * d, F.col("prev_max"))
+    best = F.greatest(F.col("lmax") - before * d, F.col("prev_max"))
     return j.select(tie, "host", "arrival_us", rn.alias("rn"), (best + rn * d).alias("start_us"))
 
 

@@ -20,7 +20,7 @@ from ..operators import extract as X
 from ..operators import frontier as FR
 from ..operators import lines as L
 from ..operators import policy as P
-from ..session import table
+from ..session import scratch_dir, table
 from ..sources import io as IO
 from . import fixtures as FX
 from . import oracle as O
@@ -416,6 +416,17 @@ def _captures_latest(spark, sf):
     return c.select("key", "url", _long("ord").alias("ord"), _long("status").alias("status"))
 
 
+@register("captures_upsert", "with " + O.ATTEMPTS
+          + " select md5(url) as key, arg_max(url, ord) as url, max(ord)::bigint as ord, "
+            "arg_max(status, ord)::bigint as status from attempts where ord = 0 or status < 400 group by 1")
+def _captures_upsert(spark, sf):
+    """First attempts fill a store, later ones without an error replace them."""
+    a, store = FX.attempts(spark, sf), None
+    for batch in (a.filter("ord = 0"), a.filter("ord > 0 and status < 400")):
+        store = C.upsert_captures(batch, store, scratch_dir(spark, "captures-store"), carry=("status",))
+    return store.select("key", "url", _long("ord").alias("ord"), _long("status").alias("status"))
+
+
 @register("cache_lookup", "with " + O.ATTEMPTS
           + f", cache as (select md5(url) as key, html from attempts where ord = 0 and {_OK_SQL}) "
             "select p.page_id, p.url, c.html is not null as cached, coalesce(length(c.html), 0)::bigint as chars "
@@ -544,7 +555,6 @@ def _written_manifest(spark, sf, path) -> DataFrame:
 @register("html_sink_manifest", _names_sql() + " select page_id, host, file_name from k where page_id = last_id")
 def _html_sink_manifest(spark, sf):
     """#4: write the host-partitioned HTML tree, then read it back."""
-    from ..session import scratch_dir
     path = scratch_dir(spark, "html-tree")
     IO.write_html_tree(FX.pages(spark, sf), path)
     return _written_manifest(spark, sf, path)
@@ -554,7 +564,6 @@ def _html_sink_manifest(spark, sf):
           + " select page_id, host, md_name as file_name from k where page_id = last_id")
 def _markdown_sink_manifest(spark, sf):
     """#5: write the host-partitioned Markdown tree, then read it back."""
-    from ..session import scratch_dir
     path = scratch_dir(spark, "markdown-tree")
     IO.write_markdown_tree(markdown_pages(spark, sf).select("page_id", "url", "markdown"), path)
     return _written_manifest(spark, sf, path)
@@ -717,7 +726,7 @@ def _stream_unseen_urls(spark, sf):
 @register("stream_politeness", _POLITE_SQL)
 def _stream_politeness(spark, sf):
     from ..streaming.jobs import read_stream, run_to_table, stream_politeness
-    events = read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+    events = read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema, files_per_batch=1)
     arr = events.select("event_id", F.col("user_id").alias("host"), "ts")
     return run_to_table(stream_politeness(arr, FX.POLITENESS_DELAY_US), "stream-politeness")
 
@@ -838,7 +847,6 @@ def _site_crawl_html(spark, sf):
           "'Page ' || page_id as title, '' as description, text || ' next far out' as content from f")
 def _site_crawl_markdown(spark, sf):
     """The crawl's Markdown tree, written, read back and parsed."""
-    from ..session import scratch_dir
     path = scratch_dir(spark, "site-markdown")
     tree = _sites(spark, sf).markdown.withColumnRenamed("seed_host", "host")
     IO.write_files(tree, path, "content")
@@ -852,7 +860,6 @@ def _site_crawl_markdown(spark, sf):
           "'https://ext.example.org/' || page_id as dst from st")
 def _site_crawl_external(spark, sf):
     """The crawl's external links, written as CSV and read back."""
-    from ..session import scratch_dir
     path = scratch_dir(spark, "site-external")
     IO.write_external_links(_sites(spark, sf).external, path, host="seed_host")
     return IO.read_external_links(spark, path)
@@ -861,7 +868,6 @@ def _site_crawl_external(spark, sf):
 @register("seeds_read", "with " + O.SEEDS + f" select website, {O.normalize('website')} as url from seeds")
 def _seeds_read(spark, sf):
     """#1: the seed list written as CSV and read back."""
-    from ..session import scratch_dir
     path = scratch_dir(spark, "seeds")
     IO.write_seeds(FX.seed_list(spark, sf), path)
     return IO.read_seeds(spark, path).select("website", "url")

@@ -3,8 +3,8 @@
 Sources: seed CSV, capture tables (parquet) or raw capture files
 (``binaryFile``), Markdown files.  Sinks: host-partitioned HTML / Markdown
 datasets with a manifest, and per-host external-link CSVs.  Per-page file
-trees become ``partitionBy("host")`` datasets carrying the file name as a
-column, so a sink is one distributed write, not one file per page.
+trees become datasets that carry host and file name as columns, so a sink is
+one distributed write, not one file per page.
 """
 
 from __future__ import annotations
