@@ -161,11 +161,7 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(none, f"file://{tmp_path}/e").count() == 0
 
 
-def test_mixing_targets_and_sums(spark, docs):
-    got = mixing.mix(docs).collect()
-    size = collections.defaultdict(int)
-    for r in docs.collect():
-        size[r.source] += len((r.text or "").encode().split())
+def plain_targets(size):
     order = sorted(size, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
     total, target, free = 1.5 * sum(size.values()), {s: 0.0 for s in order}, set(order)
@@ -177,6 +173,15 @@ def test_mixing_targets_and_sums(spark, docs):
         if not over:
             break
         free -= over
+    return target
+
+
+def test_mixing_targets_and_sums(spark, docs):
+    got = mixing.mix(docs).collect()
+    size = collections.defaultdict(int)
+    for r in docs.collect():
+        size[r.source] += len((r.text or "").encode().split())
+    target = plain_targets(size)
     taken = collections.defaultdict(int)
     for r in got:
         assert r.source_size == size[r.source] and math.isclose(r.target, target[r.source], abs_tol=1e-6)
@@ -310,6 +315,60 @@ def test_lm_base_and_distribution(spark, docs):
     assert lm.score(empty(docs), out).count() == 0
 
 
+def plain_tree_score(train, often):
+    """A function that scores tokens (None ends a text) by the suffix tree, from plain counts."""
+    c = collections.Counter(t for ts in train for t in ts)
+    n, v = sum(c.values()), len(c)
+    symbols = {t for t in c if t is None or c[t] >= often}
+    pairs = collections.Counter((a, x) for ts in train for a, x in zip(ts, ts[1:]) if a in symbols and x in symbols)
+    pairs = {k: m for k, m in pairs.items() if m >= often}
+    threes = collections.Counter((a, b, x) for ts in train for a, b, x in zip(ts, ts[1:], ts[2:])
+                                 if (a, b) in pairs and (b, x) in pairs)
+    counts = pairs | {k: m for k, m in threes.items() if m >= often}
+    total = {(a,): c[a] for a in c} | pairs
+    after = collections.defaultdict(dict)
+    for k, m in counts.items():
+        after[k[:-1]][k[-1]] = m
+    retained = set()
+
+    def chance(context, x):
+        if not context:
+            return (c[x] + 1) / (n + v + 1)
+        shorter = chance(context[1:], x)
+        if context not in retained:
+            return shorter
+        rest = total[context] - sum(after[context].values()) + lm.STRENGTH
+        return (after[context].get(x, 0) + rest * shorter) / (total[context] + lm.STRENGTH)
+
+    for context in sorted(after, key=len):
+        shorter = {x: chance(context[1:], x) for x in after[context]}
+        gain = sum(m * math.log(m / total[context] / shorter[x]) for x, m in after[context].items())
+        rest = total[context] - sum(after[context].values())
+        gain += rest * math.log(rest / total[context] / max(1 - sum(shorter.values()), 1e-12)) if rest else 0
+        if gain > 0.5 * len(shorter) * math.log(n):
+            retained.add(context)
+    return lambda ts: sum(math.log10(chance(tuple(ts[max(0, i - 2):i]), t)) for i, t in enumerate(ts)), retained
+
+
+def test_lm_score_against_brute_force(spark, docs):
+    rows = [(r.doc_id, (r.text or "").lower().encode().split() + [None])
+            for r in docs.where("doc_id is null or doc_id <> 9").collect()]
+    rows += [(20 + i, [*w.split(), None]) for i, w in enumerate([b"the cat and zzz", b"the dog went", b"in das haus die katze q"])]
+    df = spark.createDataFrame([(i, b" ".join(ts[:-1]).decode()) for i, ts in rows], "doc_id long, text string")
+    out = F.coalesce(F.col("doc_id") >= 20, F.lit(False))
+    train = [ts for i, ts in rows if i is None or i < 20]
+    scored, retained = plain_tree_score(train, lm.least(sum(map(len, train))))
+    assert {len(x) for x in retained} == {1, 2}
+    got = lm.score(df, out).collect()
+    assert len(got) == len(rows)
+    want = collections.defaultdict(list)
+    for i, ts in rows:
+        want[i].append(scored(ts))
+    for r in got:
+        assert any(math.isclose(r.score, w, rel_tol=1e-9) for w in want[r.doc_id]), r
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
 def test_lm_tree_grows_with_the_corpus():
     sizes = [10 ** e for e in range(4, 15, 2)]
     bounds = [n / lm.least(n) for n in sizes]
@@ -328,6 +387,47 @@ def test_lm_long_texts_pass_in_blocks(monkeypatch):
     assert words == [*"abcdefg", None, None, *"hij", None] and rows == whole[0][1]
 
 
+def test_pipeline_against_brute_force(spark):
+    import corpus_pipeline
+    import public_tokenizers as public
+    import tiktoken
+    sf = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    speaker = langid.Classifier(langid.fit_dictionaries(table.where(~langid.held_out())))
+    rows = [r for r in table.orderBy("doc_id").collect() if not speaker.predict(r.text)[2]]
+    rows = list({norm(r.text): r for r in reversed(rows)}.values())
+    rows.sort(key=lambda r: r.doc_id)
+    fps = [plain_fingerprint(r.text) for r in rows]
+    label = list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            if (fps[i] ^ fps[j]).bit_count() <= 2 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    rows = [r for i, r in enumerate(rows) if label[i] == i]
+    got = collections.defaultdict(list)
+    for r in corpus_pipeline.run(spark, sf).collect():
+        got[r.doc_id].append(r)
+    size, taken = collections.Counter(), collections.Counter()
+    for r in rows:
+        words = len(r.text.encode().split())
+        size[r.source] += words
+        taken[r.source] += words * len(got[r.doc_id])
+        assert len(got[r.doc_id]) <= 2
+    target = plain_targets(size)
+    for source, want in target.items():
+        assert abs(taken[source] - want) <= max(0.01 * want, 0.5), source
+    plain = tiktoken.Encoding("own", pat_str=public.PATTERN, special_tokens={},
+                              mergeable_ranks=bpe.read_ranks(public.path("byte_bpe_50k.tiktoken")))
+    by_id = {r.doc_id: r for r in rows}
+    for doc_id, copies in got.items():
+        for r in copies:
+            ids = plain.encode_ordinary(by_id[doc_id].text)
+            assert r.n_tokens == len(ids)
+            assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+            assert r.decoded_sha256 == hashlib.sha256(by_id[doc_id].text.encode()).hexdigest()
+
+
 def test_pipeline_keeps_one_of_each(spark, docs, tmp_path):
     import corpus_pipeline
     now = docs.drop("component_id", "h")
