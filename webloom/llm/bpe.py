@@ -256,13 +256,10 @@ def decode(df: DataFrame, model: str, pattern: str, id_col: str = "doc_id", toke
 
 def unpack(tokens: Column) -> Column:
     """Packed ids as an array of longs."""
-    def one(i: Column) -> Column:
-        at = (i * 8 + 1).cast("int")
-        byte = [F.conv(F.substr(F.hex(tokens), at + 2 * k, F.lit(2)), 16, 10).cast("long") for k in range(4)]
-        return byte[0] + byte[1] * 256 + byte[2] * 65536 + byte[3] * 16777216
-    n = F.octet_length(tokens) / 4
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), one))
+    # linear in the length: eight hex digits an id, lowest byte first
+    each = F.regexp_extract_all(F.hex(tokens), F.lit("(.{8})"), 1)
+    return F.transform(each, lambda x: F.conv(
+        F.concat(*[F.substr(x, F.lit(at), F.lit(2)) for at in (7, 5, 3, 1)]), 16, 10).cast("long"))
 
 
 # -- query -------------------------------------------------------------------------

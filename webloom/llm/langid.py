@@ -115,7 +115,7 @@ def language(text: Column, dictionaries: dict[str, bytes], margin: float = MARGI
 
     kind = "lang_pred string, score double, rejected boolean"
     # non-deterministic: otherwise a filter on one field would run it again
-    return F.pandas_udf(work, kind, functionType=F.PandasUDFType.SCALAR_ITER).asNondeterministic()(text)
+    return F.pandas_udf(work, kind).asNondeterministic()(text)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
