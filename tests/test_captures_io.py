@@ -92,3 +92,15 @@ def test_captures_merge_into_a_store(spark, tmp_path):
     assert {r.url: r.html for r in v1.collect()} == {"https://a.com/": "mid", "https://a.com/b": "b"}
     assert {r.url: r.html for r in v2.collect()} == {"https://a.com/": "new", "https://a.com/b": "b", "https://a.com/c": None}
     assert sorted(upsert_captures(again.filter("false"), v2, f"{tmp_path}/v3", carry=("html",)).collect()) == sorted(v2.collect())
+
+
+def test_scratch_tables_are_dropped(spark, monkeypatch):
+    from webloom import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    kept = spark.range(3)
+    path = session.scratch_dir(spark, "t-drop")
+    kept.write.parquet(path)
+    session.scratch_dir(spark, "t-never-written")
+    assert spark.read.parquet(path).count() == 3
+    assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0
+    assert kept.count() == 3

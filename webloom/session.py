@@ -74,8 +74,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "reliable checkpoint location on a cluster")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the reliable checkpoint location (shared on a
     cluster) for intermediate tables and stream state."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/webloom-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{root.rstrip('/')}/webloom-{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has written and return
+    how many there were.  Call it once results are stored: DataFrames that
+    still read those tables are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _SCRATCH:
+        at = path(_SCRATCH.pop())
+        gone += bool(at.getFileSystem(conf).delete(at, True))
+    return gone
