@@ -438,3 +438,80 @@ def test_pipeline_keeps_one_of_each(spark, docs, tmp_path):
     docs.drop("component_id", "h").write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} <= {1, 4, 8, 9, 10, 12, None} and got
+
+
+def plain_deep_score(train, often):
+    """As plain_tree_score, with contexts of any length."""
+    c = collections.Counter(t for ts in train for t in ts)
+    n, v = sum(c.values()), len(c)
+    kept = {(t,): m for t, m in c.items() if t is None or m >= often}
+    retained, depth = {}, 0
+
+    def chance(context, x):
+        p = (c[x] + 1) / (n + v + 1)
+        for d in range(1, len(context) + 1):
+            if (state := retained.get(context[len(context) - d:])) is not None:
+                after, total, rest = state
+                p = (after.get(x, 0) + rest * p) / (total + lm.STRENGTH)
+        return p
+
+    while True:
+        depth += 1
+        grams = collections.Counter(
+            g for ts in train for g in zip(*[ts[i:] for i in range(depth + 1)]) if g[:-1] in kept and g[1:] in kept)
+        grams = {g: m for g, m in grams.items() if m >= often}
+        after = collections.defaultdict(dict)
+        for g, m in grams.items():
+            after[g[:-1]][g[-1]] = m
+        new = {}
+        for context, own in after.items():
+            total, near = kept[context], {x: chance(context[1:], x) for x in own}
+            rest = total - sum(own.values())
+            gain = sum(m * math.log(m / total / near[x]) for x, m in own.items())
+            gain += rest * math.log(max(rest / total, 1e-300) / max(1 - sum(near.values()), 1e-12))
+            if gain > 0.5 * len(own) * math.log(n):
+                new[context] = (own, total, rest + lm.STRENGTH)
+        if depth > 1 and not new:
+            break
+        retained |= new
+        kept = grams
+    longest = max(map(len, retained))
+    seen = {}
+
+    def score(ts):
+        for i, x in enumerate(ts):
+            key = (tuple(ts[max(0, i - longest):i]), x)
+            if key not in seen:
+                seen[key] = math.log10(chance(*key))
+        return sum(seen[tuple(ts[max(0, i - longest):i]), x] for i, x in enumerate(ts))
+    return score, retained
+
+
+@pytest.fixture(scope="module")
+def deep(spark):
+    """Texts whose words depend on the four before, a passage that occurs twice and one
+    text that passes in two portions, and their plain scores."""
+    rng = np.random.default_rng(5)
+    odds = rng.dirichlet([0.15] * 4, (4, 4, 4, 4))
+
+    def walk(n):
+        w = [0, 1, 2, 3]
+        for _ in range(n):
+            w.append(int(rng.choice(4, p=odds[tuple(w[-4:])])))
+        return " ".join(f"w{x}" for x in w)
+
+    rows = [(i, walk(1200)) for i in range(12)] + [(12, EN * 50000)]
+    rows += [(13, "alpha beta gamma delta"), (14, "alpha beta gamma delta"), (20, "alpha beta gamma delta"), (21, walk(800))]
+    assert len(rows[12][1]) > lm.PORTION
+    tokens = {i: [*x.encode().split(), None] for i, x in rows}
+    scored, retained = plain_deep_score([ts for i, ts in tokens.items() if i < 20], 2)
+    out = F.coalesce(F.col("doc_id") >= 20, F.lit(False))
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), out).collect()}
+    return tokens, scored, retained, got
+
+
+def test_lm_keeps_contexts_seen_twice_at_any_size(deep):
+    tokens, scored, _, got = deep
+    assert len({lm.least(10 ** e) for e in range(4, 14)}) == 1
+    # far below the cube-root threshold of so many tokens
+    assert got[20].train_tokens > 800_000 and got[20].score > got[20].base_score + 5

@@ -27,6 +27,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_saved(df: DataFrame) -> None:
+    """Delete a table of :func:`saved` that nothing will read again."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for at in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path(at), True)
+
+
 def word_blocks(data: bytes, limit: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The words of a whole text, in lists of about ``limit`` bytes each, so a
     very long text never becomes one very long list."""
