@@ -515,3 +515,11 @@ def test_lm_keeps_contexts_seen_twice_at_any_size(deep):
     assert len({lm.least(10 ** e) for e in range(4, 14)}) == 1
     # far below the cube-root threshold of so many tokens
     assert got[20].train_tokens > 800_000 and got[20].score > got[20].base_score + 5
+
+
+def test_lm_contexts_of_any_depth(deep):
+    tokens, scored, retained, got = deep
+    assert max(map(len, retained)) >= 4
+    assert got.keys() == tokens.keys()
+    for i, ts in tokens.items():
+        assert math.isclose(got[i].score, scored(ts), rel_tol=1e-9), i

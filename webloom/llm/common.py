@@ -3,6 +3,7 @@ shared scratch folder, whole-text word splitting, and connected components."""
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 
@@ -28,11 +29,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_saved(df: DataFrame) -> None:
-    """Delete a table of :func:`saved` that nothing will read again."""
+    """Delete a table of :func:`saved` that nothing will read again.  A collection
+    of the driver's garbage lets Spark delete the shuffle files behind it too."""
     spark = df.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for at in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path(at), True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def word_blocks(data: bytes, limit: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
