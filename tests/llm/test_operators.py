@@ -523,3 +523,11 @@ def test_lm_contexts_of_any_depth(deep):
     assert got.keys() == tokens.keys()
     for i, ts in tokens.items():
         assert math.isclose(got[i].score, scored(ts), rel_tol=1e-9), i
+
+
+def test_language_sample_counts_copies_once(spark):
+    texts = spark.createDataFrame([(f"word{i} " * 20, "en") for i in range(100)], "text string, lang string")
+    first = texts.orderBy(F.xxhash64("text")).first()
+    copies = texts.union(spark.createDataFrame([first] * 3 * langid.SAMPLE_ROWS, texts.schema))
+    assert langid.fit_dictionaries(copies) == langid.fit_dictionaries(texts)
+    assert len(langid.fit_dictionaries(copies)["en"]) > 100 * 100

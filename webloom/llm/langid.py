@@ -1,11 +1,11 @@
 """Language identification by compression.
 
 For every language a raw-content zstandard dictionary is cut from a bounded
-sample of labelled training texts.  A text is compressed with each language's
+sample of distinct labelled training texts.  A text is compressed with each language's
 dictionary, block by block over its whole length, and the language with the
 smallest sum of sizes wins; a narrow margin rejects.
 
-Only the dictionaries are fitted on a sample: at most ``SAMPLE_ROWS`` rows per
+Only the dictionaries are fitted on a sample: at most ``SAMPLE_ROWS`` texts per
 language, of each at most ``PIECE_BYTES`` bytes from anywhere in the text, in all
 at most ``DICT_BYTES`` for a dictionary.  Which rows is decided by a hash of the
 text, so reruns agree.  Lines that several languages share (licences, spam) and
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 
-SAMPLE_ROWS = 128              # training rows per language, at most
+SAMPLE_ROWS = 128              # distinct training texts per language, at most
 PIECE_BYTES = 1024             # bytes taken of a training row, at most
 DICT_BYTES = 32768             # bytes of a language's dictionary, at most
 BLOCK_BYTES = 1024             # a text is compressed in blocks of this size
@@ -46,16 +46,19 @@ _LETTER = re.compile(r"[^\W\d_]")
 def fit_dictionaries(train: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS,
                      piece_bytes: int = PIECE_BYTES, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Language -> raw dictionary, from the rows with a language and a text.
-    The window's limit is applied in each map task, so of a language that holds
-    most rows only ``sample_rows`` pieces per task are shuffled."""
+    Texts are drawn by their distinct hashes, so copies count once; only the drawn
+    texts' pieces, at most ``sample_rows`` per language and task, are shuffled."""
     text = F.col(text_col).cast("string")
     room = F.greatest(F.lit(1), F.octet_length(text) - piece_bytes + 1)
     start = (F.pmod(F.xxhash64(text, F.lit(1)), room) + 1).cast("int")
     rows = train.where(F.col(lang_col).isNotNull() & (F.octet_length(text) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text).alias("h"),
         F.substr(text.cast("binary"), start, F.lit(piece_bytes)).alias("piece"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))
-    rows = rows.withColumn("nth", nth).where(F.col("nth") <= sample_rows).orderBy("lang", "nth")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    drawn = rows.select("lang", "h").distinct().withColumn("nth", nth).where(F.col("nth") <= sample_rows).select(
+        F.col("lang").alias("drawn_lang"), F.col("h").alias("drawn_h"))
+    rows = rows.join(F.broadcast(drawn), (F.col("lang") == F.col("drawn_lang")) & (F.col("h") == F.col("drawn_h")))
+    rows = rows.groupBy("lang", "h").agg(F.min("piece").alias("piece")).orderBy("lang", "h")
     lines: dict[str, list[str]] = {}
     for r in rows.toLocalIterator():
         lines.setdefault(r.lang, []).extend(bytes(r.piece).decode("utf-8", "ignore").lower().split("\n"))
