@@ -531,3 +531,14 @@ def test_language_sample_counts_copies_once(spark):
     copies = texts.union(spark.createDataFrame([first] * 3 * langid.SAMPLE_ROWS, texts.schema))
     assert langid.fit_dictionaries(copies) == langid.fit_dictionaries(texts)
     assert len(langid.fit_dictionaries(copies)["en"]) > 100 * 100
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    def text(seed):
+        return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10 ** 6, 60))
+
+    a, b, c = map(text, range(3))
+    rows = [(3, b, "x"), (5, b, "y"), (5, a, "x"), (6, a, "z"), (7, c, "x"), (7, c, "y"), (None, b, "n")]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, k string"))
+    assert got.columns == ["doc_id", "text", "k"]
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(3, b), (5, a), (7, c), (0, b)])

@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
@@ -212,27 +212,55 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, shard: int = SHARD, sample:
     return fps.select("fp").mapInPandas(send, "shard long, fp long").groupBy("shard").applyInPandas(link, "a long, b long")
 
 
-def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                   max_bits: int = MAX_BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
-    """``(<id_col>, fingerprint, component_id)`` of every row: the fingerprint in
-    16 hex digits and the smallest id of the row's near-duplicate group."""
+def _labelled(df: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, shard: int, sample: int) -> DataFrame:
+    """``(id, fp, label, component_id)`` of every row; the label is its group's."""
     docs = saved(fingerprints(df, id_col, text_col, shingle), "simhash-docs")
     nodes = saved(docs.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
     roots = connected_components(saved(links(nodes, max_bits, shard, sample), "simhash-links"), "simhash-cc")
     labelled = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("label"))
     lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    of = labelled.join(lowest, "label").select(F.col("fp").alias("of_fp"), "component_id")
-    return docs.join(of, docs.fp == of.of_fp).select(
+    of = labelled.join(lowest, "label").select(F.col("fp").alias("of_fp"), "label", "component_id")
+    return docs.join(of, docs.fp == of.of_fp).select("id", "fp", "label", "component_id")
+
+
+def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                   max_bits: int = MAX_BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
+    """``(<id_col>, fingerprint, component_id)`` of every row: the fingerprint in
+    16 hex digits and the smallest id of the row's near-duplicate group."""
+    return _labelled(df, id_col, text_col, shingle, max_bits, shard, sample).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                         max_bits: int = MAX_BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``df``, all columns, of which one document per near-duplicate
-    group stays: that with the smallest id.  Rows without an id stay."""
-    groups = simhash_groups(df, id_col, text_col, **how)
-    gone = saved(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "simhash-gone")
-    return df.join(gone, id_col, "left_anti").select(df.columns)
+    group stays: that with the smallest id, and of rows that share that id one of
+    those with the smallest fingerprint.  An id repeated over several groups is
+    decided in each of them.  Rows without an id stay."""
+    groups = saved(_labelled(df, id_col, text_col, shingle, max_bits, shard, sample).where("id is not null"), "simhash-rows")
+    ids = groups.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("id") == F.col("component_id")).alias("low"))
+    once = df.join(saved(ids.where("n > 1 or not low").select(F.col("id").alias(id_col)), "simhash-gone"), id_col, "left_anti")
+    once = once.select(df.columns)
+    twice = saved(ids.where("n > 1").select("id"), "simhash-twice")
+    if twice.isEmpty():
+        return once
+    # repeated ids: match rows on id and fingerprint, and keep one of each group
+    key, fp = "__simhash_id", "__simhash_fp"
+    kept = groups.where("id = component_id").groupBy("label").agg(F.min("id").alias(key), F.min("fp").alias("__simhash_kept"))
+    few = df.join(twice.select(F.col("id").alias("__simhash_of")), F.col(id_col) == F.col("__simhash_of"), "left_semi")
+    few = few.withColumn(fp, _fingerprint(F.col(text_col).cast("string"), shingle))
+    few = few.join(kept.drop("label"), (F.col(id_col) == F.col(key)) & (F.col(fp) == F.col("__simhash_kept")), "left_semi")
+    return once.unionByName(few.dropDuplicates([id_col, fp]).select(df.columns))
+
+
+def _fingerprint(text: Column, shingle: int) -> Column:
+    """The fingerprint's bits as a long."""
+    def work(texts: pd.Series) -> pd.Series:
+        fps = [fingerprint(None if t is None else t.encode(), shingle) for t in texts]
+        return pd.Series(np.array(fps, np.uint64).view(np.int64))
+
+    return F.pandas_udf(work, "long")(text)
 
 
 # -- query -------------------------------------------------------------------------
