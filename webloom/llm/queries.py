@@ -3,7 +3,7 @@ their DuckDB equivalents."""
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, exact_dedup, langid, lm, mixing, simhash, urlfilter, warc
+from . import ann, bpe, chat, exact_dedup, fim, langid, line_dedup, lm, mixing, simhash, urlfilter, warc
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_lm_scoring": lm.op10_lm_scoring,
+    "op11_fim": fim.op11_fim,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
 }
 
 ORACLES = {
@@ -23,4 +25,6 @@ ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_chat_format": chat.ORACLE,
     "op8_url_filter": urlfilter.ORACLE,
+    "op11_fim": fim.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
