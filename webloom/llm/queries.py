@@ -3,7 +3,7 @@ their DuckDB equivalents."""
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, exact_dedup, fim, langid, line_dedup, lm, mixing, simhash, urlfilter, warc
+from . import ann, bpe, chat, collocations, exact_dedup, fim, langid, line_dedup, lm, mixing, simhash, urlfilter, warc
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_lm_scoring": lm.op10_lm_scoring,
     "op11_fim": fim.op11_fim,
     "op12_line_dedup": line_dedup.op12_line_dedup,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
@@ -27,4 +28,5 @@ ORACLES = {
     "op8_url_filter": urlfilter.ORACLE,
     "op11_fim": fim.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
