@@ -11,21 +11,24 @@ on, overlaps included.
 2. *Full pass.*  All documents are counted once, exactly: every word, and every
    longer phrase whose two longest parts (all but the last word, all but the first)
    are proposed.  Those are the proposals and their negative border.
-3. *Expansion.*  A border phrase that turns out frequent was missed by the sample;
-   it joins the proposals, and another pass counts the phrases that are eligible
-   only now.  This goes on until a pass finds none.  Then every frequent phrase is
-   counted: its parts are frequent, so they are proposed, so it was eligible.
-
-A pass finds the proposals in a filter of ``GATE_BITS`` bits, the only thing that is
-broadcast; its size doesn't depend on the data.  What the filter lets through by
-mistake is counted like any border phrase and falls to the support, so results are
-exact; the more proposals beyond about ``GATE_BITS / 20``, the more a pass counts,
-at most all phrases, which is linear in the text.  Whether a phrase is eligible
-depends on the phrase alone, so each is counted in exactly one pass.
-
-Python tasks encode blocks of text (about ``BLOCK`` bytes) as numbers of a block's
-distinct words and count phrases by sorting numbers, without hashing; Spark adds
-up, folding frequent phrases in each map task.  Counts and proposals are tables.
+3. *Expansion.*  A border phrase that turns out frequent was missed by the sample.
+   If there are any, another pass counts what is eligible only through them: a part
+   now also passes if it is a missed phrase or holds one.  A frequent phrase that
+   the full pass didn't count holds a missed phrase (the shortest of its parts that
+   isn't proposed), and so does each of its parts that isn't proposed; so this pass
+   counts it, whatever its length, and the set is closed.
+
+A pass finds proposals and missed phrases in filters of ``GATE_BITS`` bits each, the
+only things that are broadcast; their size doesn't depend on the data.  What a filter
+lets through by mistake is counted like any border phrase and falls to the support,
+so results are exact; the more proposals beyond about ``GATE_BITS / 20``, the more a
+pass counts, at most all phrases, which is linear in the text.  Whether a phrase is
+eligible depends on the phrase alone, so each is counted in exactly one pass.
+
+Python tasks encode blocks of text (about ``BLOCK`` bytes of a language) as numbers
+of a block's distinct words and count phrases by sorting numbers, without hashing.
+A phrase leaves a block as one row, so the most frequent has a row a block; Spark
+adds them up.  Counts and proposals are tables.
 
 Defined cases: null text has no words; null languages count as ``und``, together
 with languages of that name; repeated rows are counted as often as they occur; a
@@ -62,8 +65,9 @@ INSIDE = 80                    # percent of a phrase's occurrences in a longer o
 SCALE = 2000000                # of scores
 TOP = 2000                     # phrases of a language
 SHARE = 4                      # one document in so many is in the sample
-LOWER = 0.6                    # part of the expected support that the sample asks for
-BLOCK = 8 << 20                # bytes that a task counts together, about
+LOWER = 1.0                    # part of the expected support that the sample asks for
+BLOCK = 4 << 20                # bytes of a language that a task counts together, about
+HELD = 4                       # blocks that a task gathers at once, of all languages
 GATE_BITS = 1 << 27            # of the filter of proposals: 16 MB
 
 _KIND = np.zeros(256, np.uint8)
@@ -107,7 +111,7 @@ class Block:
         np.cumsum(ends - at, out=offsets[1:])
         packed = pa.py_buffer(data[word[1:-1]])
         words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), packed]).dictionary_encode()
-        self.vocabulary, self.ids = words.dictionary, words.indices.to_numpy().astype(np.int64)
+        self.vocabulary, self.ids = words.dictionary, words.indices.to_numpy()
         pieces = np.searchsorted(np.flatnonzero(kind == 2), at)
         self.joined = pieces[1:] == pieces[:-1]
         self.own = np.ones(len(at), bool)
@@ -147,75 +151,102 @@ class Gate:
         return found
 
 
+def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers below ``size``, and how often each
+    occurs.  Rows are packed into one number; where that would pass 62 bits, what is
+    packed so far is numbered anew."""
+    key, top, steps = columns[0].astype(np.int64), size, []
+    for column in columns[1:]:
+        if top > (1 << 62) // size:
+            table, key = np.unique(key, return_inverse=True)
+            top = len(table)
+            steps.append(table)
+        key, top = key * size + column, top * size
+        steps.append(None)
+    key, n = np.unique(key, return_counts=True)
+    out = []
+    for table in reversed(steps):
+        if table is None:
+            key, last = np.divmod(key, size)
+            out.append(last)
+        else:
+            key = table[key]
+    return [key, *reversed(out)], n
+
+
 def count_block(lang: str, parts: list[tuple[bytes, int]], levels: tuple, gate: Gate | None,
-                before: Gate | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the block's phrases of ``levels`` words that are eligible by
-    ``gate`` and weren't by ``before``.  All words are eligible; one empty phrase
-    counts them together."""
+                missed: Gate | None) -> Iterator[pa.RecordBatch]:
+    """Counts of the block's phrases of ``levels`` words that are eligible by the
+    proposals in ``gate``; given ``missed``, of those that are only through it.  All
+    words are eligible; one empty phrase counts them together."""
     b = Block(parts)
-    words, own = b.vocabulary, b.own
+    words, ids, own = b.vocabulary, b.ids, b.own
 
     def batches(k: int, phrases: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        phrases, n = phrases.filter(pa.array(n > 0)), n[n > 0]
         for i in range(0, len(n), 1 << 16):
             some = phrases[i:i + (1 << 16)].cast(pa.string())
             yield pa.record_batch([pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), k, np.int8)), some,
                                    pa.array(n[i:i + (1 << 16)], pa.int64())], schema=_SCHEMA)
 
     if 1 in levels and own.any():
-        yield from batches(1, words, np.bincount(b.ids[own], minlength=len(words)))
+        n = np.bincount(ids[own], minlength=len(words))
+        yield from batches(1, words.filter(pa.array(n > 0)), n[n > 0])
         yield from batches(0, pa.array([b""]), np.array([own.sum()]))
-    if max(levels) == 1 or not len(b.ids):
+    if max(levels) == 1 or not len(ids):
         return
+
+    # by the place where a phrase of k - 1 words starts: its hash, whether it lets a
+    # longer one pass, did so before, and whether it is or holds a missed phrase
     word_hash = _word_hashes(lang, words.to_pylist())
-    # of each word's place: the number of the phrase that starts there, whether it
-    # is proposed, and was; of each number: hash and a place
-    number, hashes, first = b.ids, word_hash, None
-    now = gate.has(hashes)[number]
-    was = before.has(hashes)[number] if before else np.zeros(len(number), bool)
+    hashes, before = word_hash[ids], gate.has(word_hash)[ids]
+    holds = missed.has(word_hash)[ids] if missed else np.zeros(len(ids), bool)
+    passes = before | holds
     for k in range(2, max(levels) + 1):
-        at = np.flatnonzero(now[:-1] & now[1:] & b.joined) if k == 2 else np.flatnonzero(now[:-1] & now[1:])
-        old = was[at] & was[at + 1]
-        last = b.ids[at + k - 1]
-        key, first, numbers = np.unique(number[at] * len(words) + last, return_index=True, return_inverse=True)
-        prefix = number[at][first]
-        hashes = _mix(hashes[prefix], word_hash[last[first]])
+        now, was = passes[:-1] & passes[1:], before[:-1] & before[1:]
+        if k == 2:
+            now, was = now & b.joined, was & b.joined
         if k in levels:
-            n = np.bincount(numbers[own[at]], minlength=len(key))
-            n[old[first]] = 0
-            parts_of = [words.take(pa.array(b.ids[at[first][n > 0] + i])) for i in range(k)]
-            yield from batches(k, pc.binary_join_element_wise(*parts_of, b" "), n[n > 0])
-        proposed = gate.has(hashes)[numbers]
-        had = before.has(hashes)[numbers] & old if before else np.zeros(len(at), bool)
-        size = len(now)
-        now, was, number = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, np.int64)
-        now[at], was[at], number[at] = proposed, had, numbers
+            at = np.flatnonzero((now & ~was if missed else now) & own[:len(now)])
+            if len(at):
+                numbers, n = _distinct([ids[at + i] for i in range(k)], len(words))
+                yield from batches(k, pc.binary_join_element_wise(*(words.take(pa.array(x)) for x in numbers), b" "), n)
+        at = np.flatnonzero(now)
+        h = _mix(hashes[at], word_hash[ids[at + k - 1]])
+        hashes, proposed = np.zeros(len(now), np.uint64), np.zeros(len(now), bool)
+        hashes[at], proposed[at] = h, gate.has(h)
+        before = proposed & was
+        holds = holds[:-1] | holds[1:]
+        if missed:
+            holds[at] |= missed.has(h)
+        passes = (proposed | holds) & now
 
 
 def lang_of(lang_col: str) -> Column:
     return F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG))
 
 
-def phrase_counts(docs: DataFrame, levels: tuple, gate=None, before=None, block: int = BLOCK) -> DataFrame:
+def phrase_counts(docs: DataFrame, levels: tuple, gate=None, missed=None, block: int = BLOCK) -> DataFrame:
     """``(lang, words, phrase, n)`` of one pass over ``docs (lang, text)``; gates are
     broadcast bit words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gates = [Gate(np.frombuffer(g.value, np.uint64)) if g else None for g in (gate, before)]
-        waiting, size = defaultdict(list), 0
+        gates = [Gate(np.frombuffer(g.value, np.uint64)) if g else None for g in (gate, missed)]
+        waiting, size = defaultdict(list), defaultdict(int)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for part in segments(text.as_buffer().to_pybytes(), block):
                     waiting[lang].append(part)
-                    size += len(part[0])
-                    if size >= block:
-                        for own, parts in waiting.items():
-                            yield from count_block(own, parts, levels, *gates)
-                        waiting, size = defaultdict(list), 0
-        for own, parts in waiting.items():
-            yield from count_block(own, parts, levels, *gates)
+                    size[lang] += len(part[0])
+                    if size[lang] >= block or sum(size.values()) >= HELD * block:
+                        for full in [lang] if size[lang] >= block else [*waiting]:
+                            yield from count_block(full, waiting.pop(full), levels, *gates)
+                            del size[full]
+        for lang, parts in waiting.items():
+            yield from count_block(lang, parts, levels, *gates)
 
     rows = docs.mapInArrow(work, "lang string, words tinyint, phrase string, n long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    # blocks have folded what repeats: folding again before the exchange would cost
+    # more than it saves
+    return rows.repartition("lang", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def gate_of(proposals: DataFrame, bits: int = GATE_BITS):
@@ -270,22 +301,18 @@ def frequent_phrases(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             gate.destroy()
         gate = gate_of(proposed, gate_bits)
 
-    found, before = None, None
-    while True:
-        levels = tuple(range(2 if before else 1, longest + 1))
-        counted = phrase_counts(docs, levels, gate, before, block).where(f"n >= {support} or words = 0")
-        counted = saved(counted, "phrases-counted")
-        found = counted if found is None else found.unionByName(counted)
-        missed = counted.where(f"words between 1 and {longest - 1}").select("lang", "phrase").join(
-            proposed, ["lang", "phrase"], "left_anti")
-        missed = saved(missed, "phrases-missed")
-        if before:
-            before.destroy()
-        if missed.isEmpty():
-            gate.destroy()
-            return found
-        proposed = proposed.unionByName(missed)
-        before, gate = gate, gate_of(proposed, gate_bits)
+    least = f"n >= {support} or words = 0"
+    found = saved(phrase_counts(docs, tuple(range(1, longest + 1)), gate, block=block).where(least), "phrases-counted")
+    missed = found.where(f"words between 1 and {longest - 1}").select("lang", "phrase").join(
+        proposed, ["lang", "phrase"], "left_anti")
+    missed = saved(missed, "phrases-missed")
+    if not missed.isEmpty():
+        through = gate_of(missed, gate_bits)
+        more = phrase_counts(docs, tuple(range(2, longest + 1)), gate, through, block).where(least)
+        found = found.unionByName(saved(more, "phrases-expanded"))
+        through.destroy()
+    gate.destroy()
+    return found
 
 
 def collocations(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
