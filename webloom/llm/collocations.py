@@ -27,8 +27,8 @@ eligible depends on the phrase alone, so each is counted in exactly one pass.
 
 Python tasks encode blocks of text (about ``BLOCK`` bytes of a language) as numbers
 of a block's distinct words and count phrases by sorting numbers, without hashing.
-A phrase leaves a block as one row, so the most frequent has a row a block; Spark
-adds them up.  Counts and proposals are tables.
+A phrase leaves a block as one row; Spark adds them up, first in each map task, so
+the most frequent phrase has a row a task.  Counts and proposals are tables.
 
 Defined cases: null text has no words; null languages count as ``und``, together
 with languages of that name; repeated rows are counted as often as they occur; a
@@ -244,9 +244,7 @@ def phrase_counts(docs: DataFrame, levels: tuple, gate=None, missed=None, block:
             yield from count_block(lang, parts, levels, *gates)
 
     rows = docs.mapInArrow(work, "lang string, words tinyint, phrase string, n long")
-    # blocks have folded what repeats: folding again before the exchange would cost
-    # more than it saves
-    return rows.repartition("lang", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def gate_of(proposals: DataFrame, bits: int = GATE_BITS):
