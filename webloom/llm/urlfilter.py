@@ -68,6 +68,15 @@ def _keys(host: Column, path: Column, depth: int) -> Column:
     return F.array_distinct(F.concat(whole, domains, prefixes) if depth else F.concat(whole, domains))
 
 
+def by_month(valid: DataFrame, rows: DataFrame) -> DataFrame:
+    """Intervals once for each month that they reach and that has captures (``at``): as
+    many as the calendar has at most."""
+    months = rows.where("at is not null").select(_month(F.col("at")).alias("m")).distinct().orderBy("m").toPandas()["m"]
+    until = F.coalesce(_month(F.date_sub("until", 1)), F.lit(1 << 30))
+    return valid.withColumn("month", F.explode(F.filter(
+        F.lit(months.to_numpy("int32")), lambda m: (m >= _month(F.col("since"))) & (m <= until))))
+
+
 def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     time_col: str = "fetched_at") -> DataFrame:
     """Every capture's ``(<id_col>, blocked, n_active, list, kind, value)``: how many
@@ -76,11 +85,8 @@ def filter_captures(captures: DataFrame, entries: DataFrame, id_col: str = "page
     rows = saved(captures.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
                                  host.alias("host"), path.alias("path"), F.col(time_col).alias("at")), "urls-captures")
     valid = saved(intervals(entries), "urls-intervals")
-    depth, last = (valid.where("kind = 'prefix'").agg(F.max(F.size(F.split("value", "/", -1)) - 1)).first()[0] or 0,
-                   rows.agg(F.max("at")).first()[0])
-    end = F.greatest(_month(F.col("since")), F.coalesce(
-        _month(F.date_sub("until", 1)), F.coalesce(_month(F.lit(last).cast("timestamp")), F.lit(0))))
-    listed = valid.withColumn("month", F.explode(F.sequence(_month(F.col("since")), end)))
+    depth = valid.where("kind = 'prefix'").agg(F.max(F.size(F.split("value", "/", -1)) - 1)).first()[0] or 0
+    listed = by_month(valid, rows)
     listed = listed.withColumnsRenamed({"kind": "l_kind", "value": "l_value", "month": "l_month"})
     asked = rows.where("host <> '' and at is not null").select(
         "rid", "at", _month(F.col("at")).alias("month"), F.inline(_keys(F.col("host"), F.col("path"), depth)))

@@ -32,11 +32,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, table
+from ..sources.pagefiles import open_store
 from .common import saved
 
 CHUNK = 1 << 20                # payload bytes of a chunk row, at most
@@ -91,9 +91,12 @@ def _head(id_: str | None, url: str | None, digest: str, size: int, refers: str
 
 def write_archives(chunks: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write chunk rows as ``.warc.gz`` files under ``path``; returns the manifest,
-    ``(file, records, bytes)``, once everything is written."""
+    ``(file, records, bytes)``, once everything is written.  A folder that Python tasks
+    can't open is an error before anything is written."""
+    open_store(path)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(path)
+        fs, root = open_store(path)
         fs.create_dir(root, recursive=True)
         out, name, done, records, size = None, "", [], 0, 0
         pack = digest = want = None
@@ -198,7 +201,7 @@ def read_archives(manifest: DataFrame, path: str, payload: bool = True, chunk: i
     names = ["record_id", "url", "record_type", "refers_to", "payload_bytes", "chunk_no", "is_last", "digest", "data"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = pafs.FileSystem.from_uri(path)
+        fs, _ = open_store(path)
         for b in batches:
             for name in b.column(0).to_pylist():
                 rows, size = [], 0
