@@ -1,11 +1,13 @@
 """Capture selection, lookups, sources and sinks."""
 
 import os
+import random
 import tempfile
 
 from pyspark.sql import functions as F
 
 from webloom.operators import captures as C
+from webloom.operators.captures import follow_redirects, redirect_closure
 from webloom.sources import io as IO
 
 
@@ -82,18 +84,6 @@ def test_decode_matches_python_replacement_per_bad_run(spark):
     assert got == [c.decode("utf-8", errors="replace") for c in cases]
 
 
-def test_captures_merge_into_a_store(spark, tmp_path):
-    from webloom.operators.captures import upsert_captures
-    first = spark.createDataFrame([("https://a.com/", 1, "old"), ("https://a.com/b", 1, "b"), ("https://a.com/", 2, "mid")],
-                                  "url string, ord int, html string")
-    again = spark.createDataFrame([("https://a.com/", 1, "new"), ("https://a.com/c", 1, None)], first.schema)
-    v1 = upsert_captures(first, None, f"{tmp_path}/v1", carry=("html",))
-    v2 = upsert_captures(again, v1, f"{tmp_path}/v2", carry=("html",))
-    assert {r.url: r.html for r in v1.collect()} == {"https://a.com/": "mid", "https://a.com/b": "b"}
-    assert {r.url: r.html for r in v2.collect()} == {"https://a.com/": "new", "https://a.com/b": "b", "https://a.com/c": None}
-    assert sorted(upsert_captures(again.filter("false"), v2, f"{tmp_path}/v3", carry=("html",)).collect()) == sorted(v2.collect())
-
-
 def test_scratch_tables_are_dropped(spark, monkeypatch):
     from webloom import session
     monkeypatch.setattr(session, "_SCRATCH", [])
@@ -104,3 +94,29 @@ def test_scratch_tables_are_dropped(spark, monkeypatch):
     assert spark.read.parquet(path).count() == 3
     assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0
     assert kept.count() == 3
+
+
+def test_redirect_closure_against_walks(spark):
+    rng = random.Random(2)
+    nodes = [f"u{i}" for i in range(120)]
+    hop = {u: rng.choice(nodes) for u in nodes if rng.random() < .9}
+    hop |= {f"c{i}": f"c{i + 1}" for i in range(37)} | {"l0": "l1", "l1": "l2", "l2": "l0", "into": "l0", "self": "self", "s": "self"}
+    hop |= {f"hot{i}": "c30" for i in range(50)}
+    rows = [*hop.items(), (None, "x"), ("y", None), ("c0", "a")]          # of two targets the largest
+    got = {r.from_url: (r.to_url, r.hops, r.state) for r in redirect_closure(
+        spark.createDataFrame(rows, "from_url string, to_url string"), 5).collect()}
+
+    def walk(u):
+        at, n = u, 0
+        while at in hop and hop[at] != at and n < 500:
+            at, n = hop[at], n + 1
+        return (None, None, "loop") if n == 500 else (at, n, "too_many" if n >= 5 else "ok")
+
+    assert got == {u: walk(u) for u in hop if hop[u] != u}
+    assert {s for _, _, s in got.values()} == {"ok", "too_many", "loop"} and max(n or 0 for _, n, _ in got.values()) == 37
+    closure = spark.createDataFrame([(u, *x) for u, x in got.items()], "from_url string, to_url string, hops long, state string")
+    urls = spark.createDataFrame([("l0",), ("c0",), ("c36",), ("plain",), (None,)], "url string")
+    assert {r.url: (r.resolved, r.hops, r.state) for r in follow_redirects(urls, closure).collect()} == {
+        "l0": (None, None, "loop"), "c0": (None, 37, "too_many"), "c36": ("c37", 1, "ok"), "plain": ("plain", 0, "ok"),
+        None: (None, 0, "ok")}
+    assert redirect_closure(spark.createDataFrame([], "from_url string, to_url string")).count() == 0

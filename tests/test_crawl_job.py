@@ -65,3 +65,20 @@ def test_crawl_site_respects_robots(spark):
     robots = spark.createDataFrame([("a.com", "User-agent: *\nDisallow: /private")], "host string, body string")
     got = {r.url: r.fetched for r in crawl_site(seeds, normalized_captures(pages), robots=robots).collect()}
     assert got == {"https://a.com/": True, "https://a.com/private/x": False, "https://a.com/open": True}
+
+
+def test_crawl_skips_failed_hosts_and_counts_hosts_inside(spark):
+    def page(body):
+        return f"<body>{body} some words here</body>" + PAD
+    captures = spark.createDataFrame([
+        ("https://a.com/", page('<a href="/b">b</a><a href="/c">c</a>')), ("https://a.com/b", page('<a href="/d">d</a>')),
+        ("https://a.com/c", page("")), ("https://a.com/d", page("")), ("https://bad.com/", page('<a href="/x">x</a>'))],
+        "url string, html string")
+    seeds = spark.createDataFrame([(0, "https://a.com/"), (1, "https://bad.com/")], "seed long, url string")
+    failed = spark.createDataFrame([("bad.com",)], "host string")
+    lost = spark.createDataFrame([("https://a.com/c",)], "url string")
+    got = run_crawl(seeds, captures, max_per_host=2, failed_hosts=failed, blocked=lost)
+    assert {r.url: r.reason for r in got.visited.collect()} == {
+        "https://a.com/": None, "https://a.com/b": None, "https://a.com/c": "host_cap", "https://a.com/d": "host_cap",
+        "https://bad.com/": "failed_host"}
+    assert {r.file_name for r in got.html.collect()} == {"index.html", "b.html"}

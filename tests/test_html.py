@@ -1,5 +1,7 @@
 """HTML reader and Markdown layout: tree rules, entities, content areas."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from webloom.functions.htmlkernel import read_page
@@ -140,3 +142,19 @@ def test_keep_paragraphs_option(spark):
     pages = spark.createDataFrame([(1, "https://a.com/", h)], "page_id long, url string, html string")
     md = html_to_markdown(pages, keep_paragraphs=True).first().markdown
     assert md.endswith("---\n\nTitle here\n\none two\n\ninline three")
+
+
+def test_title_of_nested_elements_is_linear():
+    def seconds(n):
+        page = "<svg><title>" + "<g>" * n + "deep" + "</g>" * n + "</title></svg>"
+        best = 9e9
+        for _ in range(3):
+            t = time.perf_counter()
+            title = read_page(page)[0]
+            best = min(best, time.perf_counter() - t)
+        assert title == "deep"
+        return best
+
+    assert seconds(8000) < 8 * seconds(2000)
+    assert read_page("<title>a<b>c</b></title>")[0] is None and read_page("<title><b>c</b></title>")[0] == "c"
+    assert read_page("<title></title>")[0] is None and read_page("<title>")[0] is None

@@ -1,6 +1,8 @@
 """Robots rules, per-host caps and the politeness schedule."""
 
 import datetime as dt
+import random
+import re
 
 
 from pyspark.sql import functions as F
@@ -69,3 +71,36 @@ def test_politeness_joins_its_summary_without_a_shuffle(spark):
     spans = chunks.groupBy("host").agg(F.countDistinct("chunk").alias("n")).agg(F.sum(F.col("n") - 1)).first()[0]
     assert 0 < spans < 8
     assert out.filter("rn > 1").count() == 5000 - df.select("host").distinct().count()
+
+
+def test_robots_index_against_brute_force(spark):
+    rng = random.Random(6)
+    def path():
+        return "/" + "".join(rng.choice("ab/") for _ in range(rng.randrange(7)))
+    rules = [(f"h{rng.randrange(4)}.com", path()) for _ in range(60)] + [("h0.com", "/a"), ("h0.com", "/a/b"), ("h3.com", "/"), ("h2.com", "é/x")]
+    urls = [(i, f"https://h{rng.randrange(5)}.com{path()}?q=/a") for i in range(300)]
+    urls += [(300, None), (301, "https://h3.com?x"), (302, "https://h0.com"), (5, urls[5][1]), (303, "not a url")]
+    r = spark.createDataFrame(rules, "host string, prefix string")
+    u = spark.createDataFrame(urls, "id long, url string")
+    def blocked(url):
+        m = re.match(r"https?://([^/?#]*)([^?#]*)", url or "")
+        return bool(m) and any(h == m[1] and (p == "/" or m[2].startswith(p)) for h, p in rules)
+    assert sorted(x.id for x in P.blocked_by_robots(u, r).collect()) == sorted(i for i, x in urls if blocked(x))
+    assert sorted(x.id for x in P.exclude_robots(u, r).collect()) == sorted(i for i, x in urls if not blocked(x))
+    free = [tuple(x) for x in P.robots_index(r)[0].collect()]
+    assert not any(h == g and p != q and q.startswith(p) for h, p in free for g, q in free)
+    assert P.exclude_robots(u, r.where("false")).count() == len(urls) and P.blocked_by_robots(u.where("false"), r).count() == 0
+
+
+def test_robots_lookup_is_linear_on_a_hot_host(spark):
+    """A thousand rules of one host and its URLs meet on equal keys only: a URL is
+    looked up once for each length that the rules have."""
+    rules = spark.range(1000).selectExpr("concat('hot', id % 1, '.com') as host", "concat('/dir', lpad(id, 4, '0'), '/') as prefix")
+    urls = spark.range(20000).selectExpr("concat('https://hot', id % 1, '.com/dir', lpad(id % 4000, 4, '0'), '/page', id) as url")
+    free, lengths = P.robots_index(rules)
+    assert free.count() == 1000 and [tuple(x) for x in lengths.collect()] == [("hot0.com", [9])]
+    got = P.blocked_by_robots(urls, rules)
+    assert got.count() == 5000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.split("\n") if "Join " in x and "==" not in x]
+    assert joins and not any("startswith" in x.lower() or "NestedLoop" in x or "Cartesian" in x for x in joins)

@@ -1,5 +1,8 @@
 """SQL users reach the same operators through registered functions."""
 
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from webloom.functions.sql_api import register_all
@@ -42,3 +45,54 @@ def test_markdown_in_sql_equals_the_operator(spark):
                     "(SELECT page_id, url, webloom_parse_html(html) AS p FROM md_pages)")
     want = {r.page_id: r.markdown for r in html_to_markdown(pages).collect()}
     assert {r.page_id: r.md for r in got.collect()} == want
+
+
+def test_scanned_anchors_equal_the_tree(spark):
+    from webloom.functions.htmlkernel import read_hrefs, scan_hrefs
+    from webloom.plans import fixtures as FX
+    pages = [r.html for r in FX.pages_x(spark, "/root/testdata/sf0.001").collect()]
+    odd = ["<a href=x>", "<a href='x&amp;y' HREF=\"z\">t</a><A Href = q >", "<a href>", "<a name=x>", "<!-- <a href=n> --><a href=y>",
+           "<!-- a --b <a href=n> -- > <a href=m>", "<!--><a href=1>--><a href=2>", "<!---><a href=1>", "<!-- x --!><a href=1> -->",
+           "<script>var a = '<a href=no>';</script><a href=yes>", "<script>if (a </b) <a href=no></script ><a href=yes>",
+           "<style><a href=no></STYLE><a href=yes>", "<script/><a href=in>", "<script src=x/><a href=no></script>", "<a href=x/>", "<a/href=x>",
+           "<a href=\"x\"title=y>", "<a href=\"x", "< a href=x>", "<abbr href=x><a\nhref='two\nlines'>", "<?php <a href=x> ?>", "<![CDATA[<a href=x>]]>",
+           "<!DOCTYPE html [<a href=x>]>", "</a href=x><a href=&lt;>", "text < b <a href=x>", "<a href=x href>", "", "<", "<a", "<p", "<svg><a xlink:href=q href=r/></svg>",
+           "<a href=a=b>", "<a href=`x`>", "<a =x href=y>", "<a href==x>", "<a.b href=x>", "<a href= >", "<a href=''>", "<textarea><a href=x></textarea>",
+           "<title><a href=x></title>", "<a href=\"x\" / >", "<a href=x / >", "<script>a<!--b</script><a href=c>--></script><a href=d>"]
+    rng = random.Random(1)
+    cut = [h[:rng.randrange(len(h))] for h in pages] + [h.replace(rng.choice("<>\"'/= -!"), rng.choice(["", "<", ">", " ", '"', "--"]), 1) for h in pages * 3]
+    for h in [*pages, *odd, *cut]:
+        assert scan_hrefs(h) == read_hrefs(h), h[:200]
+
+
+def test_links_of_a_table_in_sql(spark):
+    register_all(spark)
+    rows = [("https://a.com/x", '<a href="/y">1</a><a href="#t">2</a><a href="//b.org/">3</a>'), ("https://b.com/", None), ("https://c.com/", "no links"),
+            (None, "<a href=z>")]
+    spark.createDataFrame(rows, "url string, html string").createOrReplaceTempView("wl_two")
+    got = spark.sql("SELECT url, pos, l.link, l.internal, l.same FROM (SELECT url, pos, webloom_link_info(url, href) AS l "
+                    "FROM webloom_extract_links(TABLE(SELECT url, html FROM wl_two)))").collect()
+    assert {tuple(r) for r in got if r.url} == {("https://a.com/x", 0, "https://a.com/y", True, False), ("https://a.com/x", 1, "https://a.com/x#t", True, True),
+                                                ("https://a.com/x", 2, "https://b.org/", False, False)} and len(got) == 4
+    spark.createDataFrame([], "url string, html string").createOrReplaceTempView("wl_none")
+    assert spark.sql("SELECT * FROM webloom_extract_links(TABLE(SELECT url, html FROM wl_none))").count() == 0
+
+
+def test_scan_is_faster_than_the_tree():
+    from webloom.functions.htmlkernel import read_hrefs, scan_hrefs
+    page = "<html><body>" + "<div class='x'><p>text <b>bold</b> <a href=\"/p\">link</a></p></div>" * 500 + "</body></html>"
+    def seconds(fn):
+        best = 9e9
+        for _ in range(3):
+            t = time.perf_counter()
+            fn(page)
+            best = min(best, time.perf_counter() - t)
+        return best
+    assert seconds(scan_hrefs) < seconds(read_hrefs) / 2
+
+
+def test_functions_are_defined_in_each_session(spark):
+    other = spark.newSession()
+    for s in (spark, other):
+        register_all(s)
+        assert s.sql("SELECT webloom_host_of('https://a.com:8080/x') AS h").first().h == "a.com:8080"

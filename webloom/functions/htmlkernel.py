@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from html import unescape
 from html.entities import html5 as _HTML5
 from html.parser import HTMLParser
 
@@ -183,15 +184,13 @@ class _PageReader(HTMLParser):
 
 
 def _single_string(r: _PageReader, i: int):
-    """Text of an element that has exactly one child, followed down."""
-    while True:
-        kids = [j for j in range(i + 1, r.end[i]) if r.parent[j] == i]
-        if len(kids) != 1:
-            return None
-        j = kids[0]
-        if r.kind[j] == 1:
-            return r.value[j]
-        i = j
+    """Text of an element that has exactly one child, followed down.  A first child
+    comes right behind its parent, and is the only one if both end together."""
+    while i + 1 < r.end[i] == r.end[i + 1]:
+        i += 1
+        if r.kind[i] == 1:
+            return r.value[i]
+    return None
 
 
 def _first(r: _PageReader, name: str, alive=None):
@@ -229,6 +228,35 @@ def read_hrefs(html: str) -> list[str]:
     return _hrefs(r)
 
 
+# Tokens of markup that leaves no room for error handling.  Attributes are written
+# name, name=value or name="value", one space at least before each; a script or
+# style ends at its own end tag and holds no comment.
+_ATTRIBUTE = r"""\s++([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'=<>`]++))?+"""
+_TOKEN = re.compile(
+    r"[^<]++|</[a-z][a-z0-9]*+\s*+>|<!--(?:(?!--)[^>])*+(?:(?!--).)*+-->|<!doctype[^<>]*+>"
+    rf"|<(script|style)(?:{_ATTRIBUTE})*+>[^<]*+(?:<(?!/\s*\1|!--)[^<]*+)*+</\1\s*>"
+    rf"|<(?!script[\s>/]|style[\s>/])([a-z][a-z0-9]*+)((?:{_ATTRIBUTE})*+)\s*+/?+>", re.I | re.S)
+_ATTRIBUTES = re.compile(_ATTRIBUTE, re.S)
+
+
+def scan_hrefs(html: str) -> list[str]:
+    """What :func:`read_hrefs` returns, without building a tree: a page that is made of
+    well-formed tokens only is scanned for its anchors, any other is read."""
+    out, at = [], 0
+    for token in _TOKEN.finditer(html):
+        if token.start() != at:
+            return read_hrefs(html)
+        at = token.end()
+        if token[4] in ("a", "A"):
+            found = None
+            for name, value in _ATTRIBUTES.findall(token[5]):
+                if name.lower() == "href":
+                    found = unescape(value[1:-1] if value[:1] in ('"', "'") else value)
+            if found is not None:
+                out.append(found)
+    return out if at == len(html) else read_hrefs(html)
+
+
 def read_page(html: str, dedupe_areas: bool = False, keep_paragraphs: bool = False):
     """Parse one page; returns (title, description, text, hrefs).
 

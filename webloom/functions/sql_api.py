@@ -8,23 +8,38 @@
 * ``webloom_markdown_of(url, webloom_parse_html(html))`` - the Markdown document
   of a page, as :func:`webloom.operators.extract.html_to_markdown` lays it out;
 * ``webloom_page_hrefs(html)`` - a table function yielding ``(pos, href)``
-  for every ``<a href>`` of a page, for ``LATERAL`` joins.
+  for every ``<a href>`` of a page, for ``LATERAL`` joins;
+* ``webloom_extract_links(TABLE(...))`` - a table function over Arrow batches of a table
+  with columns ``url`` and ``html``, yielding ``(url, pos, href)``;
+* ``webloom_link_info(url, href)`` - ``STRUCT<link, same, internal, dst>``: the resolved
+  link, whether it leads back to the page, whether it stays on the site, and its
+  normalised form (internal) or itself.
 
-Example::
+Examples::
 
     SELECT p.page_id, h.pos, webloom_resolve_url(p.url, h.href) AS link
     FROM pages p, LATERAL webloom_page_hrefs(p.html) h
+
+    SELECT url, pos, l.link, l.internal
+    FROM (SELECT url, pos, webloom_link_info(url, href) AS l
+          FROM webloom_extract_links(TABLE(SELECT url, html FROM pages)) WHERE href <> '')
+    WHERE NOT l.same
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 
 from ..operators.extract import parse_html
-from .htmlkernel import read_hrefs
+from .htmlkernel import read_hrefs, scan_hrefs
 from .text import NO_CONTENT, NO_TITLE, PY_SPACE
-from .urls import register_functions
+from .urls import link_info_sql, register_functions
 
 
 @udtf(returnType="pos int, href string", useArrow=True)
@@ -42,6 +57,33 @@ class PageHrefs:
             yield i, h
 
 
+@arrow_udtf(returnType="url string, pos int, href string")
+class ExtractLinks:
+    """Every ``<a href>`` of a batch of pages, in document order; pages keep their
+    partitions."""
+
+    def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        pages = batch.column("html")
+        # pages without an anchor aren't looked at in Python
+        some = pc.fill_null(pc.match_substring_regex(pages, "<[aA][^a-zA-Z]"), False)
+        batch = batch.filter(some)
+        found = []
+        for html in batch.column("html").to_pylist():
+            try:
+                found.append(scan_hrefs(html))
+            except Exception:  # an unreadable page has no links
+                found.append([])
+        sizes = np.array([len(f) for f in found], np.int64)
+        row = np.repeat(np.arange(len(found)), sizes)
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        yield pa.table({"url": batch.column("url").take(pa.array(row)),
+                        "pos": pa.array((np.arange(len(row)) - first).astype(np.int32)),
+                        "href": pa.array([h for f in found for h in f], pa.string())})
+
+
+LINK_INFO = ("CREATE OR REPLACE TEMPORARY FUNCTION webloom_link_info(page STRING, href STRING) RETURNS "
+             "STRUCT<link: STRING, same: BOOLEAN, internal: BOOLEAN, dst: STRING> RETURN ")
+
 # the layout of render_markdown over a parse, as a SQL function
 MARKDOWN_OF = r"""
 CREATE OR REPLACE TEMPORARY FUNCTION webloom_markdown_of(url STRING,
@@ -61,3 +103,5 @@ def register_all(spark: SparkSession) -> None:
     spark.udf.register("webloom_parse_html", parse_html)
     spark.sql(MARKDOWN_OF.format(no_title=NO_TITLE, no_content=NO_CONTENT, space=PY_SPACE.replace("\\", "\\\\")))
     spark.udtf.register("webloom_page_hrefs", PageHrefs)
+    spark.udtf.register("webloom_extract_links", ExtractLinks)
+    spark.sql(LINK_INFO + link_info_sql("page", "href"))

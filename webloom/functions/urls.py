@@ -290,21 +290,19 @@ DEFINITIONS = {
     "markdown_file_name": ("u STRING", "STRING", _md_name("u")),
 }
 
-_REGISTERED: set = set()
+# set in a session's own configuration once a function is defined there: it lives and
+# dies with the session, and is inherited where temporary functions are
+_MARK = "webloom.defined."
 
 
 def register_functions(spark: SparkSession, names=None) -> None:
     """Define the ``webloom_*`` SQL functions in this session (each once)."""
-    try:
-        key = spark._jsparkSession.hashCode()
-    except AttributeError:  # a remote (Connect) session has no JVM handle
-        key = id(spark)
     for name in names or DEFINITIONS:
-        if (key, name) in _REGISTERED:
+        if spark.conf.get(_MARK + name, None):
             continue
         args, ret, body = DEFINITIONS[name]
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION webloom_{name}({args}) RETURNS {ret} RETURN {body}")
-        _REGISTERED.add((key, name))
+        spark.conf.set(_MARK + name, "true")
 
 
 def _c(c) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import py_strip
+from ..session import scratch_dir
 
 # Capture acceptance thresholds (a rendered page may be
 # shorter than a static one).
@@ -117,24 +118,13 @@ def latest_captures(writes: DataFrame, url: str = "url", order: str = "ord", car
             .select("key", *[F.col("w")[c].alias(c) for c in cols]))
 
 
-def upsert_captures(writes: DataFrame, store: DataFrame | None, path: str, url: str = "url",
-                    order: str = "ord", carry=()) -> DataFrame:
-    """Merge new captures into a store and return the store's new version, which
-    is written to ``path``: per ``md5(url)`` the last of ``writes`` replaces what
-    ``store`` holds, every other capture stays.  A version is written once and
-    never changed, so a lost job leaves the one before it whole; ``store`` is
-    None for the first.  Stored rows are only tested for their key."""
-    last = latest_captures(writes, url, order, carry)
-    if store is not None:
-        last = last.unionByName(store.join(last.select("key"), "key", "left_anti").select(last.columns))
-    last.write.parquet(path)
-    return writes.sparkSession.read.schema(last.schema).parquet(path)
-
-
 def cache_lookup(urls: DataFrame, cache: DataFrame, url: str = "url", carry=("html",)) -> DataFrame:
     """Left join URLs to the capture store on ``md5(url)``; the capture is
-    attributed to the requested URL.  Adds ``cached`` and ``carry``."""
-    c = cache.select(U.capture_key(F.col(url)).alias("key"), *carry)
+    attributed to the requested URL.  Adds ``cached`` and ``carry``.  A cache with a
+    column ``key`` is joined on that: bucketed by it (:class:`webloom.sources.store.
+    KeyedStore`), its captures stay where they are and only the URLs move."""
+    key = F.col("key") if "key" in cache.columns else U.capture_key(F.col(url))
+    c = cache.select(key.alias("key"), *carry)
     return (urls.withColumn("key", U.capture_key(F.col(url)))
             .join(c, "key", "left")
             .withColumn("cached", F.col(carry[0]).isNotNull() if carry else F.lit(None))
@@ -179,6 +169,55 @@ def resolve_redirects(urls: DataFrame, redirects: DataFrame, url: str = "url") -
             .drop("from_url", "to_url"))
 
 
+def redirect_closure(redirects: DataFrame, limit: int = MAX_REDIRECTS) -> DataFrame:
+    """Where each redirect leads in the end: ``(from_url, to_url, hops, state)``.
+    ``state`` is ``ok``, ``too_many`` (``limit`` hops or more) or ``loop``, whose
+    ``to_url`` and ``hops`` are null.  Of several targets of a URL the largest counts;
+    rows without one of the URLs, or from a URL to itself, are no redirects.
+
+    Pointer doubling: every URL first knows its next hop, and takes over its target's
+    knowledge round by round, so a chain of n hops takes log2(n) rounds.  A round that
+    ends no chain shows that the rest are loops: a chain's own URLs are chains of
+    every shorter length, so some of them would have ended.  Each round is written
+    to the checkpoint folder; the driver sees two counts a round.  A target that many
+    URLs share is a skewed join side, which adaptive execution splits."""
+    spark = redirects.sparkSession
+    base = scratch_dir(spark, "redirects")
+    hop = redirects.where("from_url <> to_url").groupBy("from_url").agg(F.max("to_url").alias("at"))
+    sources = hop.select(F.col("from_url").alias("_source"))
+    state = hop.join(sources, F.col("at") == F.col("_source"), "left").select(
+        "from_url", "at", F.lit(1).cast("long").alias("hops"), F.col("_source").isNull().alias("ended"))
+    is_open, n = -1, 0
+    while True:
+        path = f"{base}/round={n}"
+        state.write.parquet(path)
+        state = spark.read.schema(state.schema).parquet(path)
+        left = state.where("not ended").count()
+        if left in (0, is_open):
+            break
+        is_open, n = left, n + 1
+        jump = state.select(F.col("from_url").alias("_via"), F.col("at").alias("_at"), F.col("hops").alias("_hops"),
+                            F.col("ended").alias("_ended"))
+        moved = state.where("not ended").join(jump, F.col("at") == F.col("_via")).select(
+            "from_url", F.col("_at").alias("at"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_ended").alias("ended"))
+        state = state.where("ended").unionByName(moved)
+    why = F.when(~F.col("ended"), "loop").when(F.col("hops") >= limit, "too_many").otherwise("ok")
+    return state.select("from_url", F.when(F.col("ended"), F.col("at")).alias("to_url"),
+                        F.when(F.col("ended"), F.col("hops")).alias("hops"), why.alias("state"))
+
+
+def follow_redirects(urls: DataFrame, closure: DataFrame, url: str = "url") -> DataFrame:
+    """Adds ``resolved``, ``hops`` and ``state`` from a :func:`redirect_closure`; a URL
+    that isn't redirected is resolved to itself with no hops, one in a loop or behind
+    too many hops to null."""
+    c = closure.select(F.col("from_url").alias("_from"), F.col("to_url").alias("_to"), F.col("hops").alias("_hops"), "state")
+    out = urls.join(c, F.col(url) == F.col("_from"), "left")
+    state = F.coalesce("state", F.lit("ok"))
+    resolved = F.when(F.col("_from").isNull(), F.col(url)).when(state == "ok", F.col("_to"))
+    hops = F.when(F.col("_from").isNull(), F.lit(0)).otherwise(F.col("_hops"))
+    return out.select(*urls.columns, resolved.alias("resolved"), hops.cast("long").alias("hops"), state.alias("state"))
+
+
 # -- failures -------------------------------------------------------------------
 
 def failures_per_host(outcomes: DataFrame, url: str = "url", failed: str = "failed",

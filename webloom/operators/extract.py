@@ -18,8 +18,6 @@ from ..functions import urls as U
 from ..functions.htmlkernel import read_page
 from ..functions.text import NO_CONTENT, NO_TITLE, clean_text
 
-# Arrow batch size for the parse job when the session has not tuned it.
-
 PARSED = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("description", T.StringType()),
@@ -162,3 +160,11 @@ def internal_links(links: DataFrame, keys=("page_id",)) -> DataFrame:
 def external_links(links: DataFrame, keys=("page_id",)) -> DataFrame:
     """Every external link occurrence with its source page."""
     return links.filter(~F.col("internal")).select(*keys, "src", "pos", F.col("link").alias("dst"))
+
+
+def external_link_count(links: DataFrame, by=None) -> DataFrame:
+    """Per source host (or the columns ``by``): external link occurrences and how
+    many different targets they have (``links`` as :func:`external_links` returns
+    them)."""
+    keys = by or [U.host_of(F.col("src")).alias("host")]
+    return links.groupBy(*keys).agg(F.count(F.lit(1)).alias("links"), F.countDistinct("dst").alias("targets"))

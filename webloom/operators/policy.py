@@ -25,24 +25,45 @@ def parse_robots(robots: DataFrame, host: str = "host", body: str = "body") -> D
     return rules.filter(F.col("prefix") != "")
 
 
-def _blocking(urls: DataFrame, rules: DataFrame, url: str):
-    u = urls.withColumn("_host", U.host_of(F.col(url))).withColumn("_path", U.url_path(F.col(url)))
-    r = rules.select(F.col("host").alias("_rhost"), F.col("prefix").alias("_prefix"))
-    # equi key on host keeps this a hash / sort-merge join with a residual
-    cond = (u["_host"] == r["_rhost"]) & ((r["_prefix"] == "/") | u["_path"].startswith(r["_prefix"]))
-    return u, r, cond
+def robots_index(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rules as an index: ``(host, prefix)`` without the rules that a shorter one of
+    their host implies, and ``(host, lengths)``, the distinct lengths of what is left.
+    At most one prefix of a path is in it.  A host's rules, those of one robots file, make
+    one row on the way.  A ``/`` rule blocks the whole host, paths
+    without a slash included, so it is the empty prefix."""
+    whole = F.when(F.col("prefix") == "/", "").otherwise(F.col("prefix"))
+    r = rules.filter("host is not null and prefix is not null").groupBy("host").agg(F.collect_set(whole).alias("all"))
+    # in string order, what a rule implies comes right behind it
+    first = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(None).cast("string").alias("last"))
+
+    def keep(done, prefix):
+        more = F.struct(F.concat(done["kept"], F.array(prefix)).alias("kept"), prefix.alias("last"))
+        return F.when(prefix.startswith(done["last"]), done).otherwise(more)
+
+    r = r.select("host", F.aggregate(F.array_sort("all"), first, keep, lambda done: done["kept"]).alias("kept"))
+    free = r.select("host", F.explode("kept").alias("prefix"))
+    return free, r.select("host", F.array_sort(F.array_distinct(F.transform("kept", F.length))).alias("lengths"))
 
 
-def exclude_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """URLs no robots prefix blocks (a ``/`` rule blocks the whole host)."""
-    u, r, cond = _blocking(urls, rules, url)
-    return u.join(r, cond, "left_anti").drop("_host", "_path")
+def blocked_by_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Rows whose URL some robots prefix blocks.  A URL is looked up by its path's
+    beginnings of the lengths that rules of its host have: equi joins only, and the
+    work doesn't grow with a host's rules times its URLs."""
+    free, lengths = robots_index(rules)
+    u = urls.withColumn("_host", U.host_of(F.col(url))).withColumn("_path", U.url_path(F.col(url)))
+    u = u.join(lengths.select(F.col("host").alias("_host"), "lengths"), "_host")
+    u = u.withColumn("_lengths", F.filter("lengths", lambda n: n <= F.length("_path")))
+    u = u.select(*urls.columns, "_host", "_path", F.explode("_lengths").alias("_n"))
+    u = u.withColumn("_prefix", F.expr("substring(_path, 1, _n)"))
+    hit = u.join(free.select(F.col("host").alias("_host"), F.col("prefix").alias("_prefix")), ["_host", "_prefix"], "left_semi")
+    return hit.select(*urls.columns)
 
 
-def blocked_by_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """URLs some robots prefix blocks."""
-    u, r, cond = _blocking(urls, rules, url)
-    return u.join(r, cond, "left_semi").drop("_host", "_path")
+def exclude_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Rows whose URL no robots prefix blocks (a ``/`` rule blocks the whole host).
+    Whether a URL is blocked depends on the URL alone."""
+    blocked = blocked_by_robots(urls.select(url), rules, url)
+    return urls.join(blocked, url, "left_anti").select(*urls.columns)
 
 
 # -- caps ------------------------------------------------------------------------
@@ -85,7 +106,7 @@ def epoch_micros(df: DataFrame, ts: str) -> F.Column:
 
 def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
                         ts: str = "ts", tie: str = "event_id",
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, last: DataFrame | None = None) -> DataFrame:
     """Start time of every request when each host admits one request per
     ``delay_us``: ``start_i = max(arrival_i, start_{i-1} + delay)`` in
     ``(ts, tie)`` order, the first request starting at once.
@@ -107,6 +128,10 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     that the partition before it ended with, so there is no more than a row
     per partition to broadcast, whatever the input.
 
+    ``last`` ``(host, last_start_us)`` continues an earlier schedule: a host's last
+    start goes before its requests as one that arrives and starts then, which is what
+    the rule asks for (``rn`` counts it).
+
     Returns ``(tie, host, arrival_us, rn, start_us)``.
     """
     spark = arrivals.sparkSession
@@ -115,9 +140,17 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     d = F.lit(int(delay_us)).cast("long")
     a = arrivals.select(F.col(tie), F.col(host).alias("host"),
                         epoch_micros(arrivals, ts).alias("arrival_us"))
-    ranged = a.repartitionByRange(p, "host", "arrival_us", tie).withColumn(
+    order = ["arrival_us", tie]
+    if last is not None:
+        asked = a.select(F.col("host").alias("_host")).distinct()
+        go_on = last.join(asked, F.col("host").eqNullSafe(F.col("_host")), "left_semi").select(
+            F.lit(None).cast(a.schema[tie].dataType).alias(tie), "host", F.col("last_start_us").alias("arrival_us"),
+            F.lit(0).alias("own"))
+        a = a.withColumn("own", F.lit(1)).unionByName(go_on)
+        order = ["own", *order]
+    ranged = a.repartitionByRange(p, "host", *order).withColumn(
         "chunk", F.spark_partition_id())
-    w_local = Window.partitionBy("chunk", "host").orderBy("arrival_us", tie)
+    w_local = Window.partitionBy("chunk", "host").orderBy(*order)
     local = (ranged.withColumn("lrn", F.row_number().over(w_local).cast("long"))
              .withColumn("lv", F.col("arrival_us") - F.col("lrn") * d)
              .withColumn("lmax", F.max("lv").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
@@ -143,6 +176,8 @@ def politeness_schedule(arrivals: DataFrame, delay_us: int, host: str = "host",
     rn = before + F.col("lrn")
     # greatest() skips the null prev_max of a host's first chunk
     best = F.greatest(F.col("lmax") - before * d, F.col("prev_max"))
+    if last is not None:
+        j = j.where("own = 1")
     return j.select(tie, "host", "arrival_us", rn.alias("rn"), (best + rn * d).alias("start_us"))
 
 

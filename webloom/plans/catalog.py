@@ -22,6 +22,8 @@ from ..operators import lines as L
 from ..operators import policy as P
 from ..session import scratch_dir, table
 from ..sources import io as IO
+from ..sources import pagefiles as PF
+from ..sources.store import KeyedStore
 from . import fixtures as FX
 from . import oracle as O
 
@@ -326,6 +328,21 @@ def _drop_non_links(spark, sf):
     return a.select("page_id", _long("pos").alias("pos"), "href")
 
 
+@register("sql_extract_links", "with " + _LINKS_X + " select page_id, pos::bigint as pos, link, internal from t")
+def _sql_extract_links(spark, sf):
+    """§2.11: links of the pages by SQL functions alone."""
+    from ..functions.sql_api import register_all
+    register_all(spark)
+    # the table function knows pages by their URL; here that is the id, which is unique
+    pages = FX.pages_x(spark, sf)
+    found = spark.sql("SELECT url AS id, pos, href FROM webloom_extract_links(TABLE(SELECT cast(page_id AS string) AS url, html "
+                      "FROM {pages}))", pages=pages)
+    return spark.sql("SELECT page_id, cast(pos AS bigint) AS pos, l.link, l.internal FROM (SELECT p.page_id, f.pos, "
+                     "webloom_link_info(p.url, f.href) AS l FROM {found} f JOIN {pages} p ON f.id = cast(p.page_id AS string) "
+                     "WHERE f.href <> '' AND f.href NOT LIKE 'javascript:%' AND f.href NOT LIKE 'mailto:%' "
+                     "AND f.href NOT LIKE 'tel:%') WHERE NOT l.same", found=found, pages=pages.select("page_id", "url"))
+
+
 @register("drop_same_page", "with " + _LINKS_X + " select page_id, pos::bigint as pos, link from s")
 def _drop_same_page(spark, sf):
     return links_x(spark, sf).select("page_id", _long("pos").alias("pos"), "link")
@@ -358,9 +375,7 @@ def _external_links(spark, sf):
           + f" select {O.host('src')} as host, count(*)::bigint as links, count(distinct link)::bigint as targets "
             "from t where not internal group by 1")
 def _external_link_stats(spark, sf):
-    e = X.external_links(links_x(spark, sf))
-    return e.groupBy(U.host_of(F.col("src")).alias("host")).agg(
-        F.count(F.lit(1)).alias("links"), F.countDistinct("dst").alias("targets"))
+    return X.external_link_count(X.external_links(links_x(spark, sf)))
 
 
 _LINKS_F1 = ("a as (select page_id, url as src, u.href from pages, "
@@ -421,10 +436,11 @@ def _captures_latest(spark, sf):
             "arg_max(status, ord)::bigint as status from attempts where ord = 0 or status < 400 group by 1")
 def _captures_upsert(spark, sf):
     """First attempts fill a store, later ones without an error replace them."""
-    a, store = FX.attempts(spark, sf), None
+    a = FX.attempts(spark, sf).select("url", "ord", "status", "html")
+    store = KeyedStore(spark, scratch_dir(spark, "captures-store"), a.schema)
     for batch in (a.filter("ord = 0"), a.filter("ord > 0 and status < 400")):
-        store = C.upsert_captures(batch, store, scratch_dir(spark, "captures-store"), carry=("status",))
-    return store.select("key", "url", _long("ord").alias("ord"), _long("status").alias("status"))
+        store.upsert(batch)
+    return store.read().select("key", "url", _long("ord").alias("ord"), _long("status").alias("status"))
 
 
 @register("cache_lookup", "with " + O.ATTEMPTS
@@ -432,9 +448,10 @@ def _captures_upsert(spark, sf):
             "select p.page_id, p.url, c.html is not null as cached, coalesce(length(c.html), 0)::bigint as chars "
             "from pages p left join cache c on md5(p.url) = c.key")
 def _cache_lookup(spark, sf):
-    a = FX.attempts(spark, sf)
-    cache = a.filter((F.col("ord") == 0) & C.acceptable()).select("url", "html")
-    r = C.cache_lookup(FX.pages(spark, sf).select("page_id", "url"), cache)
+    a = FX.attempts(spark, sf).filter((F.col("ord") == 0) & C.acceptable()).select("url", "ord", "html")
+    store = KeyedStore(spark, scratch_dir(spark, "cache"), a.schema)
+    store.upsert(a)
+    r = C.cache_lookup(FX.pages(spark, sf).select("page_id", "url"), store.read())
     return r.select("page_id", "url", "cached", _long(F.coalesce(F.length("html"), F.lit(0))).alias("chars"))
 
 
@@ -446,6 +463,20 @@ def _resolve_redirects(spark, sf):
     return C.resolve_redirects(FX.pages(spark, sf).select("page_id", "url"), m).select("page_id", "url", "resolved")
 
 
+@register("redirect_chains", f"with recursive r as (select {FX.CHAIN_FROM} as f, {FX.CHAIN_TO} as t from pages where {FX.CHAIN_MOVED}), "
+          "walk(url, place, hops) as (select page_id, " + FX.CHAIN_FROM + ", 0 from pages union all "
+          "select w.url, r.t, w.hops + 1 from walk w join r on r.f = w.place where w.hops < 40), "
+          "last as (select url, arg_max(place, hops) as place, max(hops) as hops from walk group by url) "
+          f"select p.page_id, {FX.CHAIN_FROM} as url, case when hops < 5 then place end as resolved, "
+          "case when hops < 40 then hops end::bigint as hops, case when hops = 40 then 'loop' when hops >= 5 then 'too_many' "
+          "else 'ok' end as state from pages p join last on last.url = p.page_id")
+def _redirect_chains(spark, sf):
+    """#44, #36: chains of redirects followed to their ends, loops and limit told apart."""
+    closure = C.redirect_closure(FX.redirect_chains(spark, sf))
+    urls = FX.pages(spark, sf).selectExpr("page_id", f"{FX.CHAIN_FROM} as url")
+    return C.follow_redirects(urls, closure)
+
+
 _OUTCOME_SQL = (f", o as (select url, bool_or({_OK_SQL}) as ok from attempts group by url), "
                 f"h as (select {O.host('url')} as host, sum(case when ok then 0 else 1 end)::bigint as failures "
                 "from o group by 1)")
@@ -569,6 +600,29 @@ def _markdown_sink_manifest(spark, sf):
     return _written_manifest(spark, sf, path)
 
 
+@register("html_file_tree", _names_sql() + " select k.host, k.file_name, length(p.html)::bigint as chars, md5(p.html) as digest "
+          "from k join pages p on p.page_id = k.page_id where k.page_id = last_id")
+def _html_file_tree(spark, sf):
+    """#4, #2: a real HTML file a page, written by tasks, read back as raw captures."""
+    path = scratch_dir(spark, "html-files")
+    PF.write_page_files(IO.name_files(FX.pages(spark, sf), "url").filter("winner"), path, "html")
+    files = IO.read_capture_files(spark, path).withColumn("_at", F.split("path", "/"))
+    return files.select(F.element_at("_at", -2).alias("host"), F.element_at("_at", -1).alias("file_name"),
+                        _long(F.length("html")).alias("chars"), F.md5(F.col("html").cast("binary")).alias("digest"))
+
+
+@register("markdown_file_tree", _names_sql().replace("n.file_name) as last_id", "n.md_name) as last_id")
+          + f", m as ({_MD_SQL}) select k.host, k.md_name as file_name, length(m.markdown)::bigint as chars, "
+            "md5(m.markdown) as digest from k join m on m.page_id = k.page_id where k.page_id = last_id")
+def _markdown_file_tree(spark, sf):
+    """#5: a real Markdown file a page, read back by the same data source."""
+    path = scratch_dir(spark, "markdown-files")
+    docs = IO.name_files(markdown_pages(spark, sf).select("page_id", "url", "markdown"), "url", markdown=True)
+    PF.write_page_files(docs.filter("winner"), path, "markdown")
+    return PF.read_page_files(spark, path, files_per_split=100).select(
+        "host", "file_name", _long(F.length("content")).alias("chars"), F.md5(F.col("content").cast("binary")).alias("digest"))
+
+
 # =============================================================================
 # Frontier and crawls (#38, #41, #45, #55-#59) on F3
 # =============================================================================
@@ -606,9 +660,9 @@ def _fetch_captures(spark, sf):
     return got.select("url", _long(F.length("html")).alias("chars"))
 
 
-def _crawl_sql(seeds_values: str) -> str:
+def _crawl_sql(seeds: str) -> str:
     return ("with recursive " + _FOLLOW_SQL + ", " + O.GRAPH_CAPTURES
-            + f", s(seed, url) as (values {seeds_values}), "
+            + f", s(seed, url) as ({seeds}), "
             "walk(seed, url, depth) as (select seed, url, 0 from s union "
             "select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url "
             f"join graph_captures c on c.url = w.url where w.depth < {CRAWL_DEPTH}), "
@@ -622,24 +676,23 @@ def _crawl(spark, sf, seeds: DataFrame) -> DataFrame:
                     max_depth=CRAWL_DEPTH)
 
 
-def _crawl_out(df: DataFrame) -> DataFrame:
-    return df.select(_long("seed").alias("seed"), "url", _long("depth").alias("depth"), "fetched")
+def _crawl_out(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(_long("seed").alias("seed"), "url", _long("depth").alias("depth"), "fetched", *more)
 
 
-@register("crawl_frontier", _crawl_sql("(0, 'https://site.example.com/p/0')"))
+@register("crawl_frontier", _crawl_sql(f"select page_id, {FX.EDGE_SRC} from pages where {FX.CRAWL_SEED}"))
 def _crawl_frontier(spark, sf):
-    seeds = spark.range(1).select(F.col("id").alias("seed"),
-                                  U.normalize_url(F.lit(FX.CRAWL_SEEDS[0][1])).alias("url"))
+    seeds = FX.pages(spark, sf).filter(FX.CRAWL_SEED).selectExpr("page_id as seed", f"{FX.EDGE_SRC} as url")
     return _crawl_out(_crawl(spark, sf, seeds))
 
 
 # normalised spellings of the crawl seeds, worked out by hand
-_MANY_SEEDS = ("(0, 'https://site.example.com/p/0'), (1, 'https://site.example.com/p/1'), "
-               "(2, 'https://site.example.com/p/0'), (3, 'http://site.example.com/p/2'), (4, 'https:///')")
+_MANY_SEEDS = ("select page_id, case page_id // 25 % 5 when 3 then concat('http://site.example.com/p/', page_id) "
+               f"when 4 then 'https:///' else {FX.EDGE_SRC} end from pages where {FX.CRAWL_SEED}")
 
 
 def crawl_many_df(spark, sf) -> DataFrame:
-    seeds = IO.normalize_seeds(FX.crawl_seeds(spark))
+    seeds = IO.normalize_seeds(FX.crawl_seeds(spark, sf))
     return _crawl_out(_crawl(spark, sf, seeds))
 
 
@@ -651,20 +704,46 @@ register("crawl_many", _crawl_sql(_MANY_SEEDS))(crawl_many_df)
             f"from v) where rn <= {CRAWL_BUDGET}")
 def _limit_total(spark, sf):
     """The budget cuts the traversal itself, level by level."""
-    seeds = IO.normalize_seeds(FX.crawl_seeds(spark))
+    seeds = IO.normalize_seeds(FX.crawl_seeds(spark, sf))
     return _crawl_out(FR.crawl(seeds, follow_x(spark, sf), FX.graph_captures(spark, sf).select("url"),
                                max_depth=CRAWL_DEPTH, max_urls=CRAWL_BUDGET))
 
 
-_CAP_SQL = ("with v as (" + _crawl_sql(_MANY_SEEDS) + f"), h as (select *, {O.host('url')} as host from v), "
-            "r as (select *, case when fetched then row_number() over (partition by host, fetched "
-            "order by depth, seed, url) else 0 end as rn from h) "
-            f"select seed, url, depth, fetched, host from r where rn <= {CRAWL_BUDGET}")
+def _queue_crawl_sql(cap: int, stop: str) -> str:
+    """A crawl that counts what all seeds fetch from a host, level by level over
+    ``s(seed, url)`` and ``fe(src, dst)``, queue order within a level.  ``stop`` is
+    the rule, by (url, host), that keeps a page from being fetched whatever was
+    fetched before; a page is asked for its host first, then for the host's counter,
+    then for the other rules."""
+    out, seen = [], []
+    for d in range(CRAWL_DEPTH + 1):
+        found = "select distinct seed, url from s" if d == 0 else (
+            f"select distinct v.seed, fe.dst as url from v{d - 1} as v join fe on fe.src = v.url where v.reason is null "
+            "except (" + " union all ".join(f"select seed, url from {x}" for x in seen) + ")")
+        fetched = " + ".join(f"(select count(*) from {x} as o where o.host = a.host and o.reason is null)" for x in seen) or "0"
+        out.append(f"""f{d} as materialized (select seed, url, {O.host('url')} as host from ({found})),
+a{d} as materialized (select *, {stop} as stop from f{d}),
+b{d} as materialized (select *, coalesce(sum(case when stop is null then 1 else 0 end) over (partition by host order by seed, url
+    rows between unbounded preceding and 1 preceding), 0) + ({fetched}) as before from a{d} as a),
+v{d} as materialized (select seed, url, {d} as depth, host, case when stop = 'failed_host' then stop
+    when before >= {cap} then 'host_cap' else stop end as reason from b{d})""")
+        seen.append(f"v{d}")
+    return ", ".join(out) + ", v as (" + " union all ".join(f"select * from {x}" for x in seen) + ") "
+
+
+_CAP_SQL = ("with " + _FOLLOW_SQL + ", " + O.GRAPH_CAPTURES + f", s(seed, url) as ({_MANY_SEEDS}), "
+            + _queue_crawl_sql(CRAWL_BUDGET, "case when url not in (select c.url from graph_captures as c) then 'no_capture' end")
+            + "select seed::bigint as seed, url, depth::bigint as depth, reason is null as fetched, reason from v")
 
 
 @register("limit_shared_host", _CAP_SQL)
 def _limit_shared_host(spark, sf):
-    return FR.limit_shared_host(crawl_many_df(spark, sf), CRAWL_BUDGET)
+    """The host counters are part of the traversal: a page of a full host is visited,
+    but neither fetched nor expanded."""
+    seeds = IO.normalize_seeds(FX.crawl_seeds(spark, sf))
+    got = FR.crawl(seeds, follow_x(spark, sf), FX.graph_captures(spark, sf).select("url"),
+                   max_depth=CRAWL_DEPTH, max_per_host=CRAWL_BUDGET)
+    return _crawl_out(got, "reason")
 
 
 @register("frontier_left", "with v as (" + _crawl_sql(_MANY_SEEDS)
@@ -719,8 +798,11 @@ def _stream_unseen_urls(spark, sf):
     """Each valid internal link target once.  Which page is recorded as the
     first to link it depends on arrival order, so only the URL set is
     compared."""
-    from ..streaming.jobs import run_to_table, stream_unseen_urls
-    return run_to_table(stream_unseen_urls(_pages_stream(spark, sf)), "stream-unseen").select("url")
+    from ..streaming.jobs import unseen_into_store, unseen_store
+    base = scratch_dir(spark, "stream-unseen")
+    store = unseen_store(spark, f"{base}/seen")
+    unseen_into_store(_pages_stream(spark, sf), store, f"{base}/offsets")
+    return store.read().select("url")
 
 
 @register("stream_politeness", _POLITE_SQL)
@@ -731,6 +813,16 @@ def _stream_politeness(spark, sf):
     return run_to_table(stream_politeness(arr, FX.POLITENESS_DELAY_US), "stream-politeness")
 
 
+@register("stream_politeness_table", _POLITE_SQL)
+def _stream_politeness_table(spark, sf):
+    """The schedule with its state in a table: hot hosts are spread over tasks."""
+    from ..streaming.jobs import read_stream, schedule_into_table
+    events = read_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema, files_per_batch=1)
+    arr = events.select("event_id", F.col("user_id").alias("host"), "ts")
+    base = scratch_dir(spark, "stream-schedule")
+    return schedule_into_table(arr, FX.POLITENESS_DELAY_US, base, f"{base}/offsets")
+
+
 # =============================================================================
 # The fetch gate inside a crawl (reference Entry B): robots, failed captures
 # =============================================================================
@@ -753,7 +845,7 @@ _POLICY_SQL = (O.ATTEMPTS + f", ok as (select distinct 'https://site.example.com
 
 
 @register("crawl_policy", ("with recursive " + _FOLLOW_SQL + ", " + _POLICY_SQL
-                           + ", s(seed, url) as (values (0, 'https://site.example.com/p/0')), "
+                           + f", s(seed, url) as (select page_id, {FX.EDGE_SRC} from pages where {FX.CRAWL_SEED}), "
                              "walk(seed, url, depth) as (select seed, url, 0 from s union "
                              "select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url "
                              f"join gate g on g.url = w.url where w.depth < {CRAWL_DEPTH}), "
@@ -764,64 +856,72 @@ def _crawl_policy(spark, sf):
     """BFS where a page is fetched (and expanded) only if it has an
     acceptable capture attempt and no robots rule blocks it."""
     captured, blocked = _graph_policy(spark, sf)
-    seeds = spark.range(1).select(F.col("id").alias("seed"), F.lit(FX.CRAWL_SEEDS[0][1]).alias("url"))
+    seeds = FX.pages(spark, sf).filter(FX.CRAWL_SEED).selectExpr("page_id as seed", f"{FX.EDGE_SRC} as url")
     return _crawl_out(FR.crawl(seeds, follow_x(spark, sf), captured, max_depth=CRAWL_DEPTH, blocked=blocked))
 
 
 # =============================================================================
-# End-to-end crawl job (reference main loop): every page URL is a seed
+# End-to-end crawl job (reference main loop) over the pages' own hosts (F10)
 # =============================================================================
 
+_SITE_PAGES = ("sp as (select *, " + ", ".join(FX.SITE_PLACE)
+               + f" from (select page_id, url as page_url, html as page_html, {FX.ROBOTS_HOST} as host from pages))")
+_SITE_SEEDS = f"s(seed, url) as (select page_id, {FX.SITE_URL} from sp where {FX.SITE_SEED})"
+
 _SITE_SQL = (
-    "with recursive a2 as (select " + O.normalize("url") + " as src, u.href from pages, "
+    f"with recursive {_SITE_PAGES}, cp as (select {FX.SITE_URL} as url, concat({FX.SITE_LINKS}, page_html) as html from sp), "
+    "a2 as (select url as src, u.href from cp, "
     "lateral (select unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) href) u), "
     f"t2 as (select src, {O.normalize(O.resolve('src', 'href'))} as dst from a2 where {_FOLLOW}), "
-    f"cap as (select distinct {O.normalize('url')} as url from pages), "
     f"fe as (select distinct src, dst from t2 where {_valid_sql('dst')} "
-      f"and {O.drop_www(O.host('dst'))} = {O.drop_www(O.host('src'))}), "
-      f"s(seed, url) as (select page_id, {O.normalize('url')} from pages), "
-      "walk(seed, url, depth) as (select seed, url, 0 from s union "
-      "select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url "
-      f"join cap c on c.url = w.url where w.depth < {CRAWL_DEPTH}), "
-      "v as (select seed, url, min(depth) as depth from walk group by seed, url), "
-      "r as (select *, row_number() over (partition by seed order by depth, url) rn from v) "
-      "select r.seed::bigint as seed, r.url, r.depth::bigint as depth, "
-      f"exists (select 1 from cap c where c.url = r.url) as fetched from r where rn <= {FR.DEFAULT_MAX_URLS}")
+    f"and {O.drop_www(O.host('dst'))} = {O.drop_www(O.host('src'))}), "
+    # a page that is captured under www only answers without it, and the other way round
+    "ask as (select dst as url from fe union select url from cp), "
+    "pg as (select url, url as page from cp union all select k.url, c.url from ask k join cp c on "
+    "c.url = case when contains(k.url, '//www.') then replace(k.url, '//www.', '//') else replace(k.url, '//', '//www.') end "
+    "where k.url not in (select url from cp)), "
+    f"{_SITE_SEEDS}, "
+    "walk(seed, url, depth) as (select seed, url, 0 from s union "
+    "select w.seed, fe.dst, w.depth + 1 from walk w join pg on pg.url = w.url join fe on fe.src = pg.page "
+    f"where w.depth < {CRAWL_DEPTH}), "
+    "v as (select seed, url, min(depth) as depth from walk group by seed, url) "
+    "select v.seed::bigint as seed, v.url, v.depth::bigint as depth, "
+    "exists (select 1 from pg where pg.url = v.url) as fetched from v")
 
 
 @register("site_crawl", _SITE_SQL)
 def _site_crawl(spark, sf):
-    """Every page URL seeds its own crawl over the links found in the
-    captures (parsed once), within the default budget."""
-    from .crawl_job import crawl_site, normalized_captures
-    pages = FX.pages(spark, sf)
-    seeds = pages.select(F.col("page_id").alias("seed"), U.normalize_url(F.col("url")).alias("url"))
-    return _crawl_out(crawl_site(seeds, normalized_captures(pages)))
-
+    """Crawls over the links found in the given pages (parsed once), several seeds
+    a host, to the default depth."""
+    from .crawl_job import crawl_site
+    return _crawl_out(crawl_site(FX.site_seeds(spark, sf), FX.site_captures(spark, sf)))
 
-# =============================================================================
-# The whole crawl on five linked sites (F10): gate, redirects, variants, files
-# =============================================================================
 
-_SITES_SQL = (
-    "with recursive a as (select page_id, url as page_url, unnest(range(3)) as ord, (select count(*) from pages) as n from pages), "
-    f"b as (select page_id, n, ord, {FX.SITE_URL} as url, {FX.SITE_FINAL} as final_url, {FX.SITE_STATUS} as status, "
-    f"{FX.SITE_TEXT.replace('url', 'page_url')} as text, {FX.SITE_HTML.replace(', url,', ', page_url,')} as html from a), "
+# the same with attempts: gate, redirects, variants, files
+_SITES_CAP = (
+    f"{_SITE_PAGES}, tries as (select *, unnest(range({FX.SITE_ATTEMPTS})) as ord from sp), "
+    f"b as (select page_id, idx, cnt, host, ord, {FX.SITE_URL} as url, {FX.SITE_FINAL} as final_url, {FX.SITE_STATUS} as status, "
+    f"{FX.SITE_TEXT} as text, {FX.SITE_HTML} as html from tries), "
     "cap as (select * from b where status < 400 qualify row_number() over (partition by url order by ord) = 1), "
     "link as (select url as page, final_url, 'https://' || split_part(final_url, '/', 3) || '/p/' || t as dst from cap, "
-    "lateral (select unnest([(page_id + 5) % n, (page_id * 6 + 10) % n]) as t) u), "
-    "fe as (select distinct page, dst from link), "
-    "asked as (select distinct dst as url from fe), "
+    f"lateral (select unnest([idx + cnt] || list_filter(range({FX.SITE_FAN} * idx + 1, {FX.SITE_FAN} * idx + {FX.SITE_FAN + 1}), "
+    "lambda x: x < cnt)) as t) u), "
+    "fe0 as (select distinct page, dst from link), "
+    f"{_SITE_SEEDS}, "
+    "asked as (select distinct dst as url from fe0 union select url from s), "
     "pg as (select url, url as page from cap union all select k.url, c.url from asked k join cap c on "
     "c.url = case when contains(k.url, '//www.') then replace(k.url, '//www.', '//') else replace(k.url, '//', '//www.') end "
     "where k.url not in (select url from cap)), "
-    f"s(seed, url) as (select page_id, {FX.SITE_URL} from pages where page_id < {FX.SITES}), "
-    "walk(seed, url, depth) as (select seed, url, 0 from s union "
-    "select w.seed, fe.dst, w.depth + 1 from walk w join pg on pg.url = w.url join fe on fe.page = pg.page "
-    f"where w.depth < {CRAWL_DEPTH}), "
+    "fe as (select pg.url as src, dst from pg join fe0 on fe0.page = pg.page), ")
+
+_SITES_SQL = (
+    "with recursive " + _SITES_CAP
+    + "walk(seed, url, depth) as (select seed, url, 0 from s union "
+    f"select w.seed, fe.dst, w.depth + 1 from walk w join fe on fe.src = w.url where w.depth < {CRAWL_DEPTH}), "
     "v as (select seed, url, min(depth) as depth from walk group by seed, url), "
-    "st as (select 'site' || v.seed || '.example.com' as seed_host, v.depth, v.url, v.seed, pg.page, c.final_url, c.text, c.html, "
-    "c.page_id, split_part(c.final_url, '/', 5) as stem from v join pg on pg.url = v.url join cap c on c.url = pg.page), "
+    f"st as (select {O.host('s.url')} as seed_host, v.depth, v.url, v.seed, pg.page, c.final_url, c.text, c.html, c.idx, c.cnt, "
+    "c.page_id, split_part(c.final_url, '/', 5) as stem from v join s on s.seed = v.seed join pg on pg.url = v.url "
+    "join cap c on c.url = pg.page), "
     "f as (select * from st qualify row_number() over (partition by seed_host, stem order by depth desc, url desc, seed desc) = 1) ")
 
 
@@ -836,6 +936,42 @@ def _sites_visited(spark, sf):
     return _crawl_out(_sites(spark, sf).visited)
 
 
+CRAWL_HOST_CAP = 7
+
+
+def _capped_sites(spark, sf) -> DataFrame:
+    from .crawl_job import run_crawl
+    failed_urls, failed_hosts = FX.site_failed(spark, sf)
+    return run_crawl(FX.site_seeds(spark, sf), FX.site_attempts(spark, sf), max_depth=CRAWL_DEPTH, max_per_host=CRAWL_HOST_CAP,
+                     blocked=failed_urls, failed_hosts=failed_hosts, robots=FX.site_robots(spark, sf)).visited
+
+
+_CAPPED_SQL = (
+    "with " + _SITES_CAP + f"fh as (select distinct host from sp where {FX.SITE_FAILED_HOST}), "
+    f"fu as (select {FX.SITE_URL} as url from sp where {FX.SITE_FAILED_URL}), "
+    # no rule is '/', and each host has one rule
+    f"rb as (select distinct host, substr({FX.SITE_ROBOTS}, strpos({FX.SITE_ROBOTS}, '/p/')) as prefix from sp), "
+    + _queue_crawl_sql(CRAWL_HOST_CAP, (
+        "case when host in (select fh.host from fh) then 'failed_host' when url in (select fu.url from fu) then 'failed_url' "
+        f"when starts_with({O.path('url')}, (select prefix from rb where rb.host = {O.host('url')})) then 'robots' "
+        "when url not in (select pg.url from pg) then 'no_capture' end")))
+
+
+@register("crawl_capped", _CAPPED_SQL + "select seed::bigint as seed, url, depth::bigint as depth, reason is null as fetched, reason from v")
+def _crawl_capped(spark, sf):
+    """The whole gate inside the crawl: failed hosts, host counters that all seeds
+    share, failed URLs, robots rules, captures."""
+    return _crawl_out(_capped_sites(spark, sf), "reason")
+
+
+@register("crawl_rule_counts", _CAPPED_SQL
+          + "select seed::bigint as seed, coalesce(reason, 'fetched') as rule, count(*)::bigint as urls from v group by all")
+def _crawl_rule_counts(spark, sf):
+    """#55: what stopped the pages of each seed."""
+    counts = FR.rule_counts(_capped_sites(spark, sf))
+    return counts.select(_long("seed").alias("seed"), "rule", "urls")
+
+
 @register("site_crawl_html", _SITES_SQL + "select seed_host, stem || '.html' as file_name, page as url, final_url, "
           "html as content from f")
 def _site_crawl_html(spark, sf):
@@ -844,7 +980,8 @@ def _site_crawl_html(spark, sf):
 
 
 @register("site_crawl_markdown", _SITES_SQL + "select seed_host as host, stem || '.md' as file_name, final_url as url, "
-          "'Page ' || page_id as title, '' as description, text || ' next far out' as content from f")
+          f"'Page ' || page_id as title, '' as description, text || ' gone' || repeat(' next', "
+          f"greatest(0, least({FX.SITE_FAN}, cnt - {FX.SITE_FAN} * idx - 1))::int) || ' out' as content from f")
 def _site_crawl_markdown(spark, sf):
     """The crawl's Markdown tree, written, read back and parsed."""
     path = scratch_dir(spark, "site-markdown")

@@ -69,28 +69,38 @@ SEED_VARIANTS = [
 REPEATS_TEXT = ("replace(text, chr(10), concat(chr(10), 'Read more about this', chr(10), "
                 "'Read more about this', chr(10)))")
 
-# five linked sites made of the pages, with three capture attempts each.
-# Some are stored under www only, some redirect to URLs that share a file name.
-SITE_URL = ("concat('https://', case when page_id % 6 = 5 then 'www.' else '' end, 'site', page_id % 5, "
-            "'.example.com/p/', page_id)")
-SITE_FINAL = ("case when page_id % 7 = 3 then concat('https://site', page_id % 5, '.example.com/moved/', page_id % 10) "
-              f"else {SITE_URL} end")
-SITE_TEXT = "concat(repeat('words of the page ', 12), url, ' attempt ', ord)"
+# linked sites on the pages' own hosts, with three capture attempts a page.
+# Page ``idx`` of a host of ``cnt`` pages links to its four children in a tree, to a
+# page that isn't there and to another site.  Some pages are stored under www only,
+# some redirect to URLs that share a file name.
+SITE_PLACE = ["row_number() over (partition by host order by page_id) - 1 as idx",
+              "count(*) over (partition by host) as cnt"]
+SITE_URL = "concat('https://', case when idx % 6 = 5 then 'www.' else '' end, host, '/p/', idx)"
+SITE_FINAL = f"case when idx % 7 = 3 then concat('https://', host, '/moved/', idx % 10) else {SITE_URL} end"
+SITE_TEXT = "concat(repeat('words of the page ', 12), page_url, ' attempt ', ord)"
+SITE_FAN = 4
+SITE_LINKS = ("concat('<a href=\"/p/', idx + cnt, '\">gone</a>', " + ", ".join(
+    f"case when {SITE_FAN} * idx + {j} < cnt then concat('<a href=\"/p/', {SITE_FAN} * idx + {j}, '\">next</a>') else '' end"
+    for j in range(1, SITE_FAN + 1)) + ")")
 SITE_HTML = (f"concat('<html><head><title>Page ', page_id, '</title></head><body><article><p>', {SITE_TEXT}, "
-             "'</p></article><nav><a href=\"/p/', (page_id + 5) % n, '\">next</a><a href=\"/p/', (page_id * 6 + 10) % n, "
-             "'\">far</a><a href=\"https://ext.example.org/', page_id, '\">out</a></nav></body></html>')")
+             f"'</p></article><nav>', {SITE_LINKS}, '<a href=\"https://ext.example.org/', page_id, '\">out</a></nav></body></html>')")
 SITE_STATUS = "case when ord = 0 and page_id % 4 = 0 then 503 else 200 end"
 SITE_ATTEMPTS = 3
-SITES = 5
-
-# Crawl seeds over the F3 graph: the reference's seed-file spellings.
-CRAWL_SEEDS = [
-    (0, "https://site.example.com/p/0"),
-    (1, "site.example.com/p/1/"),
-    (2, "https://site.example.com/p/0"),
-    (3, "http://site.example.com:80/p/2"),
-    (4, ""),
-]
+SITE_SEED = "idx % 40 = 0"
+# hosts on the failed list, URLs on it, robots files
+SITE_FAILED_HOST = "length(host) % 13 = 5"
+SITE_FAILED_URL = "page_id % 17 = 4"
+SITE_ROBOTS = "concat('User-agent: *', chr(10), 'Disallow: /p/2', case when length(host) % 3 = 0 then '' else '99' end)"
+
+# redirects among the pages, in groups of ten: chains of one to eight hops; some
+# groups close them to a loop, and the last pages of two groups point at each other.
+CHAIN_FROM = "concat('https://r.example.com/', page_id)"
+CHAIN_TO = """concat('https://r.example.com/', case when page_id % 10 = 9 then case when page_id % 20 = 9 then page_id + 10 else page_id - 10 end
+  when page_id % 10 = 8 then page_id - 8 else page_id + 1 end)"""
+CHAIN_MOVED = "page_id % 10 <> 8 or page_id % 50 = 48"
+
+# Crawl seeds over the F3 graph, in the spellings of a seed file.
+CRAWL_SEED = "page_id % 25 = 0"
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,6 +134,10 @@ def attempts(spark: SparkSession, sf: str) -> DataFrame:
                         *[f"{v} as {k}" for k, v in ATTEMPT_COLS.items()])
 
 
+def redirect_chains(spark: SparkSession, sf: str) -> DataFrame:
+    return pages(spark, sf).filter(CHAIN_MOVED).selectExpr(f"{CHAIN_FROM} as from_url", f"{CHAIN_TO} as to_url")
+
+
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.col("user_id").alias("host"), "ts")
 
@@ -135,23 +149,47 @@ def seed_list(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).select("page_id", F.inline(v))
 
 
-def crawl_seeds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CRAWL_SEEDS, "seed long, website string")
+def crawl_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """``(seed, website)``: every 25th page of the F3 graph, in five spellings."""
+    website = (f"case page_id div 25 % 5 when 1 then concat('site.example.com/p/', page_id, '/') "
+               f"when 3 then concat('http://site.example.com:80/p/', page_id) when 4 then '' else {EDGE_SRC} end")
+    return pages(spark, sf).filter(CRAWL_SEED).selectExpr("page_id as seed", f"{website} as website")
 
 
 def repeats(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").selectExpr("doc_id", f"{REPEATS_TEXT} as text")
 
 
+def site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """``(page_id, page_url, host, idx, cnt)``: the pages' places on their hosts."""
+    p = pages(spark, sf).selectExpr("page_id", "url as page_url", f"{ROBOTS_HOST} as host")
+    return p.selectExpr("*", *SITE_PLACE)
+
+
 def site_attempts(spark: SparkSession, sf: str) -> DataFrame:
-    p = pages(spark, sf).select("page_id", "url")
-    n = p.select(F.count(F.lit(1))).scalar()
-    a = p.select("page_id", "url", F.explode(F.array(*[F.lit(i) for i in range(SITE_ATTEMPTS)])).alias("ord"))
-    return a.withColumn("n", n).selectExpr(
-        "page_id", f"{SITE_URL} as url", "ord", f"{SITE_STATUS} as status", f"{SITE_FINAL} as final_url",
-        f"{SITE_HTML} as html")
+    a = site_pages(spark, sf).select("*", F.explode(F.array(*[F.lit(i) for i in range(SITE_ATTEMPTS)])).alias("ord"))
+    return a.selectExpr("page_id", f"{SITE_URL} as url", "ord", f"{SITE_STATUS} as status", f"{SITE_FINAL} as final_url",
+                        f"{SITE_HTML} as html")
+
+
+def site_captures(spark: SparkSession, sf: str) -> DataFrame:
+    """The given pages' own HTML behind the links of F10, one capture a page."""
+    html = pages(spark, sf).select("page_id", "html")
+    return site_pages(spark, sf).join(html, "page_id").selectExpr(
+        "page_id", f"{SITE_URL} as url", f"concat({SITE_LINKS}, html) as html")
 
 
 def site_seeds(spark: SparkSession, sf: str) -> DataFrame:
-    """One page of each site."""
-    return pages(spark, sf).filter(F.col("page_id") < SITES).selectExpr("page_id as seed", f"{SITE_URL} as url")
+    """Every 40th page of each host."""
+    return site_pages(spark, sf).filter(SITE_SEED).selectExpr("page_id as seed", f"{SITE_URL} as url")
+
+
+def site_failed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Failed URLs ``(url)`` and failed hosts ``(host)``."""
+    p = site_pages(spark, sf)
+    return (p.filter(SITE_FAILED_URL).selectExpr(f"{SITE_URL} as url"),
+            p.filter(SITE_FAILED_HOST).select("host").distinct())
+
+
+def site_robots(spark: SparkSession, sf: str) -> DataFrame:
+    return site_pages(spark, sf).select("host").distinct().selectExpr("host", f"{SITE_ROBOTS} as body")

@@ -89,6 +89,8 @@ def drop_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables that this process has written and return
     how many there were.  Call it once results are stored: DataFrames that
     still read those tables are lost."""
+    from .sources.store import forget_tables
+    forget_tables(spark)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0

@@ -4,7 +4,7 @@ Sources: seed CSV, capture tables (parquet) or raw capture files
 (``binaryFile``), Markdown files.  Sinks: host-partitioned HTML / Markdown
 datasets with a manifest, and per-host external-link CSVs.  Per-page file
 trees become datasets that carry host and file name as columns, so a sink is
-one distributed write, not one file per page.
+one distributed write; real trees of page files are in :mod:`.pagefiles`.
 """
 
 from __future__ import annotations
@@ -49,9 +49,9 @@ def normalize_seeds(seeds: DataFrame, website: str = "website") -> DataFrame:
 
 
 def read_capture_files(spark: SparkSession, path: str) -> DataFrame:
-    """Raw capture files -> ``(path, key, html)``; bytes are decoded as
-    UTF-8 with invalid sequences replaced."""
-    files = spark.read.format("binaryFile").load(path)
+    """Raw capture files, in folders of any depth -> ``(path, key, html)``; bytes are
+    decoded as UTF-8 with invalid sequences replaced.  Empty files are skipped."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path",
                         F.regexp_extract("path", r"([^/]*)\.html?$", 1).alias("key"),
                         decode_content(F.col("content")).alias("html"))
@@ -68,7 +68,7 @@ def read_markdown(spark: SparkSession, path: str, tree: bool = False) -> DataFra
     row per file, or with ``tree`` what :func:`write_markdown_tree` wrote."""
     if tree:
         return read_tree(spark, path).select("path", F.col("content").alias("markdown"))
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
             .select(F.input_file_name().alias("path"), F.col("value").alias("markdown")))
 
 

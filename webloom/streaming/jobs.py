@@ -10,6 +10,18 @@
 Each returns a streaming DataFrame; :func:`run_to_table` runs one to
 completion with an ``availableNow`` trigger into a parquet table under the
 checkpoint location and returns the table as a batch DataFrame.
+
+Operator state holds every key it has seen, and a key's rows of a micro-batch meet in
+one task.  Two forms keep their state in a bucketed table instead
+(:class:`webloom.sources.store.KeyedStore`), from micro-batch to micro-batch, with
+nothing but offsets in the stream's checkpoint:
+
+* :func:`unseen_into_store` - the store of URLs is the result; a micro-batch moves its
+  own URLs only, to the buckets of what was seen;
+* :func:`schedule_into_table` - a micro-batch is scheduled by the batch job, which
+  splits a hot host over tasks, going on from the hosts' last starts.
+
+Both are exact when a micro-batch is repeated after a failure.
 """
 
 from __future__ import annotations
@@ -21,12 +33,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import urls as U
 from ..operators import extract as X
-from ..operators.policy import epoch_micros
+from ..operators.policy import epoch_micros, politeness_schedule
 from ..session import scratch_dir
+from ..sources.store import COMPACT_AFTER, KeyedStore
 
 
 def read_stream(spark: SparkSession, directory: str, pattern: str, schema: T.StructType,
@@ -43,6 +57,16 @@ def stream_markdown(pages: DataFrame) -> DataFrame:
     return X.html_to_markdown(pages)
 
 
+def _page_targets(pages: DataFrame, event_time: str | None = None) -> DataFrame:
+    """``(url, first_page)`` of every valid internal link."""
+    keys = ("page_id",) if event_time is None else ("page_id", event_time)
+    links = X.classify_links(X.page_anchors(X.parse_pages(pages, keys=keys), keys=keys))
+    valid = links.filter(F.col("internal") & F.col("dst").isNotNull())
+    valid = valid.withColumn("valid", U.is_page_url(F.col("dst"))).filter("valid")
+    return valid.select(F.col("dst").alias("url"), F.col("page_id").alias("first_page"),
+                        *([F.col(event_time)] if event_time else []))
+
+
 def stream_unseen_urls(pages: DataFrame, event_time: str | None = None,
                        delay: str = "1 day") -> DataFrame:
     """Valid internal link targets, each emitted once (stateful dedup).
@@ -51,17 +75,33 @@ def stream_unseen_urls(pages: DataFrame, event_time: str | None = None,
     seen.  With ``event_time`` (a timestamp column of the captures), state is
     bounded by a watermark: a URL seen again within ``delay`` is dropped,
     and state older than the watermark is evicted."""
-    keys = ("page_id",) if event_time is None else ("page_id", event_time)
-    links = X.classify_links(X.page_anchors(X.parse_pages(pages, keys=keys), keys=keys))
-    valid = links.filter(F.col("internal") & F.col("dst").isNotNull())
-    valid = valid.withColumn("valid", U.is_page_url(F.col("dst"))).filter("valid")
-    out = valid.select(F.col("dst").alias("url"), F.col("page_id").alias("first_page"),
-                       *([F.col(event_time)] if event_time else []))
+    out = _page_targets(pages, event_time)
     if event_time is None:
         return out.dropDuplicates(["url"])
     return out.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
 
 
+def unseen_store(spark: SparkSession, path: str, **options) -> KeyedStore:
+    """A store for :func:`unseen_into_store`."""
+    return KeyedStore(spark, path, T.StructType().add("url", "string").add("first_page", "long"), **options)
+
+
+def unseen_into_store(pages: DataFrame, store: KeyedStore, checkpoint: str) -> StreamingQuery:
+    """Run to completion (``availableNow``): every valid internal link target that no
+    micro-batch had before enters the store, with the smallest ``page_id`` of those that
+    link to it in its micro-batch.  A repeated micro-batch finds its URLs in the store,
+    so none is replaced or added twice."""
+    def add(batch: DataFrame, _: int) -> None:
+        found = _page_targets(batch).groupBy("url").agg(F.min("first_page").cast("long").alias("first_page"))
+        new = found.withColumn("key", store.key()).join(store.read().select("key"), "key", "left_anti")
+        store.upsert(new, order="first_page")
+
+    q = (pages.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 SCHEDULE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("host", T.LongType()),
@@ -100,13 +140,55 @@ def stream_politeness(arrivals: DataFrame, delay_us: int, host: str = "host", ts
     with the last start per host kept in state between micro-batches (rows
     of one host inside a batch are processed in ``(ts, tie)`` order).  A host's
     rows of a micro-batch meet in one task, 16 bytes each, so bound the batches of
-    the source (``files_per_batch``); the batch form splits a hot host."""
+    the source (``files_per_batch``); :func:`schedule_into_table` splits a hot host."""
     a = arrivals.select(F.col(tie).alias("event_id"), F.col(host).cast("long").alias("host"),
                         epoch_micros(arrivals, ts).alias("arrival_us"))
     return a.groupBy("host").applyInPandasWithState(
         _schedule_host(delay_us), SCHEDULE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+def schedule_into_table(arrivals: DataFrame, delay_us: int, path: str, checkpoint: str, host: str = "host",
+                        ts: str = "ts", tie: str = "event_id", idle_us: int | None = None,
+                        partitions: int | None = None) -> DataFrame:
+    """The schedule of :func:`stream_politeness`, run to completion (``availableNow``)
+    into ``<path>/schedule`` with the hosts' last starts in a store at ``<path>/hosts``;
+    returns ``(<tie>, host, start_us)``.
+
+    A micro-batch is scheduled by :func:`webloom.operators.policy.politeness_schedule`,
+    so a host that holds most of it is spread over tasks.  Its rows are written to a
+    folder of its number first; then the last starts are committed with that number.  A
+    micro-batch that is repeated overwrites its folder, or, if its last starts are
+    committed already, is skipped.  Hosts that haven't started a request for ``idle_us``
+    are forgotten when versions are folded; that shows in no result while requests
+    arrive no later than ``idle_us - delay_us`` behind the latest start."""
+    spark = arrivals.sparkSession
+    schema = T.StructType().add("host_key", "string").add("host", arrivals.schema[host].dataType).add("last_start_us", "long")
+    store = KeyedStore(spark, f"{path}/hosts", schema, by="host_key")
+
+    def schedule(batch: DataFrame, number: int) -> None:
+        done = store.tag()
+        if done is not None and done >= number:
+            return
+        rows = politeness_schedule(batch, delay_us, host, ts, tie, partitions, last=store.read().select("host", "last_start_us"))
+        rows = rows.select(tie, "host", "start_us")
+        folder = f"{path}/schedule/batch={number}"
+        rows.write.mode("overwrite").parquet(folder)
+        rows = spark.read.schema(rows.schema).parquet(folder)
+        # requests without a host share one schedule
+        name = F.when(F.col("host").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("host").cast("string")))
+        last = rows.groupBy("host").agg(F.max("start_us").alias("last_start_us")).withColumn("host_key", name)
+        versions = store.upsert(last, order="last_start_us", tag=number)
+        if idle_us is not None and versions >= COMPACT_AFTER // 2:
+            latest = store.read().agg(F.max("last_start_us")).first()[0]
+            store.compact(F.col("last_start_us") >= latest - idle_us)
+
+    q = (arrivals.writeStream.foreachBatch(schedule).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = arrivals.select(F.col(tie), F.col(host).alias("host"), F.lit(0).cast("long").alias("start_us")).schema
+    return spark.read.schema(out).parquet(f"{path}/schedule").select(tie, "host", "start_us")
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Run a streaming DataFrame to completion (``availableNow``) into a
     parquet table under the checkpoint location; return it as a batch
