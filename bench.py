@@ -30,14 +30,14 @@ HEADLINE = [
     "internal_links",         # parse -> posexplode -> resolve -> normalise -> distinct
     "external_links",
     "markdown_records",       # Markdown round trip + line trimming
-    "trim_repeated_lines",    # documents: one shuffle, windows, ordered re-join
+    "trim_repeated_lines",    # documents: array functions on each row's lines
     "first_successful_attempt",
     "exclude_robots",
     "politeness_schedule",    # distributed prefix scan over events
     "crawl_many",             # level-synchronous BFS with checkpoints
     "name_collisions",
     "match_variants",
-    "site_crawl",             # end to end: 2,500 seeds, parse once, link graph, BFS, budget
+    "site_crawl",             # end to end on the pages' own hosts: parse once, link graph, BFS to depth 5
 ]
 
 
