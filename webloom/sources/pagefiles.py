@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -97,15 +98,17 @@ class PageFilesWriter(DataSourceArrowWriter):
         self.path, self.columns, self.overwrite = path.rstrip("/"), columns, overwrite
         folder, _, name = self.path.rpartition("/")
         self.staged = f"{folder}/{STAGED}{name}-{uuid.uuid4().hex[:12]}"
-        store, _ = open_store(path)
+        store, staged = open_store(self.staged)
         if store.type_name not in RENAMES:
             raise ValueError(f"{store.type_name} folders can't be renamed, so page files can't be committed there; "
                              "write the dataset form")
+        # made once, here: tasks that outlive an aborted job find no folder to write to
+        store.create_dir(f"{staged}/{ATTEMPTS}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, staged = open_store(self.staged)
         attempt = f"{staged}/{ATTEMPTS}/{uuid.uuid4().hex}"
-        store.create_dir(attempt, recursive=True)
+        store.create_dir(attempt, recursive=False)
         places: list[str] = []
         hosts: set[str] = set()
 
@@ -124,7 +127,7 @@ class PageFilesWriter(DataSourceArrowWriter):
                     raise ValueError("a page file needs a host and a file name")
                 folder = f"{staged}/{safe_name(host)}"
                 if folder not in hosts:
-                    store.create_dir(folder, recursive=True)
+                    store.create_dir(folder, recursive=False)
                     hosts.add(folder)
                 with store.open_output_stream(f"{attempt}/{len(places)}") as f:
                     f.write((content or "").encode())
@@ -136,9 +139,7 @@ class PageFilesWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, staged = open_store(self.staged)
         _, path = open_store(self.path)
-        store.create_dir(staged, recursive=True)            # of an empty job
-        if store.get_file_info(f"{staged}/{ATTEMPTS}").type == pafs.FileType.Directory:
-            store.delete_dir(f"{staged}/{ATTEMPTS}")
+        store.delete_dir(f"{staged}/{ATTEMPTS}")
         there = store.get_file_info(path).type == pafs.FileType.Directory
         if not there:
             store.move(staged, path)
@@ -159,8 +160,15 @@ class PageFilesWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list) -> None:
         store, staged = open_store(self.staged)
-        if store.get_file_info(staged).type == pafs.FileType.Directory:
-            store.delete_dir(staged)
+        for left in reversed(range(5)):
+            try:
+                if store.get_file_info(staged).type == pafs.FileType.Directory:
+                    store.delete_dir(staged)
+                return
+            except OSError:                                 # a task that is still at work
+                if not left:
+                    raise
+                time.sleep(0.2)
 
 
 class PageFilesReader(DataSourceReader):
