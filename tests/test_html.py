@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from webloom.functions.htmlkernel import read_page
-from webloom.operators.extract import html_to_markdown
+from webloom.operators.extract import html_to_markdown, parse_pages
 
 
 def text_of(html):
@@ -158,3 +158,31 @@ def test_title_of_nested_elements_is_linear():
     assert seconds(8000) < 8 * seconds(2000)
     assert read_page("<title>a<b>c</b></title>")[0] is None and read_page("<title><b>c</b></title>")[0] == "c"
     assert read_page("<title></title>")[0] is None and read_page("<title>")[0] is None
+
+
+def test_a_large_batch_is_parsed_a_piece_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from webloom.operators import extract
+    page = "<title>t</title><body><a href='/x'>" + "word " * 400 + "</a></body>"
+    pages = [page if i % 5 else None for i in range(4000)]
+    parsed = []
+    monkeypatch.setattr(extract, "read_page", lambda *a: parsed.append(1) or read_page(*a))
+    for fn in (extract.parse_html.func, extract.parse_udf(dedupe_areas=True).func):
+        parsed.clear()
+        out = fn(iter([pa.array(pages[:10]), pa.array([], pa.string()), pa.array(pages)]))
+        sizes = [len(next(out)), len(next(out))]
+        assert sizes[0] == 10 and len(parsed) == sum(sizes) < 1000       # a part of the large batch
+        sizes += [len(x) for x in out]
+        assert sum(sizes) == len(parsed) == 4010 and max(sizes) < 1000
+
+
+def test_parse_of_batches_of_many_pieces(spark):
+    n, page = 3000, "concat('<title>t', id, '</title><body>', repeat('word ', 400), '<a href=\"/', id, '\">x</a></body>')"
+    html = spark.range(n).coalesce(1).selectExpr("id as page_id", "'https://a.com/' as url",
+                                                 f"case when id % 7 = 3 then null else {page} end as html")
+    got = {r.page_id: r.p for r in parse_pages(html).collect()}
+    assert len(got) == n
+    for i, p in got.items():
+        want = (None, []) if i % 7 == 3 else (f"t{i}", [f"/{i}"])
+        assert (p.title, p.hrefs) == want and p.error is None

@@ -3,7 +3,7 @@
 ``register_all(spark)`` defines, in the session:
 
 * ``webloom_<name>(...)`` URL functions (see :mod:`webloom.functions.urls`);
-* ``webloom_parse_html(html)`` - the one-parse-per-page pandas UDF returning
+* ``webloom_parse_html(html)`` - the one-parse-per-page Arrow UDF returning
   ``STRUCT<title, description, text, hrefs ARRAY<STRING>, error>``;
 * ``webloom_markdown_of(url, webloom_parse_html(html))`` - the Markdown document
   of a page, as :func:`webloom.operators.extract.html_to_markdown` lays it out;
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import arrow_udtf, udtf
 
-from ..operators.extract import parse_html
+from ..operators.extract import parse_html, pieces
 from .htmlkernel import read_hrefs, scan_hrefs
 from .text import NO_CONTENT, NO_TITLE, PY_SPACE
 from .urls import link_info_sql, register_functions
@@ -67,8 +67,14 @@ class ExtractLinks:
         # pages without an anchor aren't looked at in Python
         some = pc.fill_null(pc.match_substring_regex(pages, "<[aA][^a-zA-Z]"), False)
         batch = batch.filter(some)
+        at = 0
+        for part in pieces(batch.column("html")):
+            yield self._links(batch.slice(at, len(part)), part)
+            at += len(part)
+
+    def _links(self, batch: pa.RecordBatch, pages: list[str]) -> pa.Table:
         found = []
-        for html in batch.column("html").to_pylist():
+        for html in pages:
             try:
                 found.append(scan_hrefs(html))
             except Exception:  # an unreadable page has no links
@@ -76,9 +82,9 @@ class ExtractLinks:
         sizes = np.array([len(f) for f in found], np.int64)
         row = np.repeat(np.arange(len(found)), sizes)
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        yield pa.table({"url": batch.column("url").take(pa.array(row)),
-                        "pos": pa.array((np.arange(len(row)) - first).astype(np.int32)),
-                        "href": pa.array([h for f in found for h in f], pa.string())})
+        return pa.table({"url": batch.column("url").take(pa.array(row)),
+                         "pos": pa.array((np.arange(len(row)) - first).astype(np.int32)),
+                         "href": pa.array([h for f in found for h in f], pa.string())})
 
 
 LINK_INFO = ("CREATE OR REPLACE TEMPORARY FUNCTION webloom_link_info(page STRING, href STRING) RETURNS "

@@ -1,7 +1,7 @@
 """HTML extraction as a Spark job: one parse per page, everything else native.
 
-``parse_pages`` runs the HTML reader once per page inside an Arrow-batched
-pandas UDF and returns a struct; ``html_to_markdown`` and the link
+``parse_pages`` runs the HTML reader once per page inside an Arrow UDF, a
+piece of a batch at a time, and returns a struct; ``html_to_markdown`` and the link
 operators only use native Column expressions on that struct.  Only
 ``(keys, url, html)`` enter the Python worker, and ``html`` is dropped right
 after the parse so it never travels through a shuffle.
@@ -9,7 +9,9 @@ after the parse so it never travels through a shuffle.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,31 +29,47 @@ PARSED = T.StructType([
 ])
 
 
+# the same for Arrow, and how many characters of HTML are parsed before their rows are
+# handed on: what a task holds doesn't grow with the Arrow batches that Spark sends
+_PARSED = pa.struct([("title", pa.string()), ("description", pa.string()), ("text", pa.string()),
+                     ("hrefs", pa.list_(pa.field("element", pa.string()))), ("error", pa.string())])
+PIECE = 1 << 20
+
+
+def pieces(pages: pa.Array) -> Iterator[list]:
+    """The values of an Arrow batch in lists of about ``PIECE`` characters."""
+    part, size = [], 0
+    for page in pages:
+        part.append(page.as_py())
+        size += 64 + (len(part[-1]) if isinstance(part[-1], str) else 0)
+        if size >= PIECE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _parse_all(html, dedupe_areas=False, keep_paragraphs=False):
-    titles, descs, texts, hrefs, errors = [], [], [], [], []
+    rows = []
     for h in html:
         try:
-            t, d, x, a = read_page(h if isinstance(h, str) else "", dedupe_areas, keep_paragraphs)
-            err = None
+            row = *read_page(h if isinstance(h, str) else "", dedupe_areas, keep_paragraphs), None
         except Exception as e:  # a bad page becomes an error row, never a failed job
-            t, d, x, a, err = None, "", "", [], f"{type(e).__name__}: {e}"
-        titles.append(t)
-        descs.append(d)
-        texts.append(x)
-        hrefs.append(a)
-        errors.append(err)
-    return pd.DataFrame({"title": titles, "description": descs, "text": texts,
-                         "hrefs": hrefs, "error": errors})
+            row = None, "", "", [], f"{type(e).__name__}: {e}"
+        rows.append(row)
+    return pa.array(rows, _PARSED)
 
 
-def _parse_batch(html: pd.Series) -> pd.DataFrame:
-    return _parse_all(html)
+def _parse_batches(html: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in html:
+        for part in pieces(batch):
+            yield _parse_all(part)
 
 
 # Declared non-deterministic on purpose: Catalyst then never copies the call
 # into a pushed-down filter (e.g. the non-empty-array filter it infers for
 # ``posexplode``), so every page is parsed exactly once.
-parse_html = F.pandas_udf(_parse_batch, PARSED).asNondeterministic()
+parse_html = F.arrow_udf(_parse_batches, PARSED).asNondeterministic()
 """Column function: ``parse_html(html) -> STRUCT<title, description, text,
 hrefs ARRAY<STRING>, error>``."""
 
@@ -64,9 +82,11 @@ def parse_udf(dedupe_areas: bool = False, keep_paragraphs: bool = False):
         return parse_html
     key = (dedupe_areas, keep_paragraphs)
     if key not in _VARIANTS:
-        def batch(html: pd.Series) -> pd.DataFrame:
-            return _parse_all(html, dedupe_areas, keep_paragraphs)
-        _VARIANTS[key] = F.pandas_udf(batch, PARSED).asNondeterministic()
+        def batches(html: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in html:
+                for part in pieces(batch):
+                    yield _parse_all(part, dedupe_areas, keep_paragraphs)
+        _VARIANTS[key] = F.arrow_udf(batches, PARSED).asNondeterministic()
     return _VARIANTS[key]
 
 
@@ -74,8 +94,9 @@ def parse_pages(pages: DataFrame, keys=("page_id",), url: str = "url", html: str
                 dedupe_areas: bool = False, keep_paragraphs: bool = False) -> DataFrame:
     """``(keys..., url, html)`` -> ``(keys..., url, p STRUCT)``: the single
     parse of every page, in the partitions that the input has.  ``html`` is not
-    carried past this point.  Spark bounds an Arrow batch by bytes, so the
-    session's settings are left alone."""
+    carried past this point.  Spark bounds an Arrow batch by bytes, and a task
+    parses ``PIECE`` characters of it at a time, so the session's settings are
+    left alone."""
     src = pages.select(*keys, url, html)
     fn = parse_udf(dedupe_areas, keep_paragraphs)
     return src.select(*keys, url, fn(F.col(html)).alias("p"))
