@@ -38,3 +38,25 @@ def test_entry_imports_without(absent):
             "import __spark_entry__ as e; print(sum(x.startswith('op') for x in e.queries()), len(e.queries()) > 70)")
     got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rsplit("/tests/", 1)[0])
     assert got.stdout.split() == ["0", "True"], got.stderr[-500:]
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    import glob
+    import time
+
+    from webloom.llm.common import saved, shuffles_dropped
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def left():
+        before = {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+        counted = saved(spark.range(100, numPartitions=3).groupBy((F.col("id") % 7).alias("k")).count(), "t-shuffled")
+        until = time.time() + 5
+        while (new := {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")} - before) and time.time() < until:
+            time.sleep(0.2)
+        assert counted.count() == 7
+        return new
+
+    with shuffles_dropped(spark):
+        assert spark.conf.get(setting) == "true" and not left()
+    assert spark.conf.get(setting) == "false" and left()
