@@ -60,3 +60,26 @@ def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
     with shuffles_dropped(spark):
         assert spark.conf.get(setting) == "true" and not left()
     assert spark.conf.get(setting) == "false" and left()
+
+
+def test_exact_dedup_reads_texts_in_small_batches(spark, monkeypatch, tmp_path):
+    from webloom.llm import exact_dedup
+    setting, seen, write = "spark.sql.parquet.columnarReaderBatchSize", [], exact_dedup.saved
+
+    def saved(df, name):
+        seen.append((name, int(spark.conf.get(setting))))
+        return write(df, name)
+
+    monkeypatch.setattr(exact_dedup, "saved", saved)
+    rows = [(1, "a b"), (2, "a  b"), (3, "b a"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    before = spark.conf.get(setting)
+    # a weak hash, so that a collision is split by its texts too
+    groups = exact_dedup.exact_groups(spark.read.parquet(f"{tmp_path}/d"), content_hash=lambda c: F.octet_length(c).cast("string"))
+    # what is left reads hashes alone
+    assert not any(f.startswith(f"file:{tmp_path}") for f in groups.inputFiles())
+    assert spark.conf.get(setting) == before and int(before) > 256
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in groups.collect()) == [
+        (1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
+    assert {n for n, _ in seen} == {"exact-keys", "exact-many", "exact-collisions", "exact-parts"}
+    assert all(n <= 256 for _, n in seen)

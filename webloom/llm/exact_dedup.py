@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import table
-from .common import SPACE, saved
+from .common import SPACE, saved, small_batches
 
 
 def normalised(text: Column) -> Column:
@@ -34,8 +34,14 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every row's ``(<id_col>, keep_id, group_size, kept, text_sha256)``.
 
     ``content_hash`` maps the normalised text's bytes to the grouping hash; a
-    weak one may be given, the result is the same.
+    weak one may be given, the result is the same.  The texts are read here, a few
+    hundred at once; the result reads only their hashes.
     """
+    with small_batches(df.sparkSession):
+        return _exact_groups(df, id_col, text_col, content_hash)
+
+
+def _exact_groups(df: DataFrame, id_col: str, text_col: str, content_hash) -> DataFrame:
     text = normalised(F.col(text_col))
     rows = df.select(F.col(id_col).alias("id"), text.alias("text"))
     keys = saved(rows.select("id", content_hash(F.col("text").cast("binary")).alias("h"),
@@ -59,6 +65,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .groupBy("h", "text").agg(F.min("id").alias("i"))
                  .select("h", F.sha2(F.col("text").cast("binary"), 256).alias("s")).distinct()
                  .select(F.col("h").alias("part_h"), "s"))
+        parts = saved(parts, "exact-parts")
         keys = keys.join(parts, (F.col("h") == F.col("part_h")) & (F.col("sha") == F.col("s")), "left").select(
             "id", "h", "sha", F.coalesce("s", F.lit("")).alias("part"))
 
