@@ -83,3 +83,25 @@ def test_exact_dedup_reads_texts_in_small_batches(spark, monkeypatch, tmp_path):
         (1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
     assert {n for n, _ in seen} == {"exact-keys", "exact-many", "exact-collisions", "exact-parts"}
     assert all(n <= 256 for _, n in seen)
+
+
+def test_lm_drops_its_tables_before_the_depths(spark, monkeypatch):
+    import os
+
+    from webloom import session
+    from webloom.llm import lm
+
+    def there():
+        return {os.path.basename(p).rsplit("-", 1)[0] for p in session._SCRATCH[first:]
+                if os.path.exists(p.removeprefix("file:"))}
+
+    first, seen, count = len(session._SCRATCH), [], lm.count_grams
+    monkeypatch.setattr(lm, "count_grams", lambda *a: (seen.append(there()), count(*a))[1])
+    rows = [(i, "a b c a b c d") for i in range(6)] + [(6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm.score(df, F.coalesce(F.col("doc_id") == 3, F.lit(False)))
+    # the tokens stay in the portions' states alone
+    assert len(seen) > 1 and all(x == {"webloom-lm-ids", "webloom-lm-portions"} for x in seen)
+    assert there() == {"webloom-lm-ids", "webloom-lm-portions"}
+    assert sorted((r.doc_id, r.held_out, r.n_tokens, r.train_tokens) for r in got.collect()) == [
+        (i, i == 3, 8 if i < 6 else 1, 41) for i in range(7)]
