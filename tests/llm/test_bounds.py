@@ -105,3 +105,19 @@ def test_lm_drops_its_tables_before_the_depths(spark, monkeypatch):
     assert there() == {"webloom-lm-ids", "webloom-lm-portions"}
     assert sorted((r.doc_id, r.held_out, r.n_tokens, r.train_tokens) for r in got.collect()) == [
         (i, i == 3, 8 if i < 6 else 1, 41) for i in range(7)]
+
+
+def test_exact_dedup_shuffles_few_texts_but_the_repeated(spark, monkeypatch):
+    from webloom.llm import exact_dedup
+    hashed = spark.range(20000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("h"), F.col("id").alias("text"))
+    many = hashed.where("text % 100 = 0").select("h")
+    got = exact_dedup.suspects(hashed, many)
+    assert got.columns == hashed.columns
+    texts = [r.text for r in got.collect()]
+    assert len(texts) == len(set(texts)) and set(range(0, 20000, 100)) <= set(texts)
+    # one bit in sixteen is set at most
+    assert len(texts) < 200 + 20000 / 10
+    assert exact_dedup.suspects(hashed, many.limit(0)).count() == 0
+    # bitmaps that grew too large are left out
+    monkeypatch.setattr(exact_dedup, "MAP_BYTES", 8)
+    assert exact_dedup.suspects(hashed, many).count() == 20000

@@ -7,6 +7,7 @@ equal bytes give equal extremes.  That comparison is an aggregate, so copies
 collapse in each map task and a group holding a third of all rows never meets
 in one task.  Only texts whose hash occurs more than once take part.  A hash
 shared by different texts (a collision) is split exactly, by the text itself.
+Bitmaps of the repeated hashes keep most other texts out of the shuffle.
 
 Defined cases: null text counts as empty; of rows that repeat both the id and
 the text one is kept; a row without an id is kept only if no row of its group
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 from ..session import table
 from .common import SPACE, saved, small_batches
 
+SLOTS = 16                     # bits of the bitmaps for each repeated hash
+MAP_BYTES = 64 << 20           # of bitmaps, at most
+
 
 def normalised(text: Column) -> Column:
     """``text`` with each run of ASCII white space as one space; null is empty."""
@@ -30,6 +34,22 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), runs, " ")
 
 
+def suspects(hashed: DataFrame, many: DataFrame) -> DataFrame:
+    """The rows of ``hashed`` whose ``h`` is among ``many``, and a few others.  A row is
+    let through by one bit of bitmaps with ``SLOTS`` bits a hash; where these would pass
+    ``MAP_BYTES``, all rows are."""
+    slots = SLOTS * max(1, many.count())
+    if slots > 8 * MAP_BYTES:
+        return hashed
+    slot = F.pmod(F.xxhash64("h"), F.lit(slots))
+    maps = many.groupBy(F.bitmap_bucket_number(slot).alias("of")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    place = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return hashed.join(F.broadcast(maps), F.bitmap_bucket_number(slot) == F.col("of")).where(
+        F.getbit(byte, place % 8) == 1).select(hashed.columns)
+
+
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", content_hash=F.md5) -> DataFrame:
     """Every row's ``(<id_col>, keep_id, group_size, kept, text_sha256)``.
 
@@ -51,7 +71,7 @@ def _exact_groups(df: DataFrame, id_col: str, text_col: str, content_hash) -> Da
     # equal bytes inside each group of two or more
     hashed = rows.withColumn("h", content_hash(F.col("text").cast("binary")))
     # (a merge join at every size: the hashes grow with the input)
-    texts = hashed.join(many.withColumnRenamed("h", "many_h").hint("merge"), F.col("h") == F.col("many_h"))
+    texts = suspects(hashed, many).join(many.withColumnRenamed("h", "many_h").hint("merge"), F.col("h") == F.col("many_h"))
     # grouping by a derived key leaves the join free to split a hot hash, and the
     # partial aggregate folds each part before the next exchange
     mixed = saved(texts.groupBy(F.concat(F.col("h").cast("string"), F.lit("|")).alias("g"))
