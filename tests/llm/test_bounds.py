@@ -107,6 +107,27 @@ def test_lm_drops_its_tables_before_the_depths(spark, monkeypatch):
         (i, i == 3, 8 if i < 6 else 1, 41) for i in range(7)]
 
 
+def test_lm_grams_are_shuffled_packed(spark, monkeypatch):
+    import numpy as np
+
+    from webloom.llm import lm
+    seen, count = [], lm.count_grams
+    monkeypatch.setattr(lm, "count_grams", lambda asked, *a: (seen.append(asked.collect()), count(asked, *a))[1])
+    rng = np.random.default_rng(3)
+    # every second word is the same, so one context has half of all grams
+    rows = [(i, " ".join(f"the w{x}" for x in rng.integers(0, 3000, 2000))) for i in range(8)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 3)
+    assert got.count() == 8
+    first = seen[0]
+    # a row for each portion and bucket, not for each gram of a portion
+    assert len(first) == len({(r.pid, r.bucket) for r in first}) <= 8 * lm.BUCKETS
+    pairs = [0] * lm.BUCKETS
+    for r in first:
+        pairs[r.bucket] += len(lm._unsqueeze(r.place, np.int32))
+    # and the frequent context is spread over the buckets
+    assert sum(pairs) > 50 * len(first) and max(pairs) < 1.5 * sum(pairs) / lm.BUCKETS
+
+
 def test_exact_dedup_shuffles_few_texts_but_the_repeated(spark, monkeypatch):
     from webloom.llm import exact_dedup
     hashed = spark.range(20000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("h"), F.col("id").alias("text"))
