@@ -142,3 +142,24 @@ def test_exact_dedup_shuffles_few_texts_but_the_repeated(spark, monkeypatch):
     # bitmaps that grew too large are left out
     monkeypatch.setattr(exact_dedup, "MAP_BYTES", 8)
     assert exact_dedup.suspects(hashed, many).count() == 20000
+
+
+def test_lm_does_deep_contexts_in_rounds(spark, monkeypatch):
+    import numpy as np
+
+    from webloom.llm import lm
+    seen, counted, done, count = [], [], lm._done, lm.count_grams
+    monkeypatch.setattr(lm, "_done", lambda sent, depth, words, *a: (seen.append((depth, words)), done(sent, depth, words, *a))[1])
+    monkeypatch.setattr(lm, "count_grams", lambda *a: (counted.append(a), count(*a))[1])
+    # each word depends on the four before
+    rng = np.random.default_rng(5)
+    odds, rows = rng.dirichlet([0.15] * 4, (4, 4, 4, 4)), []
+    for i in range(6):
+        w = [0, 1, 2, 3]
+        for _ in range(1000):
+            w.append(int(rng.choice(4, p=odds[tuple(w[-4:])])))
+        rows.append((i, " ".join(f"w{x}" for x in w)))
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 5)
+    assert got.count() == 6
+    # two depths are shuffled one by one, the others some at a time
+    assert len(counted) == 2 and seen[0][0] == lm.TOGETHER and seen[0][1] > 1
