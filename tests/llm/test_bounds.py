@@ -163,3 +163,97 @@ def test_lm_does_deep_contexts_in_rounds(spark, monkeypatch):
     assert got.count() == 6
     # two depths are shuffled one by one, the others some at a time
     assert len(counted) == 2 and seen[0][0] == lm.TOGETHER and seen[0][1] > 1
+
+
+class _Work:
+    """Stands for a table, to get at the function that a step gives to its groups or batches."""
+    def __getattr__(self, name):
+        return lambda *a: a[0] if name in ("applyInArrow", "mapInArrow") else self
+
+
+def _round(lm, texts, at, context, symbol, continued=False):
+    import numpy as np
+    words = np.append(-1, 7 * np.arange(1, 60))
+    size, none = np.array([len(x) for x in texts]), np.zeros(0)
+    word = lm._squeeze(np.concatenate([np.asarray(x) for x in texts]), np.int32)
+    return lm.Round(1, continued, np.arange(len(size)), np.ones(len(size), bool), size, size, size * 1.0, size * 1.0, lm._rising(words), word,
+                    np.array(at), np.array(context), np.array(symbol), np.ones(len(at)), none, none, none)
+
+
+def test_lm_windows_against_plain_ones():
+    import numpy as np
+
+    from webloom.llm import lm
+    rng = np.random.default_rng(2)
+    # few words, some not kept (0), and a text that is there three times
+    one = rng.integers(1, 50, 400).tolist()
+    texts = [rng.integers(0, 3, 300).tolist(), one, [5], rng.integers(0, 3, 200).tolist(), one, one[1:], [1] * 300]
+    flat, starts = np.concatenate(texts), np.cumsum([0] + [len(x) for x in texts])
+    row = np.repeat(np.arange(len(texts)), np.diff(starts))
+    for depth, words, before in ((3, 2, 0), (5, 12, 4), (17, 500, 0), (3, 40, 30)):
+        at = np.flatnonzero((np.arange(len(flat)) - starts[row] >= depth - (before if before else 0) * (row == 0)) & (rng.random(len(flat)) < 0.6) & (row != 3))
+        context, symbol = rng.integers(0, 3, len(at)), rng.integers(-1, 2, len(at))
+        earlier = 7 * rng.integers(1, 3, before)
+        w = lm.windows(_round(lm, texts, at, context, symbol, before > 0), earlier, depth, words)
+        plain = []
+        for i in at:
+            known = [*(earlier.tolist() if row[i] == 0 else []), *[7 * x or -1 for x in flat[starts[row[i]]:i].tolist()]]
+            known = known[:max(0, len(known) - depth)][::-1][:words]
+            plain.append(tuple(known[:known.index(-1)] if -1 in known else known))
+        assert [tuple(x[x >= 0].tolist()) for x in w.words(np.arange(len(at)))] == plain
+        keys = [*zip(context.tolist(), symbol.tolist(), plain)]
+        # equal windows are one, but for such as a chain of equal ones before them differs
+        assert all(keys[w.first[p]] == k for p, k in zip(w.place, keys)) and len(w.first) <= len(set(keys)) + 2
+        assert (np.diff(context[w.first]) >= 0).all()
+
+
+def test_lm_rounds_skip_words_that_all_windows_share(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from webloom.llm import lm
+    monkeypatch.setattr(lm, "saved", lambda df, name: df)
+    seen, sums = [], lm._context_sums
+    monkeypatch.setattr(lm, "_context_sums", lambda *a: (seen.append(1), sums(*a))[1])
+    words, portions = 2000, 40
+    rows = []
+    # after 1,500 equal words half of the windows have other words, and other symbols follow
+    for pid in range(portions):
+        spelled = np.append(np.full(1500, 3), np.full(words - 1500, 4 + pid % 2))
+        rows.append((pid, 0, lm._rising(np.array([2])), lm._squeeze(np.array([10 + pid % 2]), np.int64), lm._squeeze(np.array([0.01]), np.float64),
+                     lm._squeeze(np.array([5]), np.int64), lm._squeeze(spelled, np.int64)))
+    t = lm._table(rows, lm.SENT)
+    done = lm._done(_Work(), 5, words, 1, 2, 10 ** 6, True)(t)
+    states, out = lm._unsqueeze(done.column("depth")[0].as_py(), np.int64), done.slice(1)
+    # the context as given is retained, and the two that it splits to
+    assert np.flatnonzero(states).tolist()[0] == 0 and states[1501] == 2 and not states[2:1501].any()
+    assert pa.compute.sum(out.column("pid")).as_py() == sum(range(portions))
+    for r in range(portions):
+        depth = lm._unsqueeze(out.column("depth")[r].as_py(), np.int64).tolist()
+        change = lm._unsqueeze(out.column("change")[r].as_py(), np.float64)
+        n, p = 5 * portions, 0.01
+        want = [(n / 2 + lm.STRENGTH * p) / (n + lm.STRENGTH)]
+        want.append((n / 2 + lm.STRENGTH * want[0]) / (n / 2 + lm.STRENGTH))
+        assert depth[0] == 5 and 5 + 1501 in depth
+        assert np.allclose(change[[0, depth.index(5 + 1501)]], np.log10([want[0] / p, want[1] / want[0]]))
+    # not once a word
+    assert len(seen) < 40
+
+
+def test_lm_shuffles_counts_instead_of_the_roots_probabilities(spark, monkeypatch):
+    import numpy as np
+
+    from webloom.llm import lm
+    seen, count = [], lm.count_grams
+    monkeypatch.setattr(lm, "count_grams", lambda asked, *a: (seen.append(asked.collect()), count(asked, *a))[1])
+    rng = np.random.default_rng(3)
+    # many words of many different counts
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 4000) % 3000)) for i in range(8)]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(False))
+    assert got.count() == 8 and len(seen) == 2
+    for r in seen[0]:
+        b = lm._risen(r.b)
+        n = lm._unsqueeze(r.p, np.int64)
+        assert len(n) == len(b) and (n >= 2).all()
+        # contexts are told apart by what is left of their numbers
+        assert (np.diff(lm._risen(r.contexts)) == 1).mean() > 0.3 or len(lm._risen(r.contexts)) < 10
